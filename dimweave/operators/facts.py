@@ -208,6 +208,13 @@ def unmatched_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return lookup_join(orders, distinct_keys(line_keys, "OrderID"), "OrderID", "left_anti", ROW_ID)
 
 
+def orders_left_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Orders with their lines, orders without a line kept; the two are joined apart so that a
+    heavily repeated order id on either side can be spread."""
+    lonely = unmatched_orders(orders, lines).withColumnRenamed(ROW_ID, ORDERS_ROW)
+    return order_lines(orders, lines).unionByName(lonely, allowMissingColumns=True)
+
+
 def orphan_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """Lines whose order id is NULL or in no order of any date."""
     known = distinct_keys(orders, "OrderID")

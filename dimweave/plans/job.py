@@ -66,6 +66,11 @@ class _Run:
         self.warehouse.publish(self.warehouse.write(base, [Change(AUDIT_TABLE, rows, append=True)], {}))
 
 
+def read_audit(spark: SparkSession, warehouse: str) -> DataFrame:
+    """All recorded steps of all runs."""
+    return Warehouse(spark, warehouse).snapshot().frame(AUDIT_TABLE, schema=AUDIT)
+
+
 def _ingest(given, source: str, fmt: str, spark: SparkSession):
     def load(_: Snapshot) -> StepResult:
         if isinstance(given, DataFrame):

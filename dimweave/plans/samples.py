@@ -7,6 +7,8 @@ batch 1 again so that vanished keys return.
 from __future__ import annotations
 
 import datetime
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,6 +155,12 @@ _SAME = {
 }
 
 
+def _at_once(calls: list) -> list:
+    """Results of independent driver-side calls, made from several threads."""
+    with ThreadPoolExecutor(max(len(calls), 1)) as pool:
+        return list(pool.map(lambda call: call(), calls))
+
+
 class SampleLoads:
     """Loads of the sample batches, run step by step as they are asked for and kept as snapshots."""
 
@@ -160,6 +168,7 @@ class SampleLoads:
         self.spark, self.sf_dir = spark, sf_dir
         self.warehouse = Warehouse(spark, f"{scratch_root(spark)}/samples")
         self._done: dict[tuple, tuple[Snapshot, dict]] = {}
+        self._locks: dict[tuple, threading.Lock] = {}
 
     def staged(self, batch: int, source: str) -> DataFrame:
         return self._stage(batch, source)[0].frame(source)
@@ -190,30 +199,41 @@ class SampleLoads:
                 keys[column] = max(last, keys.get(column, 0))
         return Snapshot(self.spark, base.root, 0, tables, keys), when
 
+    def _once(self, name: tuple, run):
+        """Run a step at most once; steps that do not depend on each other may run at the same time."""
+        with self._locks.setdefault(name, threading.Lock()):
+            if name not in self._done:
+                self._done[name] = run()
+            return self._done[name]
+
     def _stage(self, batch: int, source: str):
-        done = (batch, f"stage {source}")
-        if done not in self._done:
+        def run():
             df = BATCHES[batch](self.spark, self.sf_dir)[source]
             extra = ("l_suppkey", "l_linenumber") if source == "OrderDetails" else ()
             staged = Change(source, stage_frame(df, source, extra))
-            snap = self.warehouse.write(self._empty()[0], [staged], {})
-            self._done[done] = snap, {source: (batch, 0)}
-        return self._done[done]
+            return self.warehouse.write(self._empty()[0], [staged], {}), {source: (batch, 0)}
+
+        return self._once((batch, "stage", source), run)
+
+    def stage_all(self, batch: int, sources: list[str]) -> dict[str, DataFrame]:
+        return dict(zip(sources, _at_once([lambda s=s: self.staged(batch, s) for s in sources])))
 
     def _base(self, batch: int, step: str):
         sources = [POLICIES[step].source] if step in POLICIES else ["Orders", "OrderDetails"]
-        needed = [self._run(batch - 1, s) for s in _BEFORE.get(step, [step])] if batch > 1 else []
-        needed += [self._run(batch, s) for s in _SAME.get(step, [])]
-        return self._merge(needed + [self._stage(batch, s) for s in sources])
+        needed = [(batch - 1, s) for s in _BEFORE.get(step, [step])] if batch > 1 else []
+        needed += [(batch, s) for s in _SAME.get(step, [])]
+        return self._merge(_at_once([lambda n=n: self._run(*n) for n in needed]
+                                    + [lambda s=s: self._stage(batch, s) for s in sources]))
 
     def _run(self, batch: int, step: str):
-        if (batch, step) not in self._done:
+        def run():
             base, when = self._base(batch, step)
             result = self._load(base, batch, step)
             snap = self.warehouse.write(base, result.changes, result.last_keys)
             stamp = (batch, STEPS.index(step) + 1)
-            self._done[batch, step] = snap, {**when, **{c.table: stamp for c in result.changes}}
-        return self._done[batch, step]
+            return snap, {**when, **{c.table: stamp for c in result.changes}}
+
+        return self._once((batch, step), run)
 
     def _load(self, base: Snapshot, batch: int, step: str) -> StepResult:
         if step in POLICIES:
