@@ -32,6 +32,7 @@ class Loaded:
 
     current: DataFrame
     last_keys: dict[str, int]
+    closed: DataFrame | None = None
     removed: DataFrame | None = None
     history: DataFrame | None = None
     inserted: int = 0
@@ -88,11 +89,11 @@ def _overwritten(policy: DimensionPolicy, extra: dict[str, Column] | None = None
 
 def _inserted(policy: DimensionPolicy, rows: DataFrame, last_keys: dict[str, int],
               extra: dict[str, Column] | None = None) -> tuple[DataFrame, int]:
-    start = last_keys.get(policy.surrogate, 0)
-    numbered = number_in_order(rows.select("new.*"), policy.surrogate, start, [policy.nk])
+    start, count = last_keys.get(policy.surrogate, 0), rows.count()
+    numbered = number_in_order(rows.select("new.*"), policy.surrogate, start, [policy.nk], count)
     for name, value in (extra or {}).items():
         numbered = numbered.withColumn(name, value)
-    return _as_table(policy, numbered), numbered.count()
+    return _as_table(policy, numbered), count
 
 
 def load_overwrite(dim: DataFrame, src: DataFrame, policy: DimensionPolicy, last_keys: dict[str, int],
@@ -150,29 +151,29 @@ def load_history_table(dim: DataFrame, src: DataFrame, policy: DimensionPolicy,
         rows(REMOVE).select("old.*", F.lit(0).alias("_step"))
         .unionByName(rows(UPDATE).select("old.*", F.lit(1).alias("_step")))
         .drop(policy.surrogate).withColumn("ValidTo", F.date_sub(F.lit(as_of), 1)), f"left-{policy.target}")
-    start = last_keys.get(policy.history_key, 0)
-    history = number_in_order(left, policy.history_key, start, ["_step", policy.nk]).drop("_step")
+    start, moved = last_keys.get(policy.history_key, 0), left.count()
+    history = number_in_order(left, policy.history_key, start, ["_step", policy.nk], moved).drop("_step")
     keys = {policy.surrogate: last_keys.get(policy.surrogate, 0) + count,
-            policy.history_key: start + left.count()}
+            policy.history_key: start + moved}
     return Loaded(current, keys, removed=rows(REMOVE).select("old.*"),
                   history=history.select(*policy.history_schema.names), inserted=count)
 
 
-def load_versions(dim: DataFrame, src: DataFrame, policy: DimensionPolicy, last_keys: dict[str, int],
+def load_versions(dim: DataFrame, closed_rows: DataFrame, src: DataFrame, policy: DimensionPolicy, last_keys: dict[str, int],
                   as_of: datetime.date, collation: str | None = None) -> Loaded:
     """Close current rows that changed (or vanished, if the policy says so) and add new versions.
 
-    Only current rows, one per key, are joined with the source. Closed rows pass through; they
-    are read a second time only for keys that have no current row.
+    ``dim`` has the current rows, one per key, and only they are joined with the source.
+    ``closed_rows`` are looked at for keys without a current row and never rewritten; the result
+    has the new current rows and, apart, the rows closed now.
     """
     check_unique_source(src, policy.nk, collation)
     nk, kind = policy.nk, dim.schema[policy.nk].dataType
-    open_rows, closed_rows = dim.where("IsCurrent"), dim.where("NOT IsCurrent")
     changed = any_differs("old", "new", policy.attributes, collation)
     action = (F.when(F.col(f"old.{nk}").isNull(), RETURN)
               .when(F.col(f"new.{nk}").isNull(), CLOSE if policy.close_vanished else KEEP)
               .when(changed, RENEW).otherwise(KEEP))
-    rows = _label(pair(open_rows, src, nk, collation), action, f"load-{policy.target}")
+    rows = _label(pair(dim, src, nk, collation), action, f"load-{policy.target}")
 
     closing = rows(CLOSE, RENEW).select("old.*")
     closing = closing.withColumn("ValidTo", F.date_sub(F.lit(as_of), 1)).withColumn("IsCurrent", F.lit(False))
@@ -194,22 +195,21 @@ def load_versions(dim: DataFrame, src: DataFrame, policy: DimensionPolicy, last_
         f"versions-{policy.target}")
     start, durable_start = last_keys.get(policy.surrogate, 0), last_keys.get(policy.durable, 0)
     counts = versions.agg(F.count(F.lit(1)).alias("all"), F.count_if(~F.col("_seen")).alias("fresh")).first()
-    added = number_in_order(versions, policy.surrogate, start, ["_seen", nk])
+    added = number_in_order(versions, policy.surrogate, start, ["_seen", nk], counts["all"])
     fresh_durable = F.lit(durable_start - start) + F.col(policy.surrogate)
     added = (added.withColumn(policy.durable, F.coalesce(policy.durable, fresh_durable))
              .withColumn("ValidFrom", F.lit(as_of)).withColumn("ValidTo", F.lit(None))
              .withColumn("IsCurrent", F.lit(True)))
 
-    current = (closed_rows.unionByName(rows(KEEP).select("old.*")).unionByName(closing)
-               .unionByName(_as_table(policy, added)))
+    current = rows(KEEP).select("old.*").unionByName(_as_table(policy, added))
     keys = {policy.surrogate: start + counts["all"], policy.durable: durable_start + counts["fresh"]}
-    return Loaded(current, keys, inserted=counts["all"])
+    return Loaded(current, keys, closed=closing, inserted=counts["all"])
 
 
+# Loads of tables with one row per natural key; versions are loaded by load_versions.
 LOADERS = {
     "overwrite": load_overwrite,
     "prior_value": load_overwrite,
-    "versions": load_versions,
     "history_table": load_history_table,
 }
 

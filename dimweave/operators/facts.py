@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from dimweave.functions import reasons
 from dimweave.functions.changes import any_differs, zero_if_null
 from dimweave.operators.joins import (
-    distinct_keys, fits_broadcast, lookup_join, newest_per_key, pair_join,
+    fits_broadcast, hot_frame, hot_keys, key_set, lookup_join, newest_per_key, pair_join,
 )
 from dimweave.operators.keys import number_in_any_order, number_in_order
 from dimweave.sources.schemas import (
@@ -84,11 +84,6 @@ def newest_orders(orders: DataFrame) -> DataFrame:
     return newest_per_key(orders.where(F.col("OrderID").isNotNull()), ["OrderID"], [F.col(ROW_ID).desc()])
 
 
-def newest_lines(lines: DataFrame) -> DataFrame:
-    keyed = lines.where(F.col("OrderID").isNotNull() & F.col("ProductID").isNotNull())
-    return newest_per_key(keyed, ["OrderID", "ProductID"], [F.col(ROW_ID).desc()])
-
-
 def sales_amount() -> Column:
     """Unit price times quantity less discount, NULL parts as zero."""
     quantity = zero_if_null("Quantity", STAGING["OrderDetails"]["Quantity"].dataType)
@@ -108,15 +103,26 @@ def order_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
 def newest_order_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """The newest row of every (order, product), by order row then line row.
 
-    ``orders`` has one row per OrderID. A small side of orders cuts the lines down before they
-    are deduplicated; otherwise lines are deduplicated first and the join is salted.
+    ``orders`` has one row per OrderID, so the newest line of a pair decides. A small side of
+    orders is broadcast and only the remaining lines are shuffled. Otherwise orders and lines
+    are shuffled once by order, which also serves the deduplication; orders that own a large
+    share of the lines are few, so they are broadcast and their lines spread over products.
     """
     orders = orders.withColumnRenamed(ROW_ID, ORDERS_ROW)
+    keyed = _named_lines(lines.where(F.col("OrderID").isNotNull() & F.col("ProductID").isNotNull()))
+
+    def newest(joined):
+        return newest_per_key(joined, ["OrderID", "ProductID"], [F.col(LINES_ROW).desc()])
+
     if fits_broadcast(orders):
-        keyed = lines.where(F.col("ProductID").isNotNull())
-        return newest_per_key(_named_lines(keyed).join(F.broadcast(orders), "OrderID"),
-                              ["OrderID", "ProductID"], [F.col(LINES_ROW).desc()])
-    return lookup_join(_named_lines(newest_lines(lines)), orders, "OrderID", "inner", LINES_ROW)
+        return newest(keyed.join(F.broadcast(orders), "OrderID"))
+    hot = hot_keys(keyed, "OrderID")
+    if not hot:
+        return newest(keyed.join(orders, "OrderID"))
+    heavy = hot_frame(orders, "OrderID", hot).drop("_parts")
+    heavy_orders = F.broadcast(orders.join(heavy, "OrderID", "left_semi"))  # one row per hot key
+    usual_lines = keyed.join(heavy, "OrderID", "left_anti")
+    return newest(usual_lines.join(orders, "OrderID")).unionByName(newest(keyed.join(heavy_orders, "OrderID")))
 
 
 def fact_source(orders: DataFrame, lines: DataFrame, dims: dict[str, DataFrame], window: Window) -> DataFrame:
@@ -149,13 +155,20 @@ def month_of(column: str) -> Column:
     return F.coalesce(F.date_format(column, "yyyy-MM"), F.lit("none"))
 
 
-def merge_fact(stored: DataFrame, source: DataFrame, window: Window, load_ts: datetime.datetime,
+def merge_fact(stored: DataFrame | None, source: DataFrame, window: Window, load_ts: datetime.datetime,
                last_key: int) -> FactLoaded:
     """Insert, update and delete so that ``stored`` matches ``source`` in the window.
 
-    ``stored`` must hold every stored row of the window and every row with a key of ``source``.
+    ``stored`` must hold every stored row of the window and every row with a key of ``source``,
+    or be None where there are none; ``source`` must be a written table, see ``materialize``.
     Rows of the window without a source row are deleted, by their stored date.
     """
+    stamps = [F.lit(load_ts.date()).alias("SnapshotDate"), _second(load_ts).alias("LoadDate")]
+    if stored is None:
+        added = number_in_any_order(source, "FactOrder_SK", last_key).select("*", *stamps)
+        count = source.count()
+        return FactLoaded(_typed(added, FACT), last_key + count, count)
+
     def keyed(df, name):
         return df.select(*FACT_GRAIN, F.struct("*").alias(name))
 
@@ -170,7 +183,6 @@ def merge_fact(stored: DataFrame, source: DataFrame, window: Window, load_ts: da
     def rows(label):
         return table.where(F.col("_action") == label).drop("_action")
 
-    stamps = [F.lit(load_ts.date()).alias("SnapshotDate"), _second(load_ts).alias("LoadDate")]
     numbered = number_in_any_order(rows("insert").select("new"), "FactOrder_SK", last_key)
     inserted = numbered.select("FactOrder_SK", "new.*", *stamps)
     updated = rows("update").select("old.FactOrder_SK", "new.*", *stamps)
@@ -201,11 +213,11 @@ _LINE_COLUMNS = ["OrderID", "ProductID", "UnitPrice", "Quantity", "Discount"]
 
 def unmatched_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Orders without a line, those with a NULL order id included."""
-    wanted = distinct_keys(orders, "OrderID")
-    line_keys = lines.select("OrderID", ROW_ID)
-    if fits_broadcast(wanted):
-        line_keys = lookup_join(line_keys, wanted, "OrderID", "left_semi", ROW_ID)
-    return lookup_join(orders, distinct_keys(line_keys, "OrderID"), "OrderID", "left_anti", ROW_ID)
+    wanted, few_orders = key_set(orders, "OrderID")
+    present, few_lines = key_set(lines, "OrderID")
+    if few_orders:
+        present = lines.select("OrderID").join(F.broadcast(wanted), "OrderID", "left_semi").distinct()
+    return lookup_join(orders, present, "OrderID", "left_anti", ROW_ID, small=few_orders or few_lines)
 
 
 def orders_left_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -217,10 +229,11 @@ def orders_left_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 def orphan_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """Lines whose order id is NULL or in no order of any date."""
-    known = distinct_keys(orders, "OrderID")
-    if fits_broadcast(known):
+    known, few_orders = key_set(orders, "OrderID")
+    if few_orders:
         return lines.join(F.broadcast(known), "OrderID", "left_anti").select(*lines.columns)
-    unknown = materialize(distinct_keys(lines, "OrderID").join(known, "OrderID", "left_anti"), "orphans")
+    line_keys, _ = key_set(lines, "OrderID")
+    unknown = materialize(line_keys.join(known, "OrderID", "left_anti"), "orphans")
     lost = lookup_join(lines, unknown, "OrderID", "left_semi", ROW_ID)
     return lost.unionByName(lines.where(F.col("OrderID").isNull())).select(*lines.columns)
 

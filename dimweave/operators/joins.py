@@ -1,20 +1,24 @@
 """Equi-joins that hold when one key owns a large share of the rows.
 
 A side is broadcast only after its size has been measured. Beyond that bound both sides are
-shuffled, and keys that own a large share of one side are salted: their rows are spread over
-``SALTS`` shuffle keys and the matching rows of the other side are repeated for each of them.
-NULL keys are spread as well, as they match nothing.
+shuffled. Keys that own more than ``HOT_SHARE`` of a side are found in a sample and salted:
+their rows are spread over a number of shuffle keys that grows with their share, and the
+matching rows of the other side are repeated once for each. Salting never changes a result,
+so a key the sample misses costs time only. NULL keys match nothing and are spread as well.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 0.005  # a key with more than this share of a side is salted; at most 1/share such keys
-SALTS = 64
+HOT_SHARE = 0.0001  # bounds the hot keys of a side to 10,000
+HOT_SAMPLE = 0.01
+HOT_SAMPLE_ROWS = 20  # a key seen less often in the sample is not taken for hot
 
 _ROW_OVERHEAD = 16
 
@@ -37,48 +41,58 @@ def fits_broadcast(df: DataFrame) -> bool:
     return measured_bytes(df) <= BROADCAST_BYTES
 
 
-def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys owning more than ``HOT_SHARE`` of the rows (and perhaps a few that own less).
+def hot_keys(df: DataFrame, key: str) -> dict:
+    """Keys owning more than ``HOT_SHARE`` of the rows, with the number of parts to split each into.
 
-    One pass with a bounded sketch per task; the list cannot exceed ``1 / HOT_SHARE`` entries.
+    At most ``1 / HOT_SHARE`` keys, and as many parts again, whatever the size of ``df``.
     """
-    found = df.select(key).where(F.col(key).isNotNull()).freqItems([key], HOT_SHARE).first()[0]
-    return sorted(found or [])
+    sample = df.select(key).where(F.col(key).isNotNull()).sample(HOT_SAMPLE, seed=7)
+    total = sample.count()
+    least = max(HOT_SHARE * total, HOT_SAMPLE_ROWS)
+    found = sample.groupBy(key).count().where(F.col("count") > least).collect()
+    return {r[0]: max(2, math.ceil(r["count"] / (HOT_SHARE * total))) for r in found}
 
 
-def _is_hot(key: str, hot: list) -> Column:
-    return F.col(key).isin(hot) if hot else F.lit(False)
+def hot_frame(df: DataFrame, key: str, hot: dict, column: str = "_parts") -> DataFrame:
+    """Hot keys and their parts as a broadcast table; its size is bounded by ``HOT_SHARE``."""
+    schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField(column, T.IntegerType())])
+    return F.broadcast(df.sparkSession.createDataFrame(list(hot.items()), schema))
 
 
-def _spread(key: str, hot: list, by: str) -> Column:
-    """Salt of a row on the side that is spread."""
-    scattered = F.col(key).isNull() | _is_hot(key, hot)
-    return F.when(scattered, F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+def _spread(df: DataFrame, key: str, hot: dict, by: str, salt: str) -> DataFrame:
+    """Give every row of a hot key one of its parts, NULL keys one of many, all others part 0."""
+    parts = F.lit(1)
+    if hot:
+        df = df.join(hot_frame(df, key, hot), key, "left")
+        parts = F.coalesce("_parts", F.lit(1))
+    parts = F.when(F.col(key).isNull(), F.lit(int(1 / HOT_SHARE))).otherwise(parts)
+    return df.withColumn(salt, F.pmod(F.xxhash64(by), parts).cast("int")).drop("_parts")
 
 
-def _repeat(key: str, hot: list) -> Column:
-    """Every salt a row of the other side has to meet."""
-    none = F.array(F.lit(0).cast("long"))
+def _repeat(df: DataFrame, key: str, hot: dict, salt: str) -> DataFrame:
+    """Repeat rows of a hot key for each of its parts."""
     if not hot:
-        return none
-    every = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
-    return F.when(_is_hot(key, hot), every).otherwise(none)
+        return df.withColumn(salt, F.lit(0))
+    marked = df.join(hot_frame(df, key, hot), key, "left")
+    every = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    return marked.withColumn(salt, F.explode(every)).drop("_parts")
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str, spread_by: str) -> DataFrame:
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str, spread_by: str,
+                small: bool | None = None) -> DataFrame:
     """Join ``rows`` to ``lookup``, which has one row per key.
 
-    ``how`` is inner, left, left_semi or left_anti; ``spread_by`` names a column that tells
-    rows of one key apart.
+    ``how`` is inner, left, left_semi or left_anti; ``spread_by`` names a column that tells rows
+    of one key apart. ``small`` says whether ``lookup`` fits a broadcast where the caller has a
+    bound for it already; otherwise it is measured.
     """
-    if fits_broadcast(lookup):
+    if fits_broadcast(lookup) if small is None else small:
         return rows.join(F.broadcast(lookup), key, how)
     if how in ("inner", "left_semi"):
         rows = rows.where(F.col(key).isNotNull())
     hot = hot_keys(rows, key)
-    salted = rows.withColumn("_salt", _spread(key, hot, spread_by))
-    repeated = lookup.withColumn("_salt", F.explode(_repeat(key, hot)))
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+    spread, repeated = _spread(rows, key, hot, spread_by, "_salt"), _repeat(lookup, key, hot, "_salt")
+    return spread.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
 def pair_join(left: DataFrame, right: DataFrame, key: str, spread_left: str, spread_right: str) -> DataFrame:
@@ -89,16 +103,20 @@ def pair_join(left: DataFrame, right: DataFrame, key: str, spread_left: str, spr
     if fits_broadcast(left):
         return F.broadcast(left).join(right, key)
     hot_left, hot_right = hot_keys(left, key), hot_keys(right, key)
-    left = (left.withColumn("_salt_l", _spread(key, hot_left, spread_left))
-                .withColumn("_salt_r", F.explode(_repeat(key, hot_right))))
-    right = (right.withColumn("_salt_r", _spread(key, hot_right, spread_right))
-                  .withColumn("_salt_l", F.explode(_repeat(key, hot_left))))
+    for k in hot_left.keys() & hot_right.keys():  # rows are both spread and repeated: share the parts
+        hot_left[k], hot_right[k] = (math.ceil(math.sqrt(h[k])) for h in (hot_left, hot_right))
+    left = _repeat(_spread(left, key, hot_left, spread_left, "_salt_l"), key, hot_right, "_salt_r")
+    right = _repeat(_spread(right, key, hot_right, spread_right, "_salt_r"), key, hot_left, "_salt_l")
     return left.join(right, [key, "_salt_l", "_salt_r"]).drop("_salt_l", "_salt_r")
 
 
-def distinct_keys(df: DataFrame, key: str) -> DataFrame:
-    """Distinct non-NULL keys; copies collapse before the shuffle."""
-    return df.select(key).where(F.col(key).isNotNull()).distinct()
+def key_set(df: DataFrame, key: str) -> tuple[DataFrame, bool]:
+    """Distinct non-NULL keys and whether they fit a broadcast, by the bound that all rows give.
+
+    Copies collapse before the shuffle; the bound costs no shuffle.
+    """
+    keys = df.select(key).where(F.col(key).isNotNull())
+    return keys.distinct(), fits_broadcast(keys)
 
 
 def newest_per_key(df: DataFrame, keys: list[str], newest: list[Column]) -> DataFrame:
@@ -106,7 +124,5 @@ def newest_per_key(df: DataFrame, keys: list[str], newest: list[Column]) -> Data
 
     Planned with a group limit before the shuffle, so at most one row per key leaves a task.
     """
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")

@@ -39,11 +39,15 @@ def number_in_any_order(written: DataFrame, column: str, last_key: int = 0) -> D
     return number_by_position(written.select("*", *place_columns()), column, last_key)
 
 
-def number_in_order(written: DataFrame, column: str, last_key: int, order_by: list[str]) -> DataFrame:
+def number_in_order(written: DataFrame, column: str, last_key: int, order_by: list[str],
+                    rows: int | None = None) -> DataFrame:
     """Keys in the order of ``order_by`` (NULLs first); rows equal on all of it are told apart by place.
 
-    ``written`` must be read straight from Parquet files, see ``materialize``.
+    ``written`` must be read straight from Parquet files, see ``materialize``. With ``rows`` known
+    to be 0 the sort is left out.
     """
+    if rows == 0:
+        return written.select(F.lit(None).cast("long").alias(column), "*")
     in_place = written.select("*", *place_columns())
     ranged = in_place.orderBy(*[F.col(c).asc_nulls_first() for c in order_by], _FILE, _ROW)
     table = materialize(ranged.drop(_FILE, _ROW), f"ordered-{column}")

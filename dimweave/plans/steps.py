@@ -8,13 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import functions as F
 
 from dimweave.operators import facts
-from dimweave.operators.dimensions import LOADERS, clear_reference, prepare_source
+from dimweave.operators.dimensions import LOADERS, clear_reference, load_versions, prepare_source
 from dimweave.operators.joins import lookup_join
 from dimweave.sources.schemas import (
     FACT_TABLE, ORDER_KEYS, LINE_KEYS, POLICIES, REJECT_TABLE, DimensionPolicy,
 )
 from dimweave.sources.scratch import materialize
-from dimweave.sources.warehouse import Change, Snapshot
+from dimweave.sources.warehouse import CLOSED, CURRENT, Change, Snapshot
 
 
 @dataclass
@@ -35,8 +35,15 @@ def dimension_step(tables: Snapshot, policy: DimensionPolicy, as_of: datetime.da
     """Load one dimension and, for removed rows, clear or delete what refers to them."""
     dims = {r.dimension: tables.frame(r.dimension) for r in policy.references}
     source = prepare_source(tables.frame(policy.source), policy, dims)
-    loaded = LOADERS[policy.method](tables.frame(policy.target), source, policy, tables.last_keys, as_of, collation)
-    changes = [Change(policy.target, loaded.current)]
+    if policy.method == "versions":
+        loaded = load_versions(tables.frame(policy.target, [CURRENT]), tables.frame(policy.target, [CLOSED]), source,
+                               policy, tables.last_keys, as_of, collation)
+        changes = [Change(policy.target, loaded.current, part=CURRENT),
+                   Change(policy.target, loaded.closed, append=True, part=CLOSED)]
+    else:
+        load = LOADERS[policy.method]
+        loaded = load(tables.frame(policy.target), source, policy, tables.last_keys, as_of, collation)
+        changes = [Change(policy.target, loaded.current)]
     if policy.history:
         changes.append(Change(policy.history, loaded.history, append=True))
     if loaded.removed is not None:
@@ -51,9 +58,11 @@ def _follow_removal(tables: Snapshot, policy: DimensionPolicy, gone) -> list[Cha
     changes = []
     for other in POLICIES.values():
         for ref in other.references:
-            if ref.dimension == policy.target and other.target in tables.tables:
-                cleared = clear_reference(tables.frame(other.target), other, ref.fk, gone)
-                changes.append(Change(other.target, cleared))
+            if ref.dimension != policy.target:
+                continue
+            for part in tables.tables.get(other.target, {}):
+                cleared = clear_reference(tables.frame(other.target, [part]), other, ref.fk, gone)
+                changes.append(Change(other.target, cleared, part=part))
     if policy.target == "DimEmployees" and tables.months(FACT_TABLE):
         keys = gone.toDF("EmployeeID_SK_FK")
         hit = lookup_join(tables.frame(FACT_TABLE).select("EmployeeID_SK_FK", "OrderDate", "FactOrder_SK"),
@@ -66,7 +75,10 @@ def _follow_removal(tables: Snapshot, policy: DimensionPolicy, gone) -> list[Cha
 
 
 def fact_dimensions(tables: Snapshot) -> dict:
-    return {k.dimension: tables.frame(k.dimension) for k in (*ORDER_KEYS, *LINE_KEYS)}
+    """Current rows of the dimensions the fact refers to."""
+    versions = {p.target for p in POLICIES.values() if p.method == "versions"}
+    return {k.dimension: tables.frame(k.dimension, [CURRENT] if k.dimension in versions else None)
+            for k in (*ORDER_KEYS, *LINE_KEYS)}
 
 
 def _window_months(tables: Snapshot, table: str, window: facts.Window) -> list[str]:
@@ -83,7 +95,8 @@ def fact_step(tables: Snapshot, window: facts.Window, load_ts: datetime.datetime
     if others:
         touched += facts.months_to_merge(tables.frame(FACT_TABLE, others), source, window)
     last_key = tables.last_keys.get("FactOrder_SK", 0)
-    merged = facts.merge_fact(tables.frame(FACT_TABLE, touched), source, window, load_ts, last_key)
+    stored = tables.frame(FACT_TABLE, touched) if touched else None
+    merged = facts.merge_fact(stored, source, window, load_ts, last_key)
     return StepResult([Change(FACT_TABLE, merged.rows, months=touched)], {"FactOrder_SK": merged.last_key},
                       merged.inserted)
 

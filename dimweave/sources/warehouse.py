@@ -17,19 +17,24 @@ from pyspark.sql import DataFrame, SparkSession
 from dimweave.operators.facts import month_of
 from dimweave.sources.schemas import FACT_TABLE, REJECT_TABLE, table_schema
 
-WHOLE = "all"
+WHOLE, CURRENT, CLOSED = "all", "current", "closed"
 MONTHLY = (FACT_TABLE, REJECT_TABLE)
 _MONTH = "order_month"
 
 
 @dataclass
 class Change:
-    """New content of a table: all of it, rows to append, or the content of some months."""
+    """New content of a table: a part of it, rows to append to a part, or the content of some months.
+
+    Tables are one part unless they keep versions: those have a part of current rows and one of
+    closed rows that only grows.
+    """
 
     table: str
     frame: DataFrame
     append: bool = False
     months: list[str] | None = None
+    part: str = WHOLE
 
 
 @dataclass(frozen=True)
@@ -45,12 +50,11 @@ class Snapshot:
     def months(self, table: str) -> list[str]:
         return sorted(self.tables.get(table, {}))
 
-    def frame(self, table: str, months: list[str] | None = None, schema=None) -> DataFrame:
-        """A table, or some months of it; empty where nothing was written yet."""
+    def frame(self, table: str, parts: list[str] | None = None, schema=None) -> DataFrame:
+        """A table, or some parts or months of it; empty where nothing was written yet."""
         schema = schema or table_schema(table)
-        parts = self.tables.get(table, {})
-        folders = [f"{self.root}/{p}" for month, paths in parts.items() if months is None or month in months
-                   for p in paths]
+        folders = [f"{self.root}/{path}" for part, paths in self.tables.get(table, {}).items()
+                   if parts is None or part in parts for path in paths]
         if not folders:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*folders)
@@ -79,8 +83,9 @@ class Warehouse:
             return Snapshot(self.spark, self.root)
         if version not in versions:
             raise ValueError(f"no version {version} in {self.root}")
-        text = self.spark.read.text(f"{self.root}/_commits/{version:010d}.json", wholetext=True).first()[0]
-        state = json.loads(text)
+        stream = self._fs().open(self._path(f"_commits/{version:010d}.json"))
+        state = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        stream.close()
         return Snapshot(self.spark, self.root, version, state["tables"], state["last_keys"])
 
     def write(self, base: Snapshot, changes: list[Change], last_keys: dict[str, int]) -> Snapshot:
@@ -101,7 +106,8 @@ class Warehouse:
                         parts[month] = parts.get(month, []) + [f"{folder}/{name}"]
             else:
                 change.frame.write.parquet(f"{self.root}/{folder}")
-                parts = {WHOLE: (parts.get(WHOLE, []) if change.append else []) + [folder]}
+                parts = dict(parts)
+                parts[change.part] = (parts.get(change.part, []) if change.append else []) + [folder]
             tables[change.table] = parts
         return Snapshot(self.spark, self.root, base.version + 1, tables, {**base.last_keys, **last_keys})
 
