@@ -228,14 +228,14 @@ class SampleLoads:
     def _run(self, batch: int, step: str):
         def run():
             base, when = self._base(batch, step)
-            result = self._load(base, batch, step)
+            result = self.load(base, batch, step)
             snap = self.warehouse.write(base, result.changes, result.last_keys)
             stamp = (batch, STEPS.index(step) + 1)
             return snap, {**when, **{c.table: stamp for c in result.changes}}
 
         return self._once((batch, step), run)
 
-    def _load(self, base: Snapshot, batch: int, step: str) -> StepResult:
+    def load(self, base: Snapshot, batch: int, step: str) -> StepResult:
         if step in POLICIES:
             return dimension_step(base, POLICIES[step], AS_OF[batch])
         run = fact_step if step == FACT_TABLE else reject_step
