@@ -11,6 +11,7 @@ import datetime
 import logging
 import sys
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -45,11 +46,36 @@ class _Run:
         self.records: list[tuple] = []
 
     def step(self, name: str, source: str, target: str, load) -> None:
-        log.info("execution %s: starting %s", self.execution_id, name)
-        try:
+        """Load and write the changes of a step on the latest state, then publish them."""
+        def written():
             base = self.warehouse.snapshot()
             result: StepResult = load(base)
-            self.warehouse.publish(self.warehouse.write(base, result.changes, result.last_keys))
+            return self.warehouse.write(base, result.changes, result.last_keys), result
+
+        self._publish(name, source, target, written)
+
+    def ingest(self, loads: dict) -> None:
+        """Stage and write all sheets at the same time, then publish them in turn up to the first failure."""
+        base = self.warehouse.snapshot()
+
+        def staged(load):
+            result: StepResult = load(base)
+            return self.warehouse.write(base, result.changes, {}), result
+
+        with ThreadPoolExecutor(len(loads)) as pool:
+            running = {source: pool.submit(staged, load) for source, load in loads.items()}
+        for source, future in running.items():
+            def written(source=source, future=future):
+                snapshot, result = future.result()
+                return self.warehouse.snapshot().with_table(source, snapshot), result
+
+            self._publish(f"ingest_{source}", source, source, written)
+
+    def _publish(self, name: str, source: str, target: str, written) -> None:
+        log.info("execution %s: starting %s", self.execution_id, name)
+        try:
+            snapshot, result = written()
+            self.warehouse.publish(snapshot)
         except Exception as error:
             self._record(name, source, target, None, "Failed", str(error))
             raise
@@ -93,10 +119,10 @@ def run_load(spark: SparkSession, sources: dict[str, DataFrame | str], warehouse
     run = _Run(Warehouse(spark, warehouse))
     result = {"success": True, "execution_id": run.execution_id, "status": "Completed"}
     try:
-        for source in SOURCES:
-            if source not in sources:
-                raise ValueError(f"no source given for {source}")
-            run.step(f"ingest_{source}", source, source, _ingest(sources[source], source, source_format, spark))
+        missing = [s for s in SOURCES if s not in sources]
+        if missing:
+            raise ValueError(f"no source given for {', '.join(missing)}")
+        run.ingest({s: _ingest(sources[s], s, source_format, spark) for s in SOURCES})
         for policy in POLICIES.values():
             run.step(f"update_{policy.target}", policy.source, policy.target,
                      lambda base, p=policy: dimension_step(base, p, as_of, collation))

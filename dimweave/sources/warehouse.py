@@ -50,6 +50,11 @@ class Snapshot:
     def months(self, table: str) -> list[str]:
         return sorted(self.tables.get(table, {}))
 
+    def with_table(self, table: str, written: Snapshot) -> Snapshot:
+        """The next version, with one table as another snapshot has it."""
+        tables = {**self.tables, table: written.tables[table]}
+        return Snapshot(self.spark, self.root, self.version + 1, tables, self.last_keys)
+
     def frame(self, table: str, parts: list[str] | None = None, schema=None) -> DataFrame:
         """A table, or some parts or months of it; empty where nothing was written yet."""
         schema = schema or table_schema(table)

@@ -14,8 +14,8 @@ from dimweave.sources.schemas import table_schema  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = (SparkSession.builder.master("local[8]").appName("tests")
-               .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
-               .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").getOrCreate())
+               .config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC")
+               .config("spark.driver.memory", "8g").config("spark.default.parallelism", "4").config("spark.ui.enabled", "false").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -176,17 +176,17 @@ def test_job_runs_fails_safely_and_cascades(spark, sheets, tmp_path):
     assert state.months(FACT_TABLE) == ["2024-01", "2024-02"]
     assert [r["ErrorReason"] for r in state.frame(REJECT_TABLE).collect()] == ["Invalid CustomerID_NK; "]
 
-    # A duplicate key fails the customers step; earlier steps stay, later ones do not run.
-    broken = {**sheets, "Customers": sheets["Customers"].union(sheets["Customers"]),
+    # A duplicate key fails the categories step; earlier steps stay, later ones do not run.
+    broken = {**sheets, "Categories": sheets["Categories"].union(sheets["Categories"]),
               "Region": sheets["Region"].limit(0)}
     second = run_load(spark, broken, root, year, FEB)
     assert not second["success"] and "duplicate natural keys" in second["error"]
     now = warehouse.snapshot()
-    assert now.tables["DimCustomers"] == state.tables["DimCustomers"]
+    assert now.tables["DimCategories"] == state.tables["DimCategories"]
     assert now.tables[FACT_TABLE] == state.tables[FACT_TABLE]
     assert now.frame("Region").count() == 0 and state.frame("Region").count() == 1
     audit = read_audit(spark, root).where(f"execution_id = '{second['execution_id']}'").orderBy("step_no").collect()
-    assert (audit[-1]["step"], audit[-1]["status"], audit[-1]["n_rows"]) == ("update_DimCustomers", "Failed", None)
+    assert (audit[-1]["step"], audit[-1]["status"], audit[-1]["n_rows"]) == ("update_DimCategories", "Failed", None)
 
     # Employee 2 vanishes: the February row goes although the window is January, and is not rejected.
     fewer = {**sheets, "Employees": sheets["Employees"].where("EmployeeID = 1")}
@@ -198,6 +198,17 @@ def test_job_runs_fails_safely_and_cascades(spark, sheets, tmp_path):
     assert last.frame("DimEmployees").count() == 1
 
 
+def test_ingest_stops_at_the_first_bad_sheet(spark, sheets, tmp_path):
+    """Sheets before the bad one are replaced, the others are not, and nothing is loaded."""
+    root = str(tmp_path / "w")
+    bad = {**sheets, "Employees": sheets["Employees"].withColumnRenamed("Title", "Rank")}
+    result = run_load(spark, bad, root, WINDOW, JAN)
+    assert not result["success"] and "Rank" in result["error"]
+    assert sorted(Warehouse(spark, root).snapshot().tables) == ["Categories", "Customers", "LoadAudit"]
+    assert [r["status"] for r in read_audit(spark, root).orderBy("step_no").collect()] == [
+        "Completed", "Completed", "Failed"]
+
+
 def test_failed_write_leaves_the_published_state(spark, table, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "w"))
     base = warehouse.snapshot()

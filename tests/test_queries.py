@@ -4,12 +4,14 @@ import pytest
 from compare import difference, oracle_connection
 
 import __spark_entry__ as contract
+from dimweave.plans.registry import samples
 
 QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
-def con(sf_dir):
+def con(spark, sf_dir):
+    samples(spark, sf_dir).after(3, "FactOrders_Error")  # all batches at once, steps side by side
     return oracle_connection(sf_dir)
 
 
