@@ -73,10 +73,14 @@ def dimension_keys(dims: dict[str, DataFrame], key: FactKey) -> DataFrame:
 
 
 def resolve(rows: DataFrame, keys: tuple[FactKey, ...], dims: dict[str, DataFrame], how: str,
-            spread_by: str = ROW_ID) -> DataFrame:
-    """Add the surrogate key of each dimension; unresolved rows drop with ``how="inner"``."""
+            spread_by: str = ROW_ID, sample_from: DataFrame | None = None) -> DataFrame:
+    """Add the surrogate key of each dimension; unresolved rows drop with ``how="inner"``.
+
+    Hot natural keys are looked for in ``sample_from``, by default the rows before any lookup.
+    """
+    given = rows if sample_from is None else sample_from
     for key in keys:
-        rows = lookup_join(rows, dimension_keys(dims, key), key.column, how, spread_by)
+        rows = lookup_join(rows, dimension_keys(dims, key), key.column, how, spread_by, sample_from=given)
     return rows
 
 
@@ -127,10 +131,10 @@ def newest_order_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 def fact_source(orders: DataFrame, lines: DataFrame, dims: dict[str, DataFrame], window: Window) -> DataFrame:
     """Valid, deduplicated fact rows of the window."""
-    newest = newest_orders(orders_in_window(orders, window))
-    valid_orders = materialize(resolve(newest, ORDER_KEYS, dims, "inner"), "fact-orders")
-    joined = newest_order_lines(valid_orders, lines)
-    joined = resolve(joined, LINE_KEYS, dims, "inner", LINES_ROW)
+    windowed = orders_in_window(orders, window)
+    valid_orders = resolve(newest_orders(windowed), ORDER_KEYS, dims, "inner", sample_from=windowed)
+    joined = newest_order_lines(materialize(valid_orders, "fact-orders"), lines)
+    joined = resolve(joined, LINE_KEYS, dims, "inner", LINES_ROW, sample_from=lines)
     values = {
         "OrderID_NK": F.col("OrderID"), "ProductID_NK": F.col("ProductID"), "SalesAmount": sales_amount(),
         ORDERS_SOURCE: F.lit(source_key("Orders")), LINES_SOURCE: F.lit(source_key("OrderDetails")),

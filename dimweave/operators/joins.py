@@ -72,25 +72,30 @@ def _spread(df: DataFrame, key: str, hot: dict, by: str, salt: str) -> DataFrame
 def _repeat(df: DataFrame, key: str, hot: dict, salt: str) -> DataFrame:
     """Repeat rows of a hot key for each of its parts."""
     if not hot:
-        return df.withColumn(salt, F.lit(0))
+        # Always 0, but not a constant: the optimizer would take a constant out of the shuffle keys
+        # and with it the spread of NULL keys on the other side.
+        return df.withColumn(salt, F.pmod(F.xxhash64(key), F.lit(1)).cast("int"))
     marked = df.join(hot_frame(df, key, hot), key, "left")
     every = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
     return marked.withColumn(salt, F.explode(every)).drop("_parts")
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str, spread_by: str,
-                small: bool | None = None) -> DataFrame:
+                small: bool | None = None, sample_from: DataFrame | None = None) -> DataFrame:
     """Join ``rows`` to ``lookup``, which has one row per key.
 
     ``how`` is inner, left, left_semi or left_anti; ``spread_by`` names a column that tells rows
     of one key apart. ``small`` says whether ``lookup`` fits a broadcast where the caller has a
-    bound for it already; otherwise it is measured.
+    bound for it already; otherwise it is measured. ``sample_from`` is a cheaper frame to look
+    for hot keys in than ``rows``.
     """
     if fits_broadcast(lookup) if small is None else small:
         return rows.join(F.broadcast(lookup), key, how)
     if how in ("inner", "left_semi"):
         rows = rows.where(F.col(key).isNotNull())
-    hot = hot_keys(rows, key)
+    hot = hot_keys(rows if sample_from is None else sample_from, key)
+    if not hot and how in ("inner", "left_semi"):
+        return rows.join(lookup, key, how)
     spread, repeated = _spread(rows, key, hot, spread_by, "_salt"), _repeat(lookup, key, hot, "_salt")
     return spread.join(repeated, [key, "_salt"], how).drop("_salt")
 
@@ -103,6 +108,8 @@ def pair_join(left: DataFrame, right: DataFrame, key: str, spread_left: str, spr
     if fits_broadcast(left):
         return F.broadcast(left).join(right, key)
     hot_left, hot_right = hot_keys(left, key), hot_keys(right, key)
+    if not hot_left and not hot_right:
+        return left.join(right, key)
     for k in hot_left.keys() & hot_right.keys():  # rows are both spread and repeated: share the parts
         hot_left[k], hot_right[k] = (math.ceil(math.sqrt(h[k])) for h in (hot_left, hot_right))
     left = _repeat(_spread(left, key, hot_left, spread_left, "_salt_l"), key, hot_right, "_salt_r")

@@ -45,6 +45,20 @@ def test_salted_rows_are_spread(spark, rows, lookup, shuffled):
     assert len(sizes) > 60 and max(sizes) < 200
 
 
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+@pytest.mark.parametrize("hot", [True, False])
+def test_null_keys_are_spread_by_the_shuffle(spark, rows, lookup, shuffled, monkeypatch, how, hot):
+    """The salt stays a shuffle key, with and without hot keys, so no task gets all NULL keys."""
+    monkeypatch.setattr(shuffled, "HOT_SHARE", 0.02 if hot else 0.5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = lookup_join(rows, lookup.where("k is not null"), "k", how, "row")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("hashpartitioning(k#") == 2 and plan.count("_salt#") > 2
+    assert all("_salt" in part.split("]")[0] for part in plan.split("hashpartitioning(k#")[1:])
+    assert _sorted(joined) == _sorted(rows.join(lookup, "k", how))
+
+
 def test_pair_join_with_hot_keys_on_both_sides(spark, rows, shuffled):
     right = spark.range(300).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"),
                                     F.col("id").alias("other"))
