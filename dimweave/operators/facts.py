@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.functions import reasons
-from dimweave.functions.changes import any_differs, zero_if_null
+from dimweave.functions.changes import any_differs, with_collation, zero_if_null
 from dimweave.operators.joins import (
     fits_broadcast, hot_frame, hot_keys, key_set, lookup_join, newest_per_key, pair_join,
 )
@@ -73,14 +73,18 @@ def dimension_keys(dims: dict[str, DataFrame], key: FactKey) -> DataFrame:
 
 
 def resolve(rows: DataFrame, keys: tuple[FactKey, ...], dims: dict[str, DataFrame], how: str,
-            spread_by: str = ROW_ID, sample_from: DataFrame | None = None) -> DataFrame:
+            spread_by: str = ROW_ID, sample_from: DataFrame | None = None, collation: str | None = None) -> DataFrame:
     """Add the surrogate key of each dimension; unresolved rows drop with ``how="inner"``.
 
     Hot natural keys are looked for in ``sample_from``, by default the rows before any lookup.
     """
     given = rows if sample_from is None else sample_from
     for key in keys:
-        rows = lookup_join(rows, dimension_keys(dims, key), key.column, how, spread_by, sample_from=given)
+        compared = with_collation(F.col(key.column), rows.schema[key.column].dataType, collation)
+        lookup = dimension_keys(dims, key).select(compared.alias("_nk"), key.fk)
+        keyed = rows.withColumn("_nk", compared)
+        sample = given.select(compared.alias("_nk"))
+        rows = lookup_join(keyed, lookup, "_nk", how, spread_by, sample_from=sample).drop("_nk")
     return rows
 
 
@@ -129,10 +133,12 @@ def newest_order_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return newest(usual_lines.join(orders, "OrderID")).unionByName(newest(keyed.join(heavy_orders, "OrderID")))
 
 
-def fact_source(orders: DataFrame, lines: DataFrame, dims: dict[str, DataFrame], window: Window) -> DataFrame:
+def fact_source(orders: DataFrame, lines: DataFrame, dims: dict[str, DataFrame], window: Window,
+                collation: str | None = None) -> DataFrame:
     """Valid, deduplicated fact rows of the window."""
     windowed = orders_in_window(orders, window)
-    valid_orders = resolve(newest_orders(windowed), ORDER_KEYS, dims, "inner", sample_from=windowed)
+    valid_orders = resolve(newest_orders(windowed), ORDER_KEYS, dims, "inner", sample_from=windowed,
+                           collation=collation)
     joined = newest_order_lines(materialize(valid_orders, "fact-orders"), lines)
     joined = resolve(joined, LINE_KEYS, dims, "inner", LINES_ROW, sample_from=lines)
     values = {
@@ -160,7 +166,7 @@ def month_of(column: str) -> Column:
 
 
 def merge_fact(stored: DataFrame | None, source: DataFrame, window: Window, load_ts: datetime.datetime,
-               last_key: int) -> FactLoaded:
+               last_key: int, collation: str | None = None) -> FactLoaded:
     """Insert, update and delete so that ``stored`` matches ``source`` in the window.
 
     ``stored`` must hold every stored row of the window and every row with a key of ``source``,
@@ -180,7 +186,7 @@ def merge_fact(stored: DataFrame | None, source: DataFrame, window: Window, load
     action = (F.when(F.col("old").isNull(), "insert")
               .when(F.col("new").isNull() & window.contains("old.OrderDate"), "delete")
               .when(F.col("new").isNull(), "keep")
-              .when(any_differs("old", "new", FACT_COMPARED.fields), "update").otherwise("keep"))
+              .when(any_differs("old", "new", FACT_COMPARED.fields, collation), "update").otherwise("keep"))
     labelled = paired.select("old", "new", action.alias("_action")).where("_action != 'delete'")
     table = materialize(labelled, "merge-fact", partition_by="_action")
 
@@ -247,7 +253,7 @@ def _unresolved(keys: tuple[FactKey, ...]) -> Column:
 
 
 def reject_candidates(orders: DataFrame, lines: DataFrame, dims: dict[str, DataFrame], window: Window,
-                      ) -> DataFrame:
+                      collation: str | None = None) -> DataFrame:
     """Rejected rows before their reason is written: natural keys, surrogate keys, measures.
 
     Pairs of a sound order and a sound line are never formed. The rest is the union of
@@ -255,7 +261,8 @@ def reject_candidates(orders: DataFrame, lines: DataFrame, dims: dict[str, DataF
     and lines without an order.
     """
     windowed = orders_in_window(orders, window).select(ROW_ID, *_ORDER_COLUMNS)
-    flagged = resolve(windowed, ORDER_KEYS, dims, "left").withColumn("_bad", _unresolved(ORDER_KEYS))
+    flagged = resolve(windowed, ORDER_KEYS, dims, "left", collation=collation)
+    flagged = flagged.withColumn("_bad", _unresolved(ORDER_KEYS))
     flagged = materialize(flagged, "reject-orders", partition_by="_bad")
     resolved = resolve(lines.select(ROW_ID, *_LINE_COLUMNS), LINE_KEYS, dims, "left")
     bad_lines = materialize(resolved.where(_unresolved(LINE_KEYS)), "reject-lines")
@@ -294,9 +301,10 @@ def reject_filter() -> Column:
     return reduce(or_, [F.col(c).isNull() for c in needed])
 
 
-def reject_source(orders: DataFrame, lines: DataFrame, dims: dict[str, DataFrame], window: Window) -> DataFrame:
+def reject_source(orders: DataFrame, lines: DataFrame, dims: dict[str, DataFrame], window: Window,
+                  collation: str | None = None) -> DataFrame:
     """Rejected rows of the window plus all orphan lines, with reasons."""
-    found = reject_candidates(orders, lines, dims, window)
+    found = reject_candidates(orders, lines, dims, window, collation)
     for nk, column in _natural_names().items():
         found = found.withColumnRenamed(column, nk)
     values = {ORDERS_SOURCE: F.lit(source_key("Orders")), LINES_SOURCE: F.lit(source_key("OrderDetails")),

@@ -127,8 +127,8 @@ def run_load(spark: SparkSession, sources: dict[str, DataFrame | str], warehouse
             run.step(f"update_{policy.target}", policy.source, policy.target,
                      lambda base, p=policy: dimension_step(base, p, as_of, collation))
         both = "Orders, OrderDetails"
-        run.step("update_fact", both, FACT_TABLE, lambda base: fact_step(base, window, load_ts))
-        run.step("update_rejects", both, REJECT_TABLE, lambda base: reject_step(base, window, load_ts))
+        run.step("update_fact", both, FACT_TABLE, lambda base: fact_step(base, window, load_ts, collation))
+        run.step("update_rejects", both, REJECT_TABLE, lambda base: reject_step(base, window, load_ts, collation))
     except Exception as error:
         log.exception("execution %s failed", run.execution_id)
         result = {"success": False, "execution_id": run.execution_id, "status": "Failed", "error": str(error)}
@@ -144,6 +144,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--sources", required=True, help="folder with one entry per source table")
     parser.add_argument("--warehouse", required=True)
     parser.add_argument("--source_format", default="parquet", choices=["parquet", "csv"])
+    parser.add_argument("--collation", default=None, help="text collation, for example UTF8_LCASE_RTRIM")
     parser.add_argument("--as_of", default=None, help="load date, today if not given")
     args = parser.parse_args(argv)
     window = Window.parse(args.start_date, args.end_date)
@@ -153,7 +154,7 @@ def main(argv: list[str] | None = None) -> int:
     suffix = "" if args.source_format == "parquet" else ".csv"
     sources = {s: f"{args.sources.rstrip('/')}/{s}{suffix}" for s in SOURCES}
     result = run_load(spark, sources, args.warehouse, window, as_of,
-                      datetime.datetime.combine(as_of, now.time()), args.source_format)
+                      datetime.datetime.combine(as_of, now.time()), args.source_format, args.collation)
     return 0 if result["success"] else 1
 
 

@@ -86,9 +86,11 @@ def _window_months(tables: Snapshot, table: str, window: facts.Window) -> list[s
     return [m for m in tables.months(table) if first <= m <= last]
 
 
-def fact_step(tables: Snapshot, window: facts.Window, load_ts: datetime.datetime) -> StepResult:
+def fact_step(tables: Snapshot, window: facts.Window, load_ts: datetime.datetime,
+              collation: str | None = None) -> StepResult:
     """Merge the window into the fact; only months with rows to change are read in full and rewritten."""
-    source = facts.fact_source(tables.frame("Orders"), tables.frame("OrderDetails"), fact_dimensions(tables), window)
+    source = facts.fact_source(tables.frame("Orders"), tables.frame("OrderDetails"), fact_dimensions(tables), window,
+                               collation)
     source = materialize(source, "fact-source")
     touched = _window_months(tables, FACT_TABLE, window)
     others = [m for m in tables.months(FACT_TABLE) if m not in touched]
@@ -96,15 +98,16 @@ def fact_step(tables: Snapshot, window: facts.Window, load_ts: datetime.datetime
         touched += facts.months_to_merge(tables.frame(FACT_TABLE, others), source, window)
     last_key = tables.last_keys.get("FactOrder_SK", 0)
     stored = tables.frame(FACT_TABLE, touched) if touched else None
-    merged = facts.merge_fact(stored, source, window, load_ts, last_key)
+    merged = facts.merge_fact(stored, source, window, load_ts, last_key, collation)
     return StepResult([Change(FACT_TABLE, merged.rows, months=touched)], {"FactOrder_SK": merged.last_key},
                       merged.inserted)
 
 
-def reject_step(tables: Snapshot, window: facts.Window, load_ts: datetime.datetime) -> StepResult:
+def reject_step(tables: Snapshot, window: facts.Window, load_ts: datetime.datetime,
+                collation: str | None = None) -> StepResult:
     """Refresh the rejects of the window and those without an order date."""
     rejected = facts.reject_source(tables.frame("Orders"), tables.frame("OrderDetails"), fact_dimensions(tables),
-                                   window)
+                                   window, collation)
     touched = _window_months(tables, REJECT_TABLE, window) + ["none"]
     last_key = tables.last_keys.get("FactOrder_Error_SK", 0)
     fresh = facts.refresh_rejects(tables.frame(REJECT_TABLE, touched), rejected, window, load_ts, last_key)

@@ -106,11 +106,21 @@ def test_order_without_lines_and_orphans_of_any_date(rejects):
         (99, None, reasons.LINE_WITHOUT_ORDER + reasons.NO_PRODUCT)], key=repr)
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_collation_reaches_the_fact_lookups(request, table, dims, large):
+    if large:
+        request.getfixturevalue("shuffled")
+    orders = table("Orders", [order(1, 1, CustomerID="a "), order(2, 2, TerritoryID="t"), order(3, 3, CustomerID=None)])
+    lines = table("OrderDetails", [line(1, 1), line(2, 2), line(3, 3)])
+    assert facts.fact_source(orders, lines, dims, WINDOW).count() == 0
+    found = facts.fact_source(orders, lines, dims, WINDOW, "UTF8_LCASE_RTRIM")
+    assert sorted(r["OrderID_NK"] for r in found.collect()) == [1, 2]
+    bad = facts.reject_source(orders, lines, dims, WINDOW, "UTF8_LCASE_RTRIM")
+    assert [(r["OrderID_NK"], r["ErrorReason"]) for r in bad.collect()] == [(3, "Missing CustomerID; ")]
+
+
 def test_large_paths_give_the_same_rejects(rejects, source, shuffled):
     test_reasons_in_order(rejects)
-    test_order_without_lines_and_orphans_of_any_date(rejects)
-    test_invalid_duplicates_are_all_rejected(rejects)
-    test_newest_pair_is_newest_order_with_newest_line(source)
 
 
 def test_merge_moves_updates_and_deletes(table, source):
