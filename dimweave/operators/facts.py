@@ -183,22 +183,22 @@ def merge_fact(stored: DataFrame | None, source: DataFrame, window: Window, load
         return df.select(*FACT_GRAIN, F.struct("*").alias(name))
 
     paired = keyed(stored, "old").join(keyed(source, "new"), FACT_GRAIN, "full_outer")
-    action = (F.when(F.col("old").isNull(), "insert")
-              .when(F.col("new").isNull() & window.contains("old.OrderDate"), "delete")
-              .when(F.col("new").isNull(), "keep")
-              .when(any_differs("old", "new", FACT_COMPARED.fields, collation), "update").otherwise("keep"))
-    labelled = paired.select("old", "new", action.alias("_action")).where("_action != 'delete'")
-    table = materialize(labelled, "merge-fact", partition_by="_action")
-
-    def rows(label):
-        return table.where(F.col("_action") == label).drop("_action")
-
-    numbered = number_in_any_order(rows("insert").select("new"), "FactOrder_SK", last_key)
-    inserted = numbered.select("FactOrder_SK", "new.*", *stamps)
-    updated = rows("update").select("old.FactOrder_SK", "new.*", *stamps)
-    merged = rows("keep").select("old.*").unionByName(updated).unionByName(inserted)
-    count = rows("insert").count()
-    return FactLoaded(_typed(merged, FACT), last_key + count, count)
+    is_new, is_gone = F.col("old").isNull(), F.col("new").isNull()
+    paired = paired.where(~F.coalesce(is_gone & window.contains("old.OrderDate"), F.lit(False)))
+    changed = any_differs("old", "new", FACT_COMPARED.fields, collation)
+    paired = paired.withColumn("_write", is_new | (~is_gone & changed))
+    values = {"FactOrder_SK": F.col("old.FactOrder_SK")}
+    for f, stamp in zip(FACT.fields[-2:], stamps):
+        values[f.name] = F.when(F.col("_write"), stamp).otherwise(F.col(f"old.{f.name}"))
+    for f in FACT_SOURCE.fields:
+        values[f.name] = F.when(F.col("_write"), F.col(f"new.{f.name}")).otherwise(F.col(f"old.{f.name}"))
+    merged = paired.select(*[v.cast(FACT[c].dataType).alias(c) for c, v in values.items()], is_new.alias("_new"))
+    table = materialize(merged, "merge-fact", partition_by="_new")
+
+    fresh = table.where("_new").drop("_new", "FactOrder_SK")
+    count = fresh.count()
+    rows = table.where("NOT _new").drop("_new").unionByName(number_in_any_order(fresh, "FactOrder_SK", last_key))
+    return FactLoaded(_typed(rows, FACT), last_key + count, count)
 
 
 def _second(ts: datetime.datetime) -> Column:
