@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import packing, token_store
-from dimweave.llm.common import new_folder, read
+from dimweave.llm import chat, html_text, line_dedup, packing, quality, repeats, simhash, tiling, token_store
+from dimweave.llm.common import materialize, new_folder, read
 
 
 def tokenizer_path() -> str:
@@ -26,12 +26,73 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(token_store.read_unkeyed(spark, keys, folder))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each leaked item of each document; clean documents give none."""
+    return tiling.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), window=2048, end_id=1)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = materialize(quality.with_statistics(read(spark, sf_dir, "documents")), "statistics")
+    return quality.scores(stats, quality.fit(stats, read(spark, sf_dir, "labels")))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"  # control strings as text
+    extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], given.schema)
+    written = materialize(chat.format_turns(given.union(extra)), "formatted")
+    return chat.conversation_digests(chat.read_turns(written))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the lines that are kept."""
+    kept = line_dedup.remove_later_runs(read(spark, sf_dir, "documents"))
+    return kept.select("row.doc_id", "n_lines", "n_removed", "text")
+
+
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, sf_dir, "documents"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
+    "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
+    "op4_quality": op4_quality,
+    "op5_html_text": op5_html_text,
+    "op6_chat_format": op6_chat_format,
+    "op7_line_dedup": op7_line_dedup,
+    "op9_repeated_bytes": op9_repeated_bytes,
+    "op10_simhash": op10_simhash,
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_chat_format": r"""
+        WITH given AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        escaped AS (
+            SELECT *, CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 19 + length(role) END
+                + 2 * length(text) - length(replace(text, '\', ''))
+                + length(regexp_replace(text, '(\[/?(SYS|INST|ROLE)\]|\[TEXT\]|</?s>)', '\1.', 'g')) - length(text) AS chars
+            FROM given)
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(chars) AS BIGINT) AS formatted_chars
+        FROM escaped GROUP BY conv_id""",
 }
-ORACLE_SQL: dict[str, str] = {}
