@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import chat, html_text, line_dedup, packing, quality, repeats, simhash, tiling, token_store
+from dimweave.llm import chat, html_text, line_dedup, neighbours, packing, quality, repeats, simhash, tiling, token_store
 from dimweave.llm.common import materialize, new_folder, read
 
 
@@ -58,6 +58,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("row.doc_id", "n_lines", "n_removed", "text")
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_html_text": op5_html_text,
     "op6_chat_format": op6_chat_format,
     "op7_line_dedup": op7_line_dedup,
+    "op8_neighbours": op8_neighbours,
     "op9_repeated_bytes": op9_repeated_bytes,
     "op10_simhash": op10_simhash,
 }

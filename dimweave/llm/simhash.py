@@ -24,10 +24,10 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import materialize, slices
+from dimweave.llm.common import keyed_texts, materialize, slices
 
 DISTANCE = 3
 SEED = 42
@@ -38,10 +38,10 @@ GOLAY = 0b101011100011
 
 
 def fingerprint_rows(docs: DataFrame, size: int = 3) -> DataFrame:
-    """``doc_id`` and the fingerprint (a long with the 64 bits) of every row."""
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    """``doc_id``, ``text_key`` and the fingerprint (a long with the 64 bits) of every row."""
+    texts = keyed_texts(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(_fingerprinter(size), f"doc_id {kind}, fingerprint long")
+    return texts.mapInArrow(_fingerprinter(size), f"doc_id {kind}, text_key long, fingerprint long")
 
 
 def fingerprint(text: str, size: int = 3) -> int:
@@ -62,7 +62,8 @@ def _fingerprinter(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b, "text")):
             prints = np.array([fingerprint(t, size) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(prints.view(np.int64))],
+                                             ["doc_id", "text_key", "fingerprint"])
 
     return run
 
@@ -208,13 +209,27 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
+def classified(docs: DataFrame, size: int = 3) -> DataFrame:
+    """``doc_id``, ``text_key``, ``fingerprint`` and ``root`` of every row; rows of one component share the root."""
+    prints = materialize(fingerprint_rows(docs, size), "fingerprints")
+    distinct = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
+    roots = components(links(materialize(distinct, "distinct").select("fingerprint")))
+    joined = prints.join(roots, prints["fingerprint"] == roots["node"], "left")
+    return joined.select("doc_id", "text_key", "fingerprint", F.coalesce("root", "fingerprint").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 3) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row of ``docs``."""
-    prints = materialize(fingerprint_rows(docs, size), "fingerprints")
-    distinct = materialize(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(distinct.select("fingerprint")))
-    rooted = (distinct.join(roots, distinct["fingerprint"] == roots["node"], "left")
-              .select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")))
-    rooted = materialize(rooted, "rooted")
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    rows = materialize(classified(docs, size), "classified")
+    named = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(named, "root").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, size: int = 3) -> DataFrame:
+    """The first row of each component, by doc_id and then by text_key, with all its columns."""
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first")
+    kept = classified(docs, size).groupBy("root").agg(first).select("first.doc_id", "first.text_key", F.lit(True).alias("kept"))
+    whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    joined = whole.join(kept, whole["id"].eqNullSafe(kept["doc_id"]) & (whole["key"] == kept["text_key"]))
+    place = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.lit(0)))  # equal rows: one stays
+    return joined.select("row", place.alias("place")).where("place = 1").select("row.*")
