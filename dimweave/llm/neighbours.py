@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from dimweave.llm.common import materialize
 
-TREES, DEPTH, SHARE = 4, 6, 0.25
-LEAF_ROWS = 64  # fewer rows than this are not split
+TREES, DEPTH, SHARE = 4, 6, 0.35
+LEAF_ROWS = 16  # fewer rows than this are not split
 SAMPLE = 20_000
 QUERY_BLOCK, ROW_BLOCK = 2048, 2048  # bound the scores that a task holds at a time
 
