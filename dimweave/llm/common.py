@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +14,8 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.sources.scratch import materialize, scratch_root
+from dimweave.sources import scratch
+from dimweave.sources.scratch import scratch_root
 
 __all__ = ["keyed_texts", "materialize", "new_folder", "open_store", "read", "slices", "spread"]
 
@@ -23,6 +26,33 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and return a reader over it.
+
+    Spark deletes the shuffle files of a finished plan when the driver's JVM has collected the plan. A step may
+    shuffle as much as its input, so collection is asked for here instead of left to chance.
+    """
+    written = scratch.materialize(df, label)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return written
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once for each application."""
+    context = spark.sparkContext
+    if any(f.endswith("/dimweave-code.zip") for f in context.listFiles):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="dimweave-"), "dimweave-code.zip")  # the driver's own; Spark hands it out
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(path)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder that driver and executors share."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

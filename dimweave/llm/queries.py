@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimweave.llm import chat, html_text, line_dedup, neighbours, packing, quality, repeats, simhash, tiling, token_store
-from dimweave.llm.common import materialize, new_folder, read
+from dimweave.llm.common import materialize, new_folder, read, ship_code
 
 
 def tokenizer_path() -> str:
@@ -70,17 +71,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_code(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_token_store": op1_token_store,
-    "op2_decontamination": op2_decontamination,
-    "op3_packing": op3_packing,
-    "op4_quality": op4_quality,
-    "op5_html_text": op5_html_text,
-    "op6_chat_format": op6_chat_format,
-    "op7_line_dedup": op7_line_dedup,
-    "op8_neighbours": op8_neighbours,
-    "op9_repeated_bytes": op9_repeated_bytes,
-    "op10_simhash": op10_simhash,
+    q.__name__: _shipped(q)
+    for q in (op1_token_store, op2_decontamination, op3_packing, op4_quality, op5_html_text, op6_chat_format, op7_line_dedup, op8_neighbours,
+              op9_repeated_bytes, op10_simhash)
 }
 
 ORACLE_SQL: dict[str, str] = {

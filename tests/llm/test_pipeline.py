@@ -1,0 +1,92 @@
+"""The pipeline stage by stage on a small corpus with planted cases, and as a whole."""
+
+import random
+
+import pytest
+
+import corpus_pipeline as pipeline
+from dimweave.llm.common import materialize, read
+
+STAGES = dict(pipeline.STAGES)
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Input and output of every stage on the given small tables."""
+    folder = "/root/testdata/sf0.01"
+    docs, out = read(spark, folder, "documents"), []
+    for name, stage in pipeline.STAGES:
+        result = materialize(stage(spark, docs, folder), "stage")
+        out.append((name, docs, result))
+        docs = result
+    return out
+
+
+def test_stages_keep_the_columns_of_documents(stages):
+    for _, before, after in stages[:-1]:
+        assert after.schema.names == before.schema.names
+        assert [f.dataType for f in after.schema] == [f.dataType for f in before.schema]
+
+
+def test_rejected_documents_are_those_labelled_so(spark, stages):
+    _, before, after = stages[0]
+    labels = read(spark, "/root/testdata/sf0.01", "labels")
+    lost = before.join(after, "doc_id", "left_anti").join(labels, "doc_id").toPandas()
+    kept = after.join(labels, "doc_id").toPandas()
+    assert (lost["quality"] == 0).mean() > 0.95
+    assert (kept["quality"] == 1).mean() > 0.95
+
+
+def test_later_stages_only_remove(stages):
+    for name, before, after in stages[1:4]:
+        ids = {r["doc_id"] for r in before.select("doc_id").collect()}
+        left = {r["doc_id"] for r in after.select("doc_id").collect()}
+        assert left <= ids
+        if name == "line dedup":
+            assert left == ids
+        else:
+            assert 0.8 * len(ids) < len(left) < len(ids)
+    assert all(r["n_chars"] == len(r["text"] or "") for r in stages[1][2].collect())
+
+
+def test_pieces_hold_what_is_left(stages):
+    _, before, after = stages[-1]
+    left = {r["doc_id"] for r in before.select("doc_id").collect()}
+    assert {r["doc_id"] for r in after.select("doc_id").distinct().collect()} == left
+
+
+def test_planted_cases(spark, documents):
+    rng = random.Random(8)
+    syllables = ["th", "er", "on", "an", "re", "he", "in", "ti", "st"]
+    text = lambda n: " ".join("".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+    clean = [(i, text(200)) for i in range(30)]
+    copy = clean[3][1].split()
+    near = [(100 + i, " ".join([*copy[:i * 9], "edited", *copy[i * 9:]])) for i in range(4)]
+    docs = documents([*clean, *near, (200, clean[5][1]), (None, text(80)), (201, None)])
+    kept = {r["doc_id"] for r in STAGES["SimHash near-dedup"](spark, docs, "").collect()}
+    assert {i for i, _ in clean} <= kept
+    assert 200 not in kept
+    assert None in kept
+    items = read(spark, "/root/testdata/sf0.01", "benchmark").limit(3).collect()
+    leaking = documents([*clean, *((300 + r["item_id"], text(50) + " " + r["text"] + " " + text(50)) for r in items)])
+    left = {r["doc_id"] for r in STAGES["benchmark decontamination"](spark, leaking, "/root/testdata/sf0.01").collect()}
+    assert left == {i for i, _ in clean}
+    passage = text(60)
+    repeated = documents([(1, text(50) + "\n" + passage), (2, passage + "\n" + text(50)), *((10 + i, t) for i, t in clean)])
+    texts = {r["doc_id"]: r["text"] for r in STAGES["line dedup"](spark, repeated, "").collect()}
+    assert passage in texts[1]
+    assert passage not in texts[2]
+    assert all(texts[10 + i] == t for i, t in clean)
+
+
+def test_stages_take_an_empty_table(spark, documents):
+    empty = documents([(1, "x")]).where("false")
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, empty, "/root/testdata/sf0.01").count() == 0, name
+
+
+def test_run_is_registered(spark):
+    import __spark_entry__
+
+    assert __spark_entry__.queries()["pipeline"] is pipeline.run
+    assert [n for n, _ in pipeline.STAGES] == ["quality classifier", "line dedup", "SimHash near-dedup", "benchmark decontamination", "packing"]
