@@ -56,9 +56,10 @@ def check_unique_source(src: DataFrame, nk: str, collation: str | None = None) -
     """Raise when a natural key occurs twice in the source."""
     kind = src.schema[nk].dataType
     key = with_collation(F.col(nk), kind, collation)
-    repeated = src.groupBy(key.alias(nk)).count().where("count > 1").select(nk).limit(5).collect()
-    if repeated:
-        raise ValueError(f"duplicate natural keys in {nk}: {[r[0] for r in repeated]}")
+    repeated = src.groupBy(key.alias(nk)).count().where("count > 1")
+    found = repeated.agg(F.count(F.lit(1)).alias("n"), F.min(nk).alias("least"), F.max(nk).alias("greatest")).first()
+    if found["n"]:
+        raise ValueError(f"duplicate natural keys in {nk}: {found['n']} keys, from {found['least']} to {found['greatest']}")
 
 
 def pair(old: DataFrame, new: DataFrame, nk: str, collation: str | None = None) -> DataFrame:

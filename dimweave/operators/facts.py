@@ -202,7 +202,8 @@ def merge_fact(stored: DataFrame | None, source: DataFrame, window: Window, load
 
 
 def _second(ts: datetime.datetime) -> Column:
-    return F.lit(ts.replace(microsecond=0)).cast("timestamp_ntz")
+    """A time stamp as written, in whole seconds, whatever the time zones of Python and the session."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
 def _typed(df: DataFrame, schema) -> DataFrame:
@@ -265,12 +266,14 @@ def reject_candidates(orders: DataFrame, lines: DataFrame, dims: dict[str, DataF
     flagged = flagged.withColumn("_bad", _unresolved(ORDER_KEYS))
     flagged = materialize(flagged, "reject-orders", partition_by="_bad")
     resolved = resolve(lines.select(ROW_ID, *_LINE_COLUMNS), LINE_KEYS, dims, "left")
-    bad_lines = materialize(resolved.where(_unresolved(LINE_KEYS)), "reject-lines")
+    # Written once: the lines meet the products in one shuffle, whatever is asked of them afterwards.
+    resolved = materialize(resolved.withColumn("_bad", _unresolved(LINE_KEYS)), "reject-lines", partition_by="_bad")
+    bad_lines, resolved = resolved.where("_bad").drop("_bad"), resolved.drop("_bad")
     bad, sound = flagged.where("_bad").drop("_bad"), flagged.where("NOT _bad").drop("_bad")
 
     pairs = order_lines(bad, resolved).unionByName(order_lines(sound, bad_lines))
     lonely = unmatched_orders(flagged.drop("_bad"), lines).withColumnRenamed(ROW_ID, ORDERS_ROW)
-    orphans = resolve(orphan_lines(lines, orders).select(ROW_ID, *_LINE_COLUMNS), LINE_KEYS, dims, "left")
+    orphans = orphan_lines(resolved, orders)
     orphans = _named_lines(orphans).withColumn("_orphan", F.lit(True))
     return (pairs.unionByName(lonely, allowMissingColumns=True)
             .unionByName(orphans, allowMissingColumns=True))

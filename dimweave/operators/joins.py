@@ -47,10 +47,13 @@ def hot_keys(df: DataFrame, key: str) -> dict:
     At most ``1 / HOT_SHARE`` keys, and as many parts again, whatever the size of ``df``.
     """
     sample = df.select(key).where(F.col(key).isNotNull()).sample(HOT_SAMPLE, seed=7)
-    total = sample.count()
+    counts = sample.rollup(key).agg(F.count(F.lit(1)).alias("n"), F.grouping(key).alias("all"))  # the total comes with the counts
+    top = counts.orderBy(F.desc("all"), F.desc("n")).limit(1 + math.ceil(1 / HOT_SHARE)).collect()
+    if not top:
+        return {}
+    total = top[0]["n"]
     least = max(HOT_SHARE * total, HOT_SAMPLE_ROWS)
-    found = sample.groupBy(key).count().where(F.col("count") > least).collect()
-    return {r[0]: max(2, math.ceil(r["count"] / (HOT_SHARE * total))) for r in found}
+    return {r[0]: max(2, math.ceil(r["n"] / (HOT_SHARE * total))) for r in top[1:] if r["n"] > least}
 
 
 def hot_frame(df: DataFrame, key: str, hot: dict, column: str = "_parts") -> DataFrame:

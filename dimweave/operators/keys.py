@@ -1,8 +1,9 @@
-"""Dense surrogate keys without a single-task stage.
+"""Dense surrogate keys without a single-task stage over the rows.
 
 The rows are written once; each then has a fixed place (file, row index). Rows per file come
-from the file footers, a running sum over files (one row per file) gives each file its first
-key, and a key is that plus the row index. A stated order costs one range sort before the write.
+from the file footers, a running sum over files gives each file its first key, and a key is that plus
+the row index. Only the running sum, one row for each file or block, is a single task; it is broadcast
+where it is small and joined by hash otherwise. A stated order costs one range sort before the write.
 """
 
 from __future__ import annotations
@@ -10,18 +11,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimweave.operators.joins import fits_broadcast
 from dimweave.sources.scratch import materialize
 
-_FILE, _ROW = "_key_file", "_key_row"
+_FILE, _ROW, _BLOCK = "_key_file", "_key_row", "_key_block"
 
 
-def _number_by_place(placed: DataFrame, column: str, last_key: int, file_order: list[Column]) -> DataFrame:
-    earlier = Window.orderBy(*file_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (placed.groupBy(_FILE).agg(F.count(F.lit(1)).alias("_rows"))
-               .select(_FILE, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")))
+def _file_order() -> list[Column]:
+    """Files by folder, then by the number of a writer's part, then by name."""
+    number = F.regexp_extract(_FILE, r"/part-(\d+)[^/]*$", 1)
+    return [F.regexp_extract(_FILE, r"^(.*)/", 1), F.when(number != "", number.cast("long")), F.col(_FILE)]
+
+
+def _number_by_place(placed: DataFrame, column: str, last_key: int, within: tuple[str, ...] = ()) -> DataFrame:
+    place = [_FILE, *within]
+    earlier = Window.orderBy(*_file_order(), *within).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows"), F.min(_ROW).alias("_first"))
+               .select(*place, (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_before")))
+    if fits_broadcast(offsets):
+        offsets = F.broadcast(offsets)
     key = (F.lit(last_key + 1) + F.col("_before") + F.col(_ROW)).cast("long")
-    return (placed.join(F.broadcast(offsets), _FILE)  # one row per file written
-            .select(key.alias(column), *[c for c in placed.columns if c not in (_FILE, _ROW)]))
+    return placed.join(offsets, place).select(key.alias(column), *[c for c in placed.columns if c not in (*place, _ROW)])
 
 
 def place_columns() -> list[Column]:
@@ -30,8 +40,23 @@ def place_columns() -> list[Column]:
 
 
 def number_by_position(placed: DataFrame, column: str, last_key: int = 0) -> DataFrame:
-    """Keys ``last_key + 1 ..`` in file-name and row order for a frame with ``place_columns()``."""
-    return _number_by_place(placed, column, last_key, [F.col(_FILE)])
+    """Keys ``last_key + 1 ..`` in file and row order for a frame with ``place_columns()``."""
+    return _number_by_place(placed, column, last_key)
+
+
+def block_columns() -> list[Column]:
+    """File, block and running number of each row; only for frames read straight from text files.
+
+    A task reads a block from start to end, so the running numbers of a block ascend without gaps. They differ
+    from run to run, hence the frame must be written before its rows are numbered.
+    """
+    return [F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.file_block_start").alias(_BLOCK),
+            F.monotonically_increasing_id().alias(_ROW)]
+
+
+def number_by_block(written: DataFrame, column: str, last_key: int = 0) -> DataFrame:
+    """Keys ``last_key + 1 ..`` in file, block and row order for a written frame with ``block_columns()``."""
+    return _number_by_place(written, column, last_key, (_BLOCK,))
 
 
 def number_in_any_order(written: DataFrame, column: str, last_key: int = 0) -> DataFrame:
@@ -52,5 +77,4 @@ def number_in_order(written: DataFrame, column: str, last_key: int, order_by: li
     ranged = in_place.orderBy(*[F.col(c).asc_nulls_first() for c in order_by], _FILE, _ROW)
     table = materialize(ranged.drop(_FILE, _ROW), f"ordered-{column}")
     # Writer task n writes part-n in range order; several files of one task end in a running number.
-    task = F.regexp_extract(_FILE, r"/part-(\d+)-[^/]*$", 1).cast("long")
-    return _number_by_place(table.select("*", *place_columns()), column, last_key, [task, F.col(_FILE)])
+    return _number_by_place(table.select("*", *place_columns()), column, last_key)

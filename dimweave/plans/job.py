@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from dimweave.operators.facts import Window
 from dimweave.plans.steps import StepResult, dimension_step, fact_step, reject_step
 from dimweave.sources.ingest import stage_frame, stage_sheet
-from dimweave.sources.schemas import FACT_TABLE, POLICIES, REJECT_TABLE, SOURCES
+from dimweave.sources.schemas import FACT_TABLE, POLICIES, REJECT_TABLE, SOR, SOR_TABLE, SOURCES, sor_rows
 from dimweave.sources.warehouse import Change, Snapshot, Warehouse
 
 log = logging.getLogger("dimweave")
@@ -56,7 +56,7 @@ class _Run:
 
     def ingest(self, loads: dict) -> None:
         """Stage and write all sheets at the same time, then publish them in turn up to the first failure."""
-        base = self.warehouse.snapshot()
+        base = self._with_sources(self.warehouse.snapshot())
 
         def staged(load):
             result: StepResult = load(base)
@@ -71,6 +71,14 @@ class _Run:
 
             self._publish(f"ingest_{source}", source, source, written)
 
+    def _with_sources(self, base: Snapshot) -> Snapshot:
+        """The state with the system-of-record table, seeded by the first run."""
+        if SOR_TABLE in base.tables:
+            return base
+        seed = self.warehouse.spark.createDataFrame(sor_rows(), SOR).coalesce(1)
+        self.warehouse.publish(self.warehouse.write(base, [Change(SOR_TABLE, seed)], {}))
+        return self.warehouse.snapshot()
+
     def _publish(self, name: str, source: str, target: str, written) -> None:
         log.info("execution %s: starting %s", self.execution_id, name)
         try:

@@ -16,8 +16,8 @@ from dimweave.plans.samples import AS_OF, WINDOWS, SampleLoads, all_sources, loa
 from dimweave.plans.steps import fact_dimensions
 from dimweave.sources import ingest
 from dimweave.sources.schemas import (
-    FACT_GRAIN, FACT_TABLE, LINE_KEYS, LINES_ROW, ORDER_KEYS, ORDERS_ROW, POLICIES, REJECT_TABLE, ROW_ID,
-    SOURCES, source_key,
+    FACT_GRAIN, FACT_TABLE, LINE_KEYS, LINES_ROW, MONEY, ORDER_KEYS, ORDERS_ROW, POLICIES, RATE, REJECT_TABLE, ROW_ID,
+    SOR, SOURCES, sor_rows,
 )
 from dimweave.sources.scratch import materialize, scratch_root
 
@@ -88,14 +88,25 @@ def _ingest_row_counts(s: SampleLoads) -> DataFrame:
 
 
 def _dim_sor(s: SampleLoads) -> DataFrame:
-    """System-of-record keys as stamped on the staged rows of each source."""
-    staged = s.stage_all(1, SOURCES)
-    stamped = [staged[n].select(F.lit(source_key(n)).alias("SOR_SK"), F.lit(n).alias("staging_raw_table_name"))
-               for n in SOURCES]
-    union = stamped[0]
-    for other in stamped[1:]:
-        union = union.unionByName(other)
-    return union.distinct()
+    """The system-of-record table with the staged rows of each source; an empty sheet keeps its row."""
+    seed = s.spark.createDataFrame(sor_rows(), SOR)
+    counts = _ingest_row_counts(s).select(F.col("table_name").alias("staging_raw_table_name"), "n_rows")
+    joined = seed.join(counts, "staging_raw_table_name", "left")
+    return joined.select("SOR_SK", "staging_raw_table_name", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+def _stage_sheet(fmt: str) -> Callable[[SampleLoads], DataFrame]:
+    """The order lines as sheet files in a known order, staged by their position."""
+    def run(s: SampleLoads) -> DataFrame:
+        lines = s.spark.read.parquet(f"{s.sf_dir}/lineitem.parquet")
+        sheet = lines.orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount").select(
+            F.col("l_orderkey").alias("Order ID"), F.col("l_partkey").alias("Product ID"), F.col("l_extendedprice").cast(MONEY).alias("Unit Price"),
+            F.col("l_quantity").cast("int").alias("Quantity"), F.col("l_discount").cast(RATE).alias("Discount"))
+        path = f"{scratch_root(s.spark)}/sheet-{uuid.uuid4().hex}"
+        sheet.write.option("header", True).format(fmt).save(path)
+        return ingest.stage_sheet(s.spark, path, "OrderDetails", fmt)
+
+    return run
 
 
 def _normalize_columns(s: SampleLoads) -> DataFrame:
@@ -340,6 +351,8 @@ def _audit(s: SampleLoads) -> DataFrame:
 QUERIES: dict[str, Callable[[SampleLoads], DataFrame]] = {
     "stage_orders": lambda s: _staged(s, 1, "Orders"),
     "stage_order_details": lambda s: _staged(s, 1, "OrderDetails"),
+    "stage_sheet_csv": _stage_sheet("csv"),
+    "stage_sheet_parquet": _stage_sheet("parquet"),
     "ingest_row_counts": _ingest_row_counts,
     "normalize_columns": _normalize_columns,
     "normalize_nulls": _normalize_nulls,

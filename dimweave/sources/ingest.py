@@ -50,8 +50,8 @@ def normalize_nulls(df: DataFrame) -> DataFrame:
 def typed_columns(df: DataFrame, source: str, bad_values: str = "fail") -> list[Column]:
     """The declared columns of ``source`` out of a raw sheet.
 
-    An unknown header fails, an absent column is NULL. A value that does not fit its type
-    fails the load, or becomes NULL with ``bad_values="null"``.
+    An unknown header fails, an absent column is NULL. A value that does not fit its type, or a
+    text longer than declared, fails the load, or becomes NULL with ``bad_values="null"``.
     """
     kept = _kept(df)
     if not kept:
@@ -72,6 +72,11 @@ def typed_columns(df: DataFrame, source: str, bad_values: str = "fail") -> list[
         if bad_values == "fail" and given != f.dataType:
             message = F.concat(F.lit(f"{source}.{f.name}: bad value "), value.cast("string"))
             typed = F.when(value.isNotNull() & typed.isNull(), F.raise_error(message)).otherwise(typed)
+        limit = f.metadata.get("max_length")
+        if limit:
+            message = F.concat(F.lit(f"{source}.{f.name}: longer than {limit}: "), typed)
+            too_long = F.raise_error(message) if bad_values == "fail" else F.lit(None)
+            typed = F.when(F.length(typed) > limit, too_long).otherwise(typed)
         out.append(typed.alias(f.name))
     return out
 
@@ -79,7 +84,8 @@ def typed_columns(df: DataFrame, source: str, bad_values: str = "fail") -> list[
 def stage_frame(df: DataFrame, source: str, also_order_by: tuple[str, ...] = ()) -> DataFrame:
     """Stage any DataFrame as ``source``; row ids follow the order of all columns.
 
-    ``also_order_by`` names extra columns of ``df`` that are only used to order rows.
+    A DataFrame has no row order of its own. ``also_order_by`` names extra columns of ``df`` that are only
+    used to order rows, after all others. Where a sheet's position matters, stage its files.
     """
     extra = [df[c] for c in also_order_by]
     table = df.drop(*also_order_by)
@@ -102,14 +108,13 @@ def stage_sheet(spark: SparkSession, path: str, source: str, fmt: str = "parquet
                 bad_values: str = "fail") -> DataFrame:
     """Stage a sheet from files.
 
-    Parquet rows keep their place: the row id is the position in the file (files by name), with
-    no shuffle. CSV rows have no stable place once a file is split, so they are numbered in the
-    order of all columns.
+    Rows keep their place: the row id is the position in the sheet (files by name and number), without
+    a sort. Parquet files tell it; CSV rows are written once with the block they were read from.
     """
     raw = read_sheet(spark, path, fmt)
     columns = typed_columns(raw, source, bad_values)
     if fmt == "parquet":
         placed = raw.select(*columns, *keys.place_columns())
         return keys.number_by_position(placed, ROW_ID)
-    written = materialize(raw.select(*columns), f"raw-{source}")
-    return keys.number_in_order(written, ROW_ID, 0, STAGING[source].names)
+    written = materialize(raw.select(*columns, *keys.block_columns()), f"raw-{source}")
+    return keys.number_by_block(written, ROW_ID)

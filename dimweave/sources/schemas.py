@@ -91,6 +91,15 @@ def source_key(source: str) -> int:
     return SOURCES.index(source) + 1
 
 
+SOR_TABLE = "Dim_SOR"
+SOR = T.StructType([T.StructField("SOR_SK", T.IntegerType()), T.StructField("staging_raw_table_name", T.StringType())])
+
+
+def sor_rows() -> list[tuple[int, str]]:
+    """The system-of-record table: every source, whatever its sheet holds."""
+    return [(source_key(s), s) for s in SOURCES]
+
+
 def staged_schema(source: str) -> T.StructType:
     return T.StructType([T.StructField(ROW_ID, T.LongType()), *STAGING[source].fields])
 
@@ -260,7 +269,7 @@ REJECT_TABLE = "FactOrders_Error"
 
 
 def table_schema(name: str) -> T.StructType:
-    """Schema of a warehouse table: staged source, dimension, history, fact or rejects."""
+    """Schema of a warehouse table: staged source, dimension, history, fact, rejects or sources."""
     if name in STAGING:
         return staged_schema(name)
     if name in POLICIES:
@@ -268,4 +277,4 @@ def table_schema(name: str) -> T.StructType:
     for p in POLICIES.values():
         if p.history == name:
             return p.history_schema
-    return {FACT_TABLE: FACT, REJECT_TABLE: REJECT}[name]
+    return {FACT_TABLE: FACT, REJECT_TABLE: REJECT, SOR_TABLE: SOR}[name]

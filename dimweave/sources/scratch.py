@@ -22,7 +22,9 @@ def scratch_root(spark: SparkSession) -> str:
         return f"{shared.rstrip('/')}/dimweave-{app}"
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_roots.setdefault(app, tempfile.mkdtemp(prefix="dimweave-"))
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="dimweave-")
+    return _local_roots[app]
 
 
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:

@@ -2,8 +2,10 @@
 
 import datetime
 import decimal
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from dimweave.functions import reasons
 from dimweave.operators import facts
@@ -214,11 +216,54 @@ def test_ingest_stops_at_the_first_bad_sheet(spark, sheets, tmp_path):
     bad = {**sheets, "Employees": sheets["Employees"].withColumnRenamed("Title", "Rank")}
     result = run_load(spark, bad, root, WINDOW, JAN)
     assert not result["success"] and "Rank" in result["error"]
-    assert sorted(Warehouse(spark, root).snapshot().tables) == ["Categories", "Customers", "LoadAudit"]
+    assert sorted(Warehouse(spark, root).snapshot().tables) == ["Categories", "Customers", "Dim_SOR", "LoadAudit"]
     assert [r["status"] for r in read_audit(spark, root).orderBy("step_no").collect()] == [
         "Completed", "Completed", "Failed"]
 
 
+def test_over_long_text_fails_its_step(spark, sheets, tmp_path):
+    root = str(tmp_path / "w")
+    long = sheets["Categories"].withColumn("CategoryName", F.lit("x" * 101))
+    result = run_load(spark, {**sheets, "Categories": long}, root, WINDOW, JAN)
+    assert not result["success"] and "longer than 100" in result["error"]
+    assert sorted(Warehouse(spark, root).snapshot().tables) == ["Dim_SOR", "LoadAudit"]
+
+
+def test_sources_are_listed_whatever_the_sheets_hold(spark, sheets, tmp_path):
+    root = str(tmp_path / "w")
+    assert run_load(spark, {**sheets, "Region": sheets["Region"].limit(0)}, root, WINDOW, JAN)["success"]
+    listed = Warehouse(spark, root).snapshot().frame("Dim_SOR").orderBy("SOR_SK").collect()
+    assert [tuple(r) for r in listed] == [(i + 1, s) for i, s in enumerate(SOURCES)]
+
+
+def test_csv_and_parquet_sheets_give_the_same_fact(spark, sheets, tmp_path):
+    """Two lines of one pair: the later row counts, although its price sorts first."""
+    lines = [{"OrderID": 1, "ProductID": 7, "UnitPrice": 9.0, "Quantity": 1}, {"OrderID": 1, "ProductID": 7, "UnitPrice": 2.0, "Quantity": 1}]
+    prices = {}
+    for fmt in ("csv", "parquet"):
+        given = {}
+        for name, sheet in sheets.items():
+            path = str(tmp_path / f"{name}.{fmt}")
+            own = spark.createDataFrame(lines, "OrderID long, ProductID long, UnitPrice double, Quantity int") if name == "OrderDetails" else sheet
+            own.coalesce(1).write.option("header", True).format(fmt).save(path)
+            given[name] = path
+        root = str(tmp_path / f"warehouse-{fmt}")
+        assert run_load(spark, given, root, WINDOW, JAN, source_format=fmt)["success"]
+        prices[fmt] = [float(r["UnitPrice"]) for r in Warehouse(spark, root).snapshot().frame(FACT_TABLE).collect()]
+    assert prices == {"csv": [2.0], "parquet": [2.0]}
+
+
+def test_time_stamps_do_not_depend_on_time_zones(spark, monkeypatch):
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        stamp = spark.range(1).select(facts._second(NOW).cast("string").alias("t")).first()["t"]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert stamp == "2024-06-01 12:30:05"
+
+
 def test_failed_write_leaves_the_published_state(spark, table, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "w"))
     base = warehouse.snapshot()

@@ -76,8 +76,47 @@ def test_csv_sheet(spark, tmp_path):
     path.write_text("\n".join([lines[0] + ","] + [line + "," for line in lines[1:]]))
     rows = ingest.stage_sheet(spark, str(path), "Orders", "csv").orderBy(ROW_ID).collect()
     assert [(r[ROW_ID], r["OrderID"], r["CustomerID"], r["OrderDate"], r["Freight"]) for r in rows] == [
-        (1, 1, None, datetime.date(1996, 7, 5), None),
-        (2, 2, "ALFKI", datetime.date(1996, 7, 4), decimal.Decimal("32.3800"))]
+        (1, 2, "ALFKI", datetime.date(1996, 7, 4), decimal.Decimal("32.3800")),
+        (2, 1, None, datetime.date(1996, 7, 5), None)]
+
+
+def test_csv_rows_keep_their_position_across_blocks(spark, tmp_path):
+    """Two files, each read in several blocks that are dealt to tasks in any order."""
+    folder = tmp_path / "OrderDetails.csv"
+    folder.mkdir()
+    ids = [(i * 7919) % 20011 for i in range(20000)]
+    for part in range(2):
+        rows = ids[part * 10000:(part + 1) * 10000]
+        (folder / f"part-{part}.csv").write_text("Order ID,Quantity\n" + "".join(f"{i},{i % 9}\n" for i in rows))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000b")
+    try:
+        staged = ingest.stage_sheet(spark, str(folder), "OrderDetails", "csv").orderBy(ROW_ID).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r["OrderID"] for r in staged] == ids
+    assert [r[ROW_ID] for r in staged] == list(range(1, 20001))
+
+
+def test_files_follow_the_numbers_of_their_parts(spark, tmp_path):
+    folder = tmp_path / "Region"
+    folder.mkdir()
+    for part in (99999, 100000):
+        pq.write_table(pa.table({"RegionID": [part]}), folder / f"part-{part}.parquet")
+    rows = ingest.stage_sheet(spark, str(folder), "Region").orderBy(ROW_ID).collect()
+    assert [r["RegionID"] for r in rows] == [99999, 100000]
+
+
+def test_text_over_its_length_fails_and_nulls_do_not(spark):
+    raw = spark.createDataFrame([("A" * 11,), (None,)], "CustomerID string")
+    with pytest.raises(Exception, match="Customers.CustomerID: longer than 10: AAAAAAAAAAA"):
+        ingest.stage_frame(raw, "Customers").collect()
+    columns = ingest.typed_columns(raw, "Customers", bad_values="null")
+    assert [r["CustomerID"] for r in raw.select(*columns).collect()] == [None, None]
+    kept = raw.where("CustomerID is null").union(spark.createDataFrame([("A" * 10,)], "CustomerID string"))
+    assert ingest.stage_frame(kept, "Customers").count() == 2
 
 
 def test_source_keys_follow_the_listed_order():

@@ -4,9 +4,10 @@ import pytest
 from compare import difference, oracle_connection
 
 import __spark_entry__ as contract
-from dimweave.plans.registry import samples
+from dimweave.plans.registry import registered, samples
+from oracle import ORACLE_SQL as ORACLE
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES = registered()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,8 @@ def con(spark, sf_dir):
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
