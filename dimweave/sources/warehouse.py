@@ -9,6 +9,7 @@ only the months it touches.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -127,3 +128,38 @@ class Warehouse:
         stream.close()
         if fs.exists(target) or not fs.rename(draft, target):
             raise RuntimeError(f"version {snapshot.version} of {self.root} already exists")
+
+    def compact(self, table: str, part: str = WHOLE, folders: int = 8) -> bool:
+        """Rewrite a part that appends have spread over more than ``folders`` folders; publishes one version."""
+        base = self.snapshot()
+        if len(base.tables.get(table, {}).get(part, [])) <= folders or table in MONTHLY:
+            return False
+        schema = self.spark.read.parquet(f"{self.root}/{base.tables[table][part][0]}").schema
+        whole = base.frame(table, [part], schema=schema).hint("rebalance")
+        self.publish(self.write(base, [Change(table, whole, part=part)], {}))
+        return True
+
+    def vacuum(self, keep: int = 2, older_than_hours: float = 24.0) -> list[str]:
+        """Delete what none of the last ``keep`` versions names: their readers go on, earlier versions end.
+
+        Folders younger than ``older_than_hours`` stay, as a step may be writing them. Returns the deleted paths.
+        """
+        if keep < 1:
+            raise ValueError("at least one version must be kept")
+        versions = sorted(int(n[:-5]) for n in self._names("_commits") if n.endswith(".json"))
+        named = set()
+        for version in versions[-keep:]:
+            for parts in self.snapshot(version).tables.values():
+                named |= {"/".join(path.split("/")[:2]) for paths in parts.values() for path in paths}
+        before = (time.time() - older_than_hours * 3600) * 1000
+        fs, deleted = self._fs(), []
+        for table in self._names(""):
+            if table.startswith("_"):
+                continue
+            for status in fs.listStatus(self._path(table)):
+                path = f"{table}/{status.getPath().getName()}"
+                if path not in named and status.getModificationTime() < before and fs.delete(status.getPath(), True):
+                    deleted.append(path)
+        for version in versions[:-keep]:
+            fs.delete(self._path(f"_commits/{version:010d}.json"), False)
+        return deleted

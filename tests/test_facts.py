@@ -277,6 +277,25 @@ def test_failed_write_leaves_the_published_state(spark, table, tmp_path):
         warehouse.publish(warehouse.write(base, [], {}))
 
 
+def test_upkeep_keeps_what_readers_use(spark, table, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    for i in range(5):
+        rows = table("Region", [{"RegionID": i}])
+        warehouse.publish(warehouse.write(warehouse.snapshot(), [Change("Region", rows), Change("Shippers", table("Shippers", [{"ShipperID": i}]), append=True)], {}))
+    before = warehouse.snapshot(4)
+    assert warehouse.vacuum(keep=2) == []  # all folders are young
+    assert len(warehouse.vacuum(keep=2, older_than_hours=-1)) == 3
+    assert [r["RegionID"] for r in before.frame("Region").collect()] == [3]
+    assert warehouse.snapshot().frame("Shippers").count() == 5
+    with pytest.raises(ValueError, match="no version 3"):
+        warehouse.snapshot(3)
+    assert not warehouse.compact("Shippers")
+    assert warehouse.compact("Shippers", folders=2)
+    assert len(warehouse.snapshot().tables["Shippers"]["all"]) == 1
+    assert sorted(r["ShipperID"] for r in warehouse.snapshot().frame("Shippers").collect()) == [0, 1, 2, 3, 4]
+    assert before.frame("Shippers").count() == 4
+
+
 def test_execution_ids_are_unique_uuids():
     ids = {generate_execution_id() for _ in range(100)}
     assert len(ids) == 100 and all(len(i) == 36 for i in ids)
