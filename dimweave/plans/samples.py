@@ -56,7 +56,7 @@ def first_batch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "ShipperID", F.col("o_orderpriority").alias("CompanyName"))
     employee = (F.col("o_orderkey") % 9).cast("int")
     key = F.col("o_orderkey")
-    order_rows = (o.join(read["customer"].select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    order_rows = (o.join(read["customer"].select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_name"), "o_custkey")
                   .join(F.broadcast(shippers.withColumnRenamed("CompanyName", "o_orderpriority")), "o_orderpriority"))
     part = read["part"].join(F.broadcast(categories.withColumnRenamed("CategoryName", "p_type")), "p_type")
     return {
@@ -80,9 +80,17 @@ def first_batch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.when(_every("o_orderkey", 107), None).when(_every("o_orderkey", 109), F.lit(99))
             .otherwise(employee).alias("EmployeeID"),
             F.when(~_every("o_orderkey", 139), F.col("o_orderdate").cast("date")).alias("OrderDate"),
+            F.when(~_every("o_orderkey", 11), F.date_add(F.col("o_orderdate").cast("date"), (key % 40).cast("int"))).alias("RequiredDate"),
+            F.when(~_every("o_orderkey", 13), F.date_add(F.col("o_orderdate").cast("date"), (key % 15 + 1).cast("int"))).alias("ShippedDate"),
             F.when(_every("o_orderkey", 113), None).when(_every("o_orderkey", 127), F.lit(99))
             .otherwise(F.col("ShipperID")).alias("ShipVia"),
             F.col("o_totalprice").cast(MONEY).alias("Freight"),
+            F.when(~_every("o_orderkey", 17), F.concat(F.lit("For "), "c_name")).alias("ShipName"),
+            F.concat(key.cast("string"), F.lit(" Street")).alias("ShipAddress"),
+            F.concat(F.lit("City "), (F.col("o_custkey") % 50).cast("string")).alias("ShipCity"),
+            F.when(~_every("o_orderkey", 19), F.concat(F.lit("Region "), (key % 7).cast("string"))).alias("ShipRegion"),
+            F.concat(F.lit("P"), (key % 1000).cast("string")).alias("ShipPostalCode"),
+            F.concat(F.lit("Country "), F.col("c_nationkey").cast("string")).alias("ShipCountry"),
             F.when(_every("o_orderkey", 131), None).when(_every("o_orderkey", 137), F.lit("ZZ"))
             .otherwise(F.col("c_nationkey").cast("string")).alias("TerritoryID")),
         "Products": part.select(
@@ -125,7 +133,12 @@ def second_batch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "Employees": b["Employees"].where("EmployeeID <> 8")
         .withColumn("LastName", _starred("LastName", F.col("EmployeeID") == 1)),
         "OrderDetails": b["OrderDetails"].withColumn("Quantity", more),
-        "Orders": b["Orders"].where(~_every("OrderID", 31)).withColumn("OrderDate", later),
+        "Orders": b["Orders"].where(~_every("OrderID", 31)).withColumns({
+            "OrderDate": later,
+            "RequiredDate": F.when(_every("OrderID", 47), F.date_add("RequiredDate", 1)).otherwise(F.col("RequiredDate")),
+            "ShippedDate": F.when(~_every("OrderID", 53), F.col("ShippedDate")),
+            "ShipName": F.coalesce("ShipName", F.lit("")),  # as good as NULL to the change test
+            **{c: _starred(c, _every("OrderID", n)) for c, n in _MOVED.items()}}),
         "Products": b["Products"].where(~_every("ProductID", 17, 3)).withColumn("UnitPrice", raised)
         .unionByName(added_products),
         "Region": b["Region"].where("RegionID <> 4")
@@ -140,6 +153,8 @@ def second_batch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+_MOVED = {"ShipAddress": 37, "ShipCity": 41, "ShipRegion": 43, "ShipPostalCode": 59, "ShipCountry": 61}
+
 BATCHES = {1: first_batch, 2: second_batch, 3: first_batch}
 
 # Steps in load order and the steps whose tables each one reads: of the previous and of the same batch.
