@@ -8,14 +8,16 @@ and no others, have equal ranks (64-bit hashes; two of them must agree before a
    position in 70 has to be ranked. Anchors with a unique rank are done: nothing near them repeats.
 2. The span of an anchor holds all strings tied to it. Spans are ranked next; a span whose rank is
    not unique is repeated as a whole, and so is each of its bytes.
-3. Only strings of the unique spans of repeated anchors are left: the edges of copies. Their starts, with
-   those of one span of each other rank, get the pair (rank of 100 bytes, rank of 100 bytes
-   at offset 100). Spark groups first by the rank of 100 bytes, drops unique positions, and then by
-   the pair, which is the rank of 200 bytes.
+3. The unique spans of repeated anchors are left, the edges of copies, and with them one span of each
+   other rank. Their bytes are looked up once. ``STEP`` starts at a like distance from the anchor share a
+   core that all their strings hold and have a hull that holds them all. If the rank of the core is unique,
+   none of them repeats; if that of the hull is not, all do.
+4. The starts that are still open, with those of one hull of each other rank, get the pair (rank of 100
+   bytes, rank at offset 100), which is the rank of 200 bytes.
 
-All groups are counted before rows meet (partial aggregation), and rows find the counts through
-joins with one row for a rank, which adaptive execution splits if a rank is hot. No pairs of
-positions are formed.
+Every round is a Spark job over positions and ranks at a longer reach. Groups are counted before rows
+meet (partial aggregation), and rows find the counts through joins with one row for a rank, which
+adaptive execution splits if a rank is hot. No pairs of positions are formed.
 
 Nulls and ties: a null text is empty. Rows that share doc_id and text are separate rows here: all
 their strings repeat. Null doc_ids are kept. Texts under 200 bytes are kept whole. An empty table
@@ -37,6 +39,7 @@ from dimweave.llm.common import materialize
 
 LENGTH, GRAM = 200, 64
 HALF = LENGTH // 2
+STEP = 16  # starts that share a core and a hull
 BLOCK_BYTES = 3 * 512 * 1024  # of text held as arrays of numbers at a time
 
 #: Fixed value: an odd multiplier of the rolling hash (modulo 2**64).
@@ -134,24 +137,71 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["doc_id", "text_key", "place", "gram", "span"])
 
 
-def _rows_of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Starts of the strings of each listed span with their pairs of ranks."""
-    for rows, data, ends in _blocks(batches):
-        hashes = Hashes(data)
-        begins = np.concatenate(([0], ends[:-1]))
-        lists = rows.column("spans")
-        per_row = np.diff(lists.offsets.to_numpy())
-        flat = lists.flatten()
-        place, single = flat.field("place").to_numpy(), flat.field("single").to_numpy(zero_copy_only=False)
-        row = np.repeat(np.arange(rows.num_rows), per_row)
-        many = (place & 0xFF) + 1
-        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        row, start, single = np.repeat(row, many), np.repeat(place >> 16, many) + step, np.repeat(single, many)
-        here = begins[row] + start
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of each listed span with ``STEP - 1`` more at both sides, where the text has them."""
+    for batch in batches:
+        columns: list[list] = [[], [], [], [], [], []]
+        for doc_id, key, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text", "spans")), strict=True):
+            data = text.encode()
+            for span in spans:
+                first, width = span["place"] >> 16, span["place"] & 0xFF
+                begin = max(0, first - STEP + 1)
+                own = (doc_id, key, span["place"], span["single"], begin, data[begin: first + width + LENGTH + STEP - 1])
+                for column, value in zip(columns, own, strict=True):
+                    column.append(value)
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "text_key", "place", "single", "begin", "bytes"])
+
+
+def _laid_out(batch: pa.RecordBatch) -> tuple[Hashes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts end to end: their hashes, where each begins and ends, its anchor, its first and last start."""
+    held = batch.column("bytes").to_pylist()
+    ends = np.cumsum([len(b) for b in held])
+    begins = np.concatenate(([0], ends[:-1]))
+    place, begin = batch.column("place").to_numpy(), batch.column("begin").to_numpy()
+    first = begins + (place >> 16) - begin
+    return Hashes(np.frombuffer(b"".join(held), np.uint8)), begins, ends, first + (place >> 8 & 0xFF), first, first + (place & 0xFF)
+
+
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each span in steps of starts: the ranks of core and hull. A hull that leaves the text has no rank."""
+    for batch in _parts(batches):
+        hashes, begins, ends, anchor, first, last = _laid_out(batch)
+        least, most = (anchor - last) // STEP, (anchor - first) // STEP
+        many = most - least + 1
+        row = np.repeat(np.arange(len(many)), many)
+        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + least[row]
+        near, far = anchor[row] - STEP * step, anchor[row] - STEP * step - STEP + 1  # the last and the first start of a step
+        with np.errstate(over="ignore"):
+            core = hashes.of(near, far + LENGTH) + _mix(step.astype(np.uint64))
+            inside = (far >= begins[row]) & (near + LENGTH <= ends[row])
+            hull = hashes.of(np.maximum(far, 0), np.minimum(near + LENGTH, len(hashes.sums) - 1)) + _mix(step.astype(np.uint64))
+        number = pa.array(row)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(number) for c in ("doc_id", "text_key", "place", "single")), pa.array(step),
+                                          pa.array(core.view(np.int64)), pa.array(hull.view(np.int64), mask=~inside)],
+                                         ["doc_id", "text_key", "place", "single", "step", "core", "hull"])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The starts of each listed step with their pairs of ranks."""
+    for batch in _parts(batches):
+        hashes, begins, _, anchor, first, last = _laid_out(batch)
+        step = batch.column("step").to_numpy()
+        near, far = np.minimum(anchor - STEP * step, last), np.maximum(anchor - STEP * step - STEP + 1, first)
+        many = near - far + 1
+        row = np.repeat(np.arange(len(many)), many)
+        here = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + far[row]
         number = pa.array(row)
+        start = here - begins[row] + batch.column("begin").to_numpy()[row]
         ranks = [pa.array(hashes.of(here + o, here + o + HALF).view(np.int64)) for o in (0, HALF)]
-        yield pa.RecordBatch.from_arrays([rows.column("doc_id").take(number), rows.column("text_key").take(number), pa.array(start), pa.array(single), *ranks],
-                                         ["doc_id", "text_key", "start", "single", "rank", "rank_next"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(number) for c in ("doc_id", "text_key")), pa.array(start), batch.column("open").take(number), *ranks],
+                                         ["doc_id", "text_key", "start", "open", "rank", "rank_next"])
 
 
 def covered(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,25 +258,37 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     mixed = spans.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("gram")
     edges = spans.join(mixed, "gram").select("one.*", (F.col("n") == 1).alias("single"))
     edges = edges.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("place", "single")).alias("spans"))
-    pairs = (docs.join(edges, _same_text(docs, edges)).select(docs["doc_id"], docs["text_key"], "text", "spans")
-             .mapInArrow(_rows_of_pairs, "doc_id long, text_key long, start long, single boolean, rank long, rank_next long"))
-    strings = doubled(materialize(pairs, "pairs"))
+    contexts = (docs.join(edges, _same_text(docs, edges)).select(docs["doc_id"], docs["text_key"], "text", "spans")
+                .mapInArrow(_contexts, "doc_id long, text_key long, place long, single boolean, begin long, bytes binary"))
     start = F.shiftright("place", 16)
     whole = repeated.join(spans.where("n > 1").select("gram", "span"), ["gram", "span"])
     whole = whole.select("doc_id", "text_key", start.alias("start"), (start + F.col("place").bitwiseAND(0xFF) + LENGTH).alias("end"))
-    return whole.union(strings.select("doc_id", "text_key", "start", (F.col("start") + LENGTH).alias("end")))
-
-
-def doubled(pairs: DataFrame) -> DataFrame:
-    """The single positions whose 200 bytes are found at another position of ``pairs``.
-
-    Two rounds of ranking: positions with a unique rank of 100 bytes drop out, then the pairs with the
-    rank at offset 100 are ranked.
-    """
-    alike = pairs.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank")
-    left = materialize(pairs.join(alike, "rank"), "doubled")
-    same = left.groupBy("rank", "rank_next").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank", "rank_next")
-    return left.where("single").join(same, ["rank", "rank_next"])
+    return whole.union(repeated_at_edges(materialize(contexts, "contexts")))
+
+
+def repeated_at_edges(contexts: DataFrame) -> DataFrame:
+    """Repeated spans among the strings of ``contexts`` that are not known to repeat."""
+    steps = contexts.mapInArrow(_steps, "doc_id long, text_key long, place long, single boolean, step long, core long, hull long")
+    steps = materialize(steps, "steps")
+    alike = steps.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
+    steps = steps.join(alike, "core")
+    own = F.xxhash64("doc_id", "text_key", "place", "step")  # a step without a hull is a kind of its own
+    steps = materialize(steps.withColumn("kind", F.coalesce("hull", own)), "steps")
+    kinds = steps.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_key", "place", "step", "single")).alias("one"))
+    kinds = materialize(kinds, "kinds")
+    anchor = F.shiftright("place", 16) + F.shiftright("place", 8).bitwiseAND(0xFF)
+    near, far = anchor - STEP * F.col("step"), anchor - STEP * F.col("step") - STEP + 1
+    first, last = F.shiftright("place", 16), F.shiftright("place", 16) + F.col("place").bitwiseAND(0xFF)
+    hulls = steps.where("single").join(kinds.where("n > 1").select("kind"), "kind")
+    hulls = hulls.select("doc_id", "text_key", F.greatest(far, first).alias("start"), (F.least(near, last) + LENGTH).alias("end"))
+    listed = kinds.select("one.*", (F.col("one.single") & (F.col("n") == 1)).alias("open")).drop("single")
+    same = _same_text(contexts, listed) & (contexts["place"] == listed["place"])
+    pairs = (contexts.join(listed, same).select(contexts["doc_id"], contexts["text_key"], contexts["place"], "begin", "bytes", "step", "open")
+             .mapInArrow(_pairs, "doc_id long, text_key long, start long, open boolean, rank long, rank_next long"))
+    pairs = materialize(pairs, "pairs")
+    same = pairs.groupBy("rank", "rank_next").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank", "rank_next")
+    strings = pairs.where("open").join(same, ["rank", "rank_next"])
+    return hulls.union(strings.select("doc_id", "text_key", "start", (F.col("start") + LENGTH).alias("end")))
 
 
 def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
