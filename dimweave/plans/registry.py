@@ -279,6 +279,8 @@ def _unique_keys(s: SampleLoads) -> DataFrame:
         for key in [policy.surrogate] if policy.method == "versions" else [policy.surrogate, policy.nk]:
             bad = _as_text(checks.repeated_keys(table, [key]), f"{policy.target}.{key}", key)
             found = bad if found is None else found.unionByName(bad)
+    for table, key, step in ((REJECT_TABLE, "FactOrder_Error_SK", REJECT_TABLE), ("DimSuppliers_History", "SupplierHistoryID_SK", "DimSuppliers")):
+        found = found.unionByName(_as_text(checks.repeated_keys(s.frame(2, table, step), [key]), f"{table}.{key}", key))
     lines = s.staged(2, "OrderDetails").withColumn("pair", F.concat_ws("-", "OrderID", "ProductID"))
     return found.unionByName(_as_text(checks.repeated_keys(lines, ["pair"]), "OrderDetails", "pair"))
 
@@ -314,21 +316,39 @@ def _fk_orphans(s: SampleLoads) -> DataFrame:
         bad = checks.orphan_references(fact, k.fk, target, POLICIES[k.dimension].surrogate)
         bad = _as_text(bad, f"{FACT_TABLE}.{k.fk}", k.fk)
         found = bad if found is None else found.unionByName(bad)
+    for policy in POLICIES.values():
+        for ref in policy.references:
+            key = POLICIES[ref.dimension].surrogate
+            bad = checks.orphan_references(s.frame(2, policy.target), ref.fk, s.frame(2, ref.dimension), key)
+            found = found.unionByName(_as_text(bad, f"{policy.target}.{ref.fk}", ref.fk))
     current = s.frame(2, "DimCustomers").where("IsCurrent")
     lost = checks.orphan_references(s.staged(2, "Orders"), "CustomerID", current, "CustomerID_NK")
     return found.unionByName(_as_text(lost, "Orders.CustomerID", "CustomerID"))
 
 
 def _not_null(s: SampleLoads) -> DataFrame:
-    return checks.null_counts(s.staged(1, "Orders"), [ROW_ID, *LIVE["Orders"]])
+    """NULLs of the staged orders, where they are allowed, and of the required columns of every target (none)."""
+    found = checks.null_counts(s.staged(1, "Orders"), [ROW_ID, *LIVE["Orders"]])
+    for policy in POLICIES.values():
+        required = [policy.surrogate, policy.nk, "SOR_SK", "staging_raw_id_nk", *(["ValidFrom", "IsCurrent"] if policy.method == "versions" else [])]
+        nulls = checks.null_counts(s.frame(2, policy.target), required)
+        found = found.unionByName(nulls.withColumn("column_name", F.concat(F.lit(f"{policy.target}."), "column_name")))
+    keys_of_fact = [*FACT_GRAIN, *[k.fk for k in (*ORDER_KEYS, *LINE_KEYS)], "SnapshotDate", "LoadDate"]
+    nulls = checks.null_counts(s.frame(2, FACT_TABLE), keys_of_fact)
+    return found.unionByName(nulls.withColumn("column_name", F.concat(F.lit(f"{FACT_TABLE}."), "column_name")))
 
 
 def _lengths(s: SampleLoads) -> DataFrame:
-    """Texts of the staged customers longer than allowed, with customer ids widened to overflow."""
+    """Texts longer than allowed: none in any staged sheet, some in customers whose ids are widened to overflow."""
     schema = s.staged(2, "Customers").schema
     wide = s.staged(2, "Customers").withColumn("CustomerID", F.repeat("CustomerID", 4))
     wide = wide.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema.fields])
-    return checks.too_long_counts(wide.select(*LIVE["Customers"]))
+    found = checks.too_long_counts(wide.select(*LIVE["Customers"])).withColumn("sheet", F.lit("wide customers"))
+    for source in SOURCES:
+        texts = s.staged(2, source).select(*LIVE[source])
+        if any("max_length" in f.metadata for f in texts.schema.fields):
+            found = found.unionByName(checks.too_long_counts(texts).withColumn("sheet", F.lit(source)))
+    return found
 
 
 def _audit(s: SampleLoads) -> DataFrame:
