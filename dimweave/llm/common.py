@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import uuid
 import zipfile
 
@@ -43,14 +43,19 @@ def ship_code(spark: SparkSession) -> None:
     if any(f.endswith("/dimweave-code.zip") for f in context.listFiles):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="dimweave-"), "dimweave-code.zip")  # the driver's own; Spark hands it out
-    with zipfile.ZipFile(path, "w") as out:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
         for folder, _, names in os.walk(package):
             for name in names:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     out.write(full, os.path.relpath(full, os.path.dirname(package)))
-    context.addPyFile(path)
+    folder = new_folder(spark, "code")
+    fs, inner = open_store(folder)
+    fs.create_dir(inner, recursive=True)
+    with fs.open_output_stream(f"{inner}/dimweave-code.zip") as out:
+        out.write(packed.getvalue())
+    context.addPyFile(f"{folder}/dimweave-code.zip")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
