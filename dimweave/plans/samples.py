@@ -11,6 +11,7 @@ import threading
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as SqlWindow
 from pyspark.sql import functions as F
 
 from dimweave.operators.facts import Window
@@ -39,11 +40,9 @@ def _starred(column: str, when: Column) -> Column:
 
 
 def _ranked(df: DataFrame, column: str, key: str) -> DataFrame:
-    """Distinct values of a column with few values, numbered in order."""
+    """Distinct values of a column with few values, numbered in order; one task sorts the distinct values only."""
     values = df.select(column).distinct()
-    lower = values.select(F.col(column).alias("_other"))
-    ranked = values.join(lower, F.col("_other") <= F.col(column)).groupBy(column).agg(F.count("*").alias(key))
-    return ranked
+    return values.select(column, F.row_number().over(SqlWindow.orderBy(column)).cast("long").alias(key))
 
 
 def first_batch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -57,8 +56,8 @@ def first_batch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     employee = (F.col("o_orderkey") % 9).cast("int")
     key = F.col("o_orderkey")
     order_rows = (o.join(read["customer"].select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_name"), "o_custkey")
-                  .join(F.broadcast(shippers.withColumnRenamed("CompanyName", "o_orderpriority")), "o_orderpriority"))
-    part = read["part"].join(F.broadcast(categories.withColumnRenamed("CategoryName", "p_type")), "p_type")
+                  .join(shippers.withColumnRenamed("CompanyName", "o_orderpriority"), "o_orderpriority"))
+    part = read["part"].join(categories.withColumnRenamed("CategoryName", "p_type"), "p_type")
     return {
         "Categories": categories,
         "Customers": read["customer"].select(
