@@ -16,8 +16,9 @@ and no others, have equal ranks (64-bit hashes; two of them must agree before a
    bytes, rank at offset 100), which is the rank of 200 bytes.
 
 Every round is a Spark job over positions and ranks at a longer reach. Groups are counted before rows
-meet (partial aggregation), and rows find the counts through joins with one row for a rank, which
-adaptive execution splits if a rank is hot. No pairs of positions are formed.
+meet (partial aggregation), and rows find the counts through joins with one row for a rank. The counts
+are written tables, so both sides of such a join are dealt out for it and adaptive execution can split
+a hot rank. No pairs of positions are formed.
 
 Nulls and ties: a null text is empty. Rows that share doc_id and text are separate rows here: all
 their strings repeat. Null doc_ids are kept. Texts under 200 bytes are kept whole. An empty table
@@ -251,7 +252,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text_key``, ``start``, ``end`` in bytes; spans may overlap."""
     ranked = docs.mapInArrow(_anchor_rows, "doc_id long, text_key long, place long, gram long, span long")
-    grams = ranked.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    grams = materialize(ranked.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "grams")
     repeated = materialize(ranked.join(grams, "gram"), "anchors")
     spans = repeated.groupBy("gram", "span").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_key", "place")).alias("one"))
     spans = materialize(spans, "spans")
@@ -270,7 +271,7 @@ def repeated_at_edges(contexts: DataFrame) -> DataFrame:
     """Repeated spans among the strings of ``contexts`` that are not known to repeat."""
     steps = contexts.mapInArrow(_steps, "doc_id long, text_key long, place long, single boolean, step long, core long, hull long")
     steps = materialize(steps, "steps")
-    alike = steps.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
+    alike = materialize(steps.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"), "cores")
     steps = steps.join(alike, "core")
     own = F.xxhash64("doc_id", "text_key", "place", "step")  # a step without a hull is a kind of its own
     steps = materialize(steps.withColumn("kind", F.coalesce("hull", own)), "steps")
@@ -286,7 +287,7 @@ def repeated_at_edges(contexts: DataFrame) -> DataFrame:
     pairs = (contexts.join(listed, same).select(contexts["doc_id"], contexts["text_key"], contexts["place"], "begin", "bytes", "step", "open")
              .mapInArrow(_pairs, "doc_id long, text_key long, start long, open boolean, rank long, rank_next long"))
     pairs = materialize(pairs, "pairs")
-    same = pairs.groupBy("rank", "rank_next").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank", "rank_next")
+    same = materialize(pairs.groupBy("rank", "rank_next").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank", "rank_next"), "strings")
     strings = pairs.where("open").join(same, ["rank", "rank_next"])
     return hulls.union(strings.select("doc_id", "text_key", "start", (F.col("start") + LENGTH).alias("end")))
 
