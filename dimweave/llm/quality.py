@@ -143,4 +143,6 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     whole = docs.select(F.struct("*").alias("row"))
     text = F.coalesce(F.col("row.text"), F.lit(""))
     whole = whole.select("row", F.struct(*(c.cast("double").alias(n) for n, c in statistics(text).items())).alias("stats"))
-    return whole.where(model.score({n: F.col(f"stats.{n}") for n in NAMES}) >= THRESHOLD).select("row.*")
+    score = model.score({n: F.col(f"stats.{n}") for n in NAMES})
+    # A generated column: a filter on it stays above, else each rule would compute its statistics anew.
+    return whole.select("row", F.explode(F.array(score)).alias("score")).where(F.col("score") >= THRESHOLD).select("row.*")
