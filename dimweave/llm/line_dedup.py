@@ -9,8 +9,8 @@ shorter lines at its sides as long as they agree with those beside the first one
 extension holds a window of its own). The lines of every match but the first go.
 
 DataFrame functions only. A group of equal windows is reduced to its first one before rows are
-dealt out, and each window joins one row, so common lines make no pairs and adaptive execution
-can split them.
+dealt out, and each window joins one row, so common lines make no pairs. What is joined is a written
+table, so both sides are dealt out for the join and adaptive execution can split a hot line.
 
 Nulls and ties: a null text is empty. Null doc_ids come first. Rows that share doc_id and text are one
 document and get the same result. Judged on the input: a line is compared with the lines as they
@@ -81,9 +81,11 @@ def later_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``doc_id``, ``text_key`` and the list of lines (numbers from 0) that go."""
     windows = materialize(line_windows(docs, min_chars), "windows")
     common = windows.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("fingerprint")
+    common = materialize(common, "common")
     candidates = windows.join(common, "fingerprint", "left_semi")
     origin = F.struct("doc_id", "text_key", "first", "before", "after")
     firsts = candidates.groupBy("window").agg(F.min(origin).alias("origin"), F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
+    firsts = materialize(firsts, "firsts")
     place = F.struct("doc_id", "text_key", "first")
     matches = candidates.join(firsts, "window").where(~place.eqNullSafe(F.struct("origin.doc_id", "origin.text_key", "origin.first")))
     up, down = _agreeing(F.col("before"), F.col("origin.before")), _agreeing(F.col("after"), F.col("origin.after"))
