@@ -2,15 +2,16 @@
 
 A store is a folder with ``shards/`` and ``index/``.
 
-Shard ``shard-00007.ids``: one line of JSON (``dtype``, ``documents``, ``tokens``), then the token
-count of every document as little-endian uint32, then all ids in a row. Ids take two bytes if the
-vocabulary allows it, otherwise four. Shards follow ascending doc_id, and so do documents within.
+Shard ``shard-00007.ids``: all ids in a row, then the token count of every document as little-endian
+uint32, then JSON (``dtype``, ``documents``, ``tokens``) and its length in eight bytes. Ids take two
+bytes if the vocabulary allows it, otherwise four. Shards follow ascending doc_id, and so do documents
+within. Ids are written as they come, so a task holds the counts of its shard and no more.
 
 Index ``bucket-00003.npz``: keys are dealt to buckets by hash. A bucket has levels of bits: a key that
 is alone on its bit of a level owns that bit, the others try the next level. The rank of the bit is
 the key's slot, so n keys have exactly n slots. A slot stores a 32-bit fingerprint of its key, the
 shard, the place of the first id in it, the ids of all documents before, the number of documents
-with this key and the place of their token counts. Access by key is constant in time: one hash for a
+with this key and the number of the first of them in the shard. Access by key is constant in time: one hash for a
 level, one comparison of fingerprints, one ranged read.
 
 Files are written under a name of the task's attempt and then renamed, so a repeated task leaves the
@@ -23,8 +24,10 @@ from __future__ import annotations
 
 import io
 import json
+import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +41,7 @@ from dimweave.llm.tokens import encoder
 
 KEYS_PER_BUCKET = 100_000
 LEVELS = 64  # keys left after the last one are told as an error; each level keeps under half of them
-_MANIFEST = "doc_id long, shard int, number int, place long, count_place long, n_tokens long"
+_MANIFEST = "doc_id long, shard int, place long, number long, n_tokens long"
 _ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long, shard int"
 
 
@@ -55,7 +58,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0) -
     spark = docs.sparkSession
     shard_base = F.broadcast(spark.createDataFrame(base, "shard int, base long"))
     keys = (manifest.where("doc_id is not null").join(shard_base, "shard")
-            .groupBy("doc_id").agg(F.min("shard").alias("shard"), F.min("place").alias("place"), F.min("count_place").alias("count_place"),
+            .groupBy("doc_id").agg(F.min("shard").alias("shard"), F.min("place").alias("place"), F.min("number").alias("number"),
                                    F.min(F.col("base") + F.col("place")).alias("start"), F.count(F.lit(1)).alias("copies")))
     n_buckets = bucket_count(manifest.count())
     (keys.withColumn("bucket", bucket_of("doc_id", n_buckets)).repartition(n_buckets, "bucket")
@@ -87,45 +90,45 @@ def read_unkeyed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
     return spark.range(1 if n else 0).mapInArrow(_null_reader(folder, n), _ROWS)
 
 
-def _save(path: str, write) -> None:
+def _save(path: str, parts: Iterator[bytes]) -> None:
+    """Write a file under the name of this attempt and rename it when it is whole."""
     fs, inner = open_store(path)
     fs.create_dir(inner.rpartition("/")[0], recursive=True)
     own = f"{inner}.attempt-{TaskContext.get().taskAttemptId()}"
     with fs.open_output_stream(own) as out:
-        write(out)
+        for part in parts:
+            out.write(part)
     fs.move(own, inner)
 
 
 def _shard_writer(folder: str, tokenizer: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
-        kind = np.dtype("<u2" if enc.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        shard, ids, counts, counts_bytes = TaskContext.get().partitionId(), [], [], 0
-        keys: list[pa.Array] = []
-        for batch in (s for b in batches for s in slices(b, "text")):
-            flat, n, *_ = enc.encode(batch.column("text").to_pylist())
-            ends = np.cumsum(n)
-            ids.append(np.insert(flat, ends, end_id).astype(kind))
-            counts.append(n + 1)
-            keys.append(batch.column("doc_id"))
-        if not keys:
+        shard, counts, keys = TaskContext.get().partitionId(), [], []
+
+        def parts() -> Iterator[bytes]:
+            enc = encoder(tokenizer)
+            kind = np.dtype("<u2" if enc.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+            for batch in chain([first], rest):
+                flat, n, *_ = enc.encode(batch.column("text").to_pylist())
+                counts.append(n + 1)
+                keys.append(batch.column("doc_id"))
+                yield np.insert(flat, np.cumsum(n), end_id).astype(kind).tobytes()
+            n = np.concatenate(counts)
+            yield n.astype("<u4").tobytes()
+            foot = json.dumps({"dtype": kind.str, "documents": len(n), "tokens": int(n.sum())}).encode()
+            yield foot + struct.pack("<q", len(foot))
+
+        rest = (s for b in batches for s in slices(b, "text"))
+        first = next(rest, None)
+        if first is None:
             return
-        n = np.concatenate(counts)
-        head = json.dumps({"dtype": kind.str, "documents": len(n), "tokens": int(n.sum())}).encode() + b"\n"
-
-        def body(out):
-            out.write(head)
-            out.write(n.astype("<u4").tobytes())
-            for part in ids:
-                out.write(part.tobytes())
-
-        _save(f"{folder}/shards/shard-{shard:05d}.ids", body)
-        place = np.cumsum(n) - n
-        for at, key in zip(np.cumsum([len(k) for k in keys]), keys, strict=True):
-            own = slice(at - len(key), at)
-            number = np.arange(own.start, own.stop)
-            yield pa.RecordBatch.from_arrays([key, pa.array(np.full(len(key), shard), pa.int32()), pa.array(number, pa.int32()), pa.array(place[own]),
-                                              pa.array(number.astype(np.int64)), pa.array(n[own])], ["doc_id", "shard", "number", "place", "count_place", "n_tokens"])
+        _save(f"{folder}/shards/shard-{shard:05d}.ids", parts())
+        before = number = 0
+        for n, key in zip(counts, keys, strict=True):
+            place = before + np.cumsum(n) - n
+            yield pa.RecordBatch.from_arrays([key, pa.array(np.full(len(n), shard), pa.int32()), pa.array(place), pa.array(number + np.arange(len(n))), pa.array(n)],
+                                             ["doc_id", "shard", "place", "number", "n_tokens"])
+            before, number = before + int(n.sum()), number + len(n)
 
     return write
 
@@ -186,10 +189,10 @@ def _index_writer(folder: str):
         keys = rows["doc_id"].to_numpy(np.int64)
         perfect = PerfectHash.build(keys)
         order = np.argsort(perfect.slots(keys))
-        fields = {c: rows[c].to_numpy(np.int64)[order] for c in ("shard", "place", "count_place", "start", "copies")}
+        fields = {c: rows[c].to_numpy(np.int64)[order] for c in ("shard", "place", "number", "start", "copies")}
         out = io.BytesIO()
         np.savez(out, sizes=perfect.sizes, bits=np.packbits(perfect.bits), prints=fingerprints(keys)[order], **fields)
-        _save(f"{folder}/index/bucket-{int(rows['bucket'].iloc[0]):05d}.npz", lambda f: f.write(out.getvalue()))
+        _save(f"{folder}/index/bucket-{int(rows['bucket'].iloc[0]):05d}.npz", iter([out.getvalue()]))
         return rows[["bucket"]].head(1).assign(keys=len(keys))
 
     return write
@@ -218,18 +221,19 @@ class Shard:
 
     def __init__(self, fs, path: str):
         self.file = fs.open_input_file(path)
-        start = self.file.read(4096)
-        line = start[: start.index(b"\n") + 1]
-        self.head = json.loads(line)
-        self.counts_at, self.kind = len(line), np.dtype(self.head["dtype"])
-        self.ids_at = self.counts_at + 4 * self.head["documents"]
+        self.file.seek(self.file.size() - 8)
+        length = struct.unpack("<q", self.file.read(8))[0]
+        self.file.seek(self.file.size() - 8 - length)
+        self.head = json.loads(self.file.read(length))
+        self.kind = np.dtype(self.head["dtype"])
+        self.counts_at = self.kind.itemsize * self.head["tokens"]
 
     def counts(self, number: int, n: int) -> np.ndarray:
         self.file.seek(self.counts_at + 4 * number)
         return np.frombuffer(self.file.read(4 * n), "<u4")
 
     def ids(self, place: int, n: int) -> np.ndarray:
-        self.file.seek(self.ids_at + self.kind.itemsize * place)
+        self.file.seek(self.kind.itemsize * place)
         return np.frombuffer(self.file.read(self.kind.itemsize * n), self.kind)
 
 
@@ -266,7 +270,7 @@ def _key_reader(folder: str):
                         shard = Shard(fs, f"{inner}/shards/shard-{open_at:05d}.ids")
                     start = int(f["start"][slot]) - int(f["place"][slot])
                     rows += [(int(own[known[k]]), start + place, n, crc, open_at)
-                             for place, n, crc in _documents(shard, int(f["count_place"][slot]), int(f["copies"][slot]), int(f["place"][slot]))]
+                             for place, n, crc in _documents(shard, int(f["number"][slot]), int(f["copies"][slot]), int(f["place"][slot]))]
                 yield _batch(rows)
 
     return read
