@@ -19,7 +19,7 @@ from dimweave.sources.scratch import scratch_root
 
 __all__ = ["keyed_texts", "materialize", "new_folder", "open_store", "read", "slices", "spread"]
 
-SLICE_BYTES = 4 * 1024 * 1024  # of text that a Python task holds as arrays at a time
+SLICE_BYTES = 1024 * 1024  # of text that a Python task holds as arrays at a time
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -33,7 +33,7 @@ from dimweave.llm.tokens import encoder
 
 SENTENCE_COST, FREE_COST = 4.0, 16.0  # of a cut, in tokens of padding
 SHORT_COST = 48.0  # of a window under full length, so that few are made
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 20
 _PIECES = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "doc_tokens": pa.int64(),
            "sequence_id": pa.int64(), "offset": pa.int64()}
 PIECE_SCHEMA = ", ".join(f"{c} long" for c in _PIECES)

@@ -20,7 +20,7 @@ _CUT = re.compile("(?<![\\s᠎]) ")
 
 _STOPS = (".", "!", "?", "。")
 
-MAX_PARTS = 500_000  # remembered parts of a Python worker; beyond, the memory starts anew
+MAX_PARTS = 300_000  # remembered parts of a Python worker; beyond, the memory starts anew
 
 _encoders: dict[str, "PartEncoder"] = {}
 
