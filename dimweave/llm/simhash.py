@@ -227,8 +227,13 @@ def near_duplicates(docs: DataFrame, size: int = 3) -> DataFrame:
 
 def one_of_each(docs: DataFrame, size: int = 3) -> DataFrame:
     """The first row of each component, by doc_id and then by text_key, with all its columns."""
+    return first_of_each(docs, classified(docs, size))
+
+
+def first_of_each(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The first of the ``rows`` (doc_id, text_key, root) of each root, with all columns of ``docs``."""
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first")
-    kept = classified(docs, size).groupBy("root").agg(first).select("first.doc_id", "first.text_key", F.lit(True).alias("kept"))
+    kept = rows.groupBy("root").agg(first).select("first.doc_id", "first.text_key", F.lit(True).alias("kept"))
     whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
     joined = whole.join(kept, whole["id"].eqNullSafe(kept["doc_id"]) & (whole["key"] == kept["text_key"]))
     place = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.lit(0)))  # equal rows: one stays
