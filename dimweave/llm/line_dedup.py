@@ -8,6 +8,9 @@ lines, in the order of (doc_id, text_key, line), and the match is extended both
 shorter lines at its sides as long as they agree with those beside the first one (a longer
 extension holds a window of its own). The lines of every match but the first go.
 
+With ``short_lines``, as the query and the pipeline ask for, each line below ``MIN_CHARS`` is one more window, so that
+a repeated short line goes too, wherever it stands: of every line that is not blank only the first occurrence is left.
+
 DataFrame functions only. A group of equal windows is reduced to its first one before rows are
 dealt out, and each window joins one row, so common lines make no pairs. What is joined is a written
 table, so both sides are dealt out for the join and adaptive execution can split a hot line.
@@ -43,7 +46,7 @@ def _fitting(sizes: Column, limit: int) -> Column:
     return step["n"]
 
 
-def line_windows(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_windows(docs: DataFrame, min_chars: int = MIN_CHARS, short_lines: bool = False) -> DataFrame:
     """One row per window: its place, hash, fingerprint and the short lines at its sides."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.transform(F.split(text, "\n"), lambda l, i: F.struct(i.alias("at"), F.xxhash64(l).alias("hash"), F.length(F.trim(l)).alias("size")))
@@ -53,18 +56,23 @@ def line_windows(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
     def window(line: Column, i: Column) -> Column:
         short = _fitting(F.slice(sizes, i + 1, min_chars), min_chars) + 1
-        return F.struct(i.alias("i"), F.when(line["size"] >= min_chars, F.lit(1)).otherwise(short).alias("width"))
+        return F.struct(i.alias("i"), F.when(line["size"] >= min_chars, F.lit(1)).otherwise(short).alias("width"), F.lit(False).alias("alone"))
 
-    rows = rows.withColumn("windows", F.filter(F.transform("lines", window), lambda w: w["i"] + w["width"] <= n))
+    windows = F.filter(F.transform("lines", window), lambda w: w["i"] + w["width"] <= n)
+    if short_lines:
+        single = F.transform("lines", lambda line, i: F.struct(i.alias("i"), F.lit(1).alias("width"), (line["size"] < min_chars).alias("alone")))
+        windows = F.concat(windows, F.filter(single, lambda w: w["alone"]))
+    rows = rows.withColumn("windows", windows)
     rows = rows.select("doc_id", "text_key", "lines", "hashes", "sizes", "n", F.inline("windows"))
-    i, width = F.col("i"), F.col("width")
+    i, width, alone = F.col("i"), F.col("width"), F.col("alone")
     after = i + width
-    beside = F.when((i > 0) & (F.get("sizes", i - 1) < min_chars), _chars_before(sizes, i, min_chars)).otherwise(0)
-    behind = F.when((after < n) & (F.get("sizes", after) < min_chars), _fitting(F.slice(sizes, after + 1, min_chars), min_chars)).otherwise(0)
+    beside = F.when(~alone & (i > 0) & (F.get("sizes", i - 1) < min_chars), _chars_before(sizes, i, min_chars)).otherwise(0)
+    behind = F.when(~alone & (after < n) & (F.get("sizes", after) < min_chars), _fitting(F.slice(sizes, after + 1, min_chars), min_chars)).otherwise(0)
     own = F.slice(hashes, i + 1, width)
     side = F.col("lines")
-    return rows.select("doc_id", "text_key", F.get("lines.at", i).alias("first"), F.get("lines.at", after - 1).alias("last"), F.xxhash64(own, width).alias("window"),
-                       F.array_min(own).alias("fingerprint"), F.reverse(F.slice(side, i - beside + 1, beside)).alias("before"), F.slice(side, after + 1, behind).alias("after"))
+    name = F.xxhash64(own, width)
+    return rows.select("doc_id", "text_key", F.get("lines.at", i).alias("first"), F.get("lines.at", after - 1).alias("last"), name.alias("window"),
+                       F.when(alone, name).otherwise(F.array_min(own)).alias("fingerprint"), F.reverse(F.slice(side, i - beside + 1, beside)).alias("before"), F.slice(side, after + 1, behind).alias("after"))
 
 
 def _agreeing(a: Column, b: Column) -> Column:
@@ -77,9 +85,9 @@ def _end(sides: Column, reach: Column, otherwise: Column) -> Column:
     return F.when(reach > 0, F.get(sides, reach - 1)["at"]).otherwise(otherwise)
 
 
-def later_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def later_runs(docs: DataFrame, min_chars: int = MIN_CHARS, short_lines: bool = False) -> DataFrame:
     """``doc_id``, ``text_key`` and the list of lines (numbers from 0) that go."""
-    windows = materialize(line_windows(docs, min_chars), "windows")
+    windows = materialize(line_windows(docs, min_chars, short_lines), "windows")
     common = windows.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("fingerprint")
     common = materialize(common, "common")
     candidates = windows.join(common, "fingerprint", "left_semi")
@@ -93,13 +101,13 @@ def later_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return runs.groupBy("doc_id", "text_key").agg(F.array_distinct(F.flatten(F.collect_list("run"))).alias("gone"))
 
 
-def remove_later_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def remove_later_runs(docs: DataFrame, min_chars: int = MIN_CHARS, short_lines: bool = False) -> DataFrame:
     """``docs`` with the kept lines as ``text`` and a struct ``lines`` (total, removed) beside ``row``'s other columns.
 
     Returns the columns ``row`` (all columns of ``docs``), ``text``, ``n_lines`` and ``n_removed``, so
     that no name of ``docs`` can clash.
     """
-    gone = later_runs(docs.select("doc_id", "text"), min_chars)
+    gone = later_runs(docs.select("doc_id", "text"), min_chars, short_lines)
     text = F.coalesce(F.col("text"), F.lit(""))
     whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64(text).alias("key"))
     joined = whole.join(gone, whole["id"].eqNullSafe(gone["doc_id"]) & (whole["key"] == gone["text_key"]), "left")

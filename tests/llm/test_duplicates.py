@@ -191,3 +191,25 @@ def test_line_dedup_keeps_first_runs_and_takes_an_empty_table(documents):
     got = {r["row"]["doc_id"]: r["text"] for r in line_dedup.remove_later_runs(documents(rows)).collect()}
     assert got == {1: rows[0][1], 2: "other\nlast", 3: rows[2][1]}
     assert line_dedup.remove_later_runs(documents(rows).where("false")).count() == 0
+
+
+def test_repeated_short_lines_go_wherever_they_stand(documents, spark, tmp_path):
+    from dimweave.llm.queries import QUERIES
+
+    rng = random.Random(12)
+    pool = ["All rights reserved.", "x", " x", "é", "the on", prose(rng, 12)]
+    rows = [(i, "\n".join(rng.choice(pool) if rng.random() < 0.5 else f"own {i} {n} " + prose(rng, 4 + n) for n in range(rng.randrange(1, 9)))) for i in range(40)]
+    rows += [(50, "All rights reserved."), (51, None), (52, "\n\n")]
+    seen, want = set(), {}
+    for i, text in rows:
+        kept = []
+        for line in (text or "").split("\n"):
+            if line.strip(" ") and line in seen:
+                continue
+            seen.add(line)
+            kept.append(line)
+        want[i] = "\n".join(kept)
+    documents(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in QUERIES["op7_line_dedup"](spark, str(tmp_path)).collect()}
+    assert {i: r["text"] or "" for i, r in got.items()} == want
+    assert got[50]["n_removed"] == 1
