@@ -213,3 +213,12 @@ def test_repeated_short_lines_go_wherever_they_stand(documents, spark, tmp_path)
     got = {r["doc_id"]: r for r in QUERIES["op7_line_dedup"](spark, str(tmp_path)).collect()}
     assert {i: r["text"] or "" for i, r in got.items()} == want
     assert got[50]["n_removed"] == 1
+
+
+def test_short_lines_behind_a_run_go_where_its_first_place_differs(documents):
+    hot = "a hot line of more than forty characters in all of these"
+    rows = [(1, f"{hot}\nfirst tail"), (2, f"{hot}\nother tail"), (3, f"{hot}\nother tail")]
+    plain = {r["row"]["doc_id"]: r["text"] for r in line_dedup.remove_later_runs(documents(rows)).collect()}
+    assert plain == {1: rows[0][1], 2: "other tail", 3: "other tail"}  # runs alone meet the first place only
+    got = {r["row"]["doc_id"]: r["text"] for r in line_dedup.remove_later_runs(documents(rows), short_lines=True).collect()}
+    assert got == {1: rows[0][1], 2: "other tail", 3: ""}
