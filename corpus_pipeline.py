@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import line_dedup, near_copies, packing, quality, tiling
+from dimweave.llm import line_dedup, packing, quality, simhash, tiling
 from dimweave.llm.common import materialize, read, ship_code
 from dimweave.llm.queries import tokenizer_path
 
@@ -28,8 +28,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity of 0.8 or more)."""
-    return near_copies.one_of_each(docs)
+    """One document of each group whose fingerprints link (three-word shingles, three or fewer of 64 bits)."""
+    return simhash.one_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
