@@ -99,17 +99,21 @@ def tree_rules(description: str) -> list[tuple]:
     return list(dict.fromkeys(rules))
 
 
+def chosen_labels(labels: DataFrame) -> DataFrame:
+    """``doc_id`` and ``label`` of the rows to learn from: by hash, about ``TRAIN_ROWS``."""
+    known = labels.select("doc_id", F.col("quality").cast("double").alias("label")).where("label in (0, 1)").where(~held_out(F.col("doc_id")))
+    known = known.where("doc_id is not null").distinct()
+    total = known.count()
+    keep = min(1.0, TRAIN_ROWS / max(1, total))
+    return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(keep * 1_000_000))
+
+
 def fit(stats: DataFrame, labels: DataFrame) -> RuleModel:
     """Fit on ``stats`` (doc_id and the statistics) and ``labels`` (doc_id, quality)."""
     from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
     from pyspark.ml.functions import array_to_vector
 
-    known = labels.select("doc_id", F.col("quality").cast("double").alias("label")).where("label in (0, 1)").where(~held_out(F.col("doc_id")))
-    known = known.where("doc_id is not null").distinct()
-    total = known.count()
-    keep = min(1.0, TRAIN_ROWS / max(1, total))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(keep * 1_000_000))
-    rows = materialize(stats.join(chosen, "doc_id"), "training")
+    rows = materialize(stats.join(chosen_labels(labels), "doc_id"), "training")
     count, mean = rows.agg(F.count(F.lit(1)), F.avg("label")).first()
     if not count or mean in (0.0, 1.0):
         return RuleModel({None: 0.0, 0.0: -1e3, 1.0: 1e3}[mean])
@@ -139,7 +143,8 @@ def scores(stats: DataFrame, model: RuleModel) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that score at least the threshold, with all their columns."""
-    model = fit(materialize(with_statistics(docs), "statistics"), labels)
+    known = F.broadcast(chosen_labels(labels).select("doc_id"))  # at most about TRAIN_ROWS
+    model = fit(with_statistics(docs.join(known, "doc_id", "left_semi")), labels)
     whole = docs.select(F.struct("*").alias("row"))
     text = F.coalesce(F.col("row.text"), F.lit(""))
     whole = whole.select("row", F.struct(*(c.cast("double").alias(n) for n, c in statistics(text).items())).alias("stats"))
