@@ -11,14 +11,13 @@ from dimweave.llm import packing, token_store
 from dimweave.llm.common import new_folder, open_store
 from dimweave.llm.tokens import PartEncoder
 
-ODD = ["", " ", "  ", "a  b", " a", "a ", "a\n b", "\n\n x  y \n", "it's  don't 's", "é è  ü", "<|endoftext|> x", "a　 b 12 3,4  ", "\x1c a \x1c b", "x᠎ y",
+ODD = ["", " ", "  ", "a  b", " a", "a ", "a\n b", "\n\n x  y \n", "it's  don't 's", "é è  ü", "<|endoftext|> x", "a <|endoftext|> b<|endoftext|><|endoftext|>c \n<|endoftext|>", "<|endoftext|", "x'll we're 'tis don'ts\nOf  it.\t\tA1b2", "a　 b 12 3,4  ", "\x1c a \x1c b", "x᠎ y",
        "你好 \U0001f600 z", "the " * 3000, "x" * 20000]
 
 
 @pytest.fixture(scope="module")
 def plain(tokenizer_file):
     tokenizer = Tokenizer.from_file(tokenizer_file)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -34,6 +33,22 @@ def test_parts_give_the_ids_of_whole_texts(tokenizer_file, plain):
             assert flat[a:b].tolist() == plain(text), text[:50]
 
 
+def test_added_tokens_can_be_plain_text(tokenizer_file):
+    plain = Tokenizer.from_file(tokenizer_file)
+    plain.encode_special_tokens = True
+    flat, lengths, _, _ = PartEncoder(tokenizer_file, added_tokens=False).encode(ODD)
+    assert np.split(flat, np.cumsum(lengths)[:-1])[10].tolist() == plain.encode(ODD[10], add_special_tokens=False).ids
+    assert flat.tolist() == [i for t in ODD for i in plain.encode(t, add_special_tokens=False).ids]
+
+
+def test_the_memory_keeps_what_is_used_often(tokenizer_file):
+    encoder = PartEncoder(tokenizer_file, max_parts=100)
+    for k in range(30):
+        encoder.encode([" ".join(["the", "of", *(f"rare{k}x{i}" for i in range(20))])])
+    assert encoder.known <= 140
+    assert {"of", b"the"} <= set(encoder.numbers)
+
+
 def test_perfect_hash_has_a_slot_for_each_key_and_no_other():
     rng = np.random.default_rng(3)
     keys = np.unique(rng.integers(-(2**62), 2**62, 5000))
