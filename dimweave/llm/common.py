@@ -11,13 +11,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import pyarrow.fs
+import pyarrow.parquet
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimweave.sources import scratch
 from dimweave.sources.scratch import scratch_root
 
-__all__ = ["keyed_texts", "materialize", "new_folder", "open_store", "read", "slices", "spread"]
+__all__ = ["keyed_texts", "materialize", "new_folder", "open_store", "read", "read_block", "slices", "spread", "write_blocks"]
 
 SLICE_BYTES = 1024 * 1024  # of text that a Python task holds as arrays at a time
 
@@ -92,3 +93,24 @@ def keyed_texts(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select("doc_id", text.alias("text")).withColumn("text_key", F.xxhash64("text"))
+
+
+def write_blocks(items: DataFrame, label: str, chars: int) -> tuple[str, int]:
+    """Write the rows of ``items`` that have a ``text`` in blocks of about ``chars`` characters, dealt by hash, for tasks to load.
+
+    Returns the folder and the number of blocks. Only two numbers reach the driver.
+    """
+    items = items.where("text is not null")
+    total = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    blocks = max(1, -(-total // chars))
+    folder = new_folder(items.sparkSession, label)
+    items.withColumn("block", F.pmod(F.xxhash64(*items.columns), F.lit(blocks))).repartition("block").write.partitionBy("block").parquet(folder)
+    return folder, blocks
+
+
+def read_block(folder: str, block: int) -> pa.Table | None:
+    """The rows of one written block, in a task; None if it has none."""
+    fs, inner = open_store(folder)
+    files = fs.get_file_info(pyarrow.fs.FileSelector(f"{inner}/block={block}", allow_not_found=True))
+    found = [pyarrow.parquet.ParquetFile(fs.open_input_file(f.path)).read() for f in sorted(files, key=lambda f: f.path) if f.path.endswith(".parquet")]
+    return pa.concat_tables(found) if found else None

@@ -16,9 +16,13 @@ COLUMNS = {
     "op8_neighbours": ["query_id", "rank", "vec_id", "score"],
     "op9_repeated_bytes": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op10_simhash": ["doc_id", "fingerprint", "component_id"],
+    "op11_source_mix": ["doc_id", "size", "source_size", "target", "taken"],
+    "op12_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+    "op13_lexical_search": ["item_id", "rank", "doc_id", "score"],
 }
 PER_ROW = {"op1_token_store": "documents", "op4_quality": "documents", "op5_html_text": "pages", "op7_line_dedup": "documents",
-           "op9_repeated_bytes": "documents", "op10_simhash": "documents"}
+           "op9_repeated_bytes": "documents", "op10_simhash": "documents",
+           "op11_source_mix": "documents", "op12_token_alignment": "documents"}
 
 
 def test_all_operators_are_registered():
