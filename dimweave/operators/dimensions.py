@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from dimweave.operators.keys import number_in_order
 from dimweave.sources.schemas import (
     LINEAGE_ROW, LINEAGE_SOURCE, POLICIES, ROW_ID, DimensionPolicy, source_key,
 )
-from dimweave.sources.scratch import materialize
+from dimweave.sources.statistics import count_of, record, record_split
 
 ACTION = "_action"
 KEEP, INSERT, UPDATE, REMOVE, CLOSE, RENEW, RETURN = (
@@ -73,9 +74,9 @@ def pair(old: DataFrame, new: DataFrame, nk: str, collation: str | None = None)
 
 
 def _label(paired: DataFrame, action: Column, label: str):
-    """Write the labelled rows once; returns a reader of one label's rows."""
-    table = materialize(paired.withColumn(ACTION, action), label, partition_by=ACTION)
-    return lambda *labels: table.where(F.col(ACTION).isin(*labels)).drop(ACTION)
+    """Write the labelled rows once; returns a reader of one label's rows, which are counted as they are written."""
+    apart = record_split(paired.withColumn(ACTION, action), label, ACTION, (KEEP, INSERT, UPDATE, REMOVE, CLOSE, RENEW, RETURN))
+    return lambda *labels: reduce(DataFrame.unionByName, [apart[name] for name in labels])
 
 
 def _as_table(policy: DimensionPolicy, df: DataFrame) -> DataFrame:
@@ -90,7 +91,7 @@ def _overwritten(policy: DimensionPolicy, extra: dict[str, Column] | None = None
 
 def _inserted(policy: DimensionPolicy, rows: DataFrame, last_keys: dict[str, int],
               extra: dict[str, Column] | None = None) -> tuple[DataFrame, int]:
-    start, count = last_keys.get(policy.surrogate, 0), rows.count()
+    start, count = last_keys.get(policy.surrogate, 0), count_of(rows)
     numbered = number_in_order(rows.select("new.*"), policy.surrogate, start, [policy.nk], count)
     for name, value in (extra or {}).items():
         numbered = numbered.withColumn(name, value)
@@ -148,11 +149,11 @@ def load_history_table(dim: DataFrame, src: DataFrame, policy: DimensionPolicy,
                .unionByName(inserted))
 
     # Removed rows enter the history before changed ones.
-    left = materialize(
+    left = record(
         rows(REMOVE).select("old.*", F.lit(0).alias("_step"))
         .unionByName(rows(UPDATE).select("old.*", F.lit(1).alias("_step")))
         .drop(policy.surrogate).withColumn("ValidTo", F.date_sub(F.lit(as_of), 1)), f"left-{policy.target}")
-    start, moved = last_keys.get(policy.history_key, 0), left.count()
+    start, moved = last_keys.get(policy.history_key, 0), count_of(left)
     history = number_in_order(left, policy.history_key, start, ["_step", policy.nk], moved).drop("_step")
     keys = {policy.surrogate: last_keys.get(policy.surrogate, 0) + count,
             policy.history_key: start + moved}
@@ -191,20 +192,20 @@ def load_versions(dim: DataFrame, closed_rows: DataFrame, src: DataFrame, policy
 
     # Never-seen keys are numbered first, so their rank also gives the durable key.
     durable = F.col(f"old.{policy.durable}")
-    versions = materialize(
+    versions = record(
         renewed.select("new.*", durable.alias(policy.durable), durable.isNotNull().alias("_seen")),
-        f"versions-{policy.target}")
+        f"versions-{policy.target}", counting={"fresh": ~F.col("_seen")})
     start, durable_start = last_keys.get(policy.surrogate, 0), last_keys.get(policy.durable, 0)
-    counts = versions.agg(F.count(F.lit(1)).alias("all"), F.count_if(~F.col("_seen")).alias("fresh")).first()
-    added = number_in_order(versions, policy.surrogate, start, ["_seen", nk], counts["all"])
+    count, fresh = count_of(versions), count_of(versions, "fresh")
+    added = number_in_order(versions, policy.surrogate, start, ["_seen", nk], count)
     fresh_durable = F.lit(durable_start - start) + F.col(policy.surrogate)
     added = (added.withColumn(policy.durable, F.coalesce(policy.durable, fresh_durable))
              .withColumn("ValidFrom", F.lit(as_of)).withColumn("ValidTo", F.lit(None))
              .withColumn("IsCurrent", F.lit(True)))
 
     current = rows(KEEP).select("old.*").unionByName(_as_table(policy, added))
-    keys = {policy.surrogate: start + counts["all"], policy.durable: durable_start + counts["fresh"]}
-    return Loaded(current, keys, closed=closing, inserted=counts["all"])
+    keys = {policy.surrogate: start + count, policy.durable: durable_start + fresh}
+    return Loaded(current, keys, closed=closing, inserted=count)
 
 
 # Loads of tables with one row per natural key; versions are loaded by load_versions.

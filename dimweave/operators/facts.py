@@ -25,7 +25,7 @@ from dimweave.sources.schemas import (
     FACT, FACT_COMPARED, FACT_GRAIN, FACT_SOURCE, LINE_KEYS, LINES_ROW, LINES_SOURCE, MONEY, ORDER_KEYS,
     ORDERS_ROW, ORDERS_SOURCE, POLICIES, RATE, REJECT, REJECT_SOURCE, ROW_ID, STAGING, FactKey, source_key,
 )
-from dimweave.sources.scratch import materialize
+from dimweave.sources.statistics import count_of, record, record_split
 
 _FKS = [k.fk for k in (*ORDER_KEYS, *LINE_KEYS)]
 
@@ -139,7 +139,7 @@ def fact_source(orders: DataFrame, lines: DataFrame, dims: dict[str, DataFrame],
     windowed = orders_in_window(orders, window)
     valid_orders = resolve(newest_orders(windowed), ORDER_KEYS, dims, "inner", sample_from=windowed,
                            collation=collation)
-    joined = newest_order_lines(materialize(valid_orders, "fact-orders"), lines)
+    joined = newest_order_lines(record(valid_orders, "fact-orders"), lines)
     joined = resolve(joined, LINE_KEYS, dims, "inner", LINES_ROW, sample_from=lines)
     values = {
         "OrderID_NK": F.col("OrderID"), "ProductID_NK": F.col("ProductID"), "SalesAmount": sales_amount(),
@@ -176,7 +176,7 @@ def merge_fact(stored: DataFrame | None, source: DataFrame, window: Window, load
     stamps = [F.lit(load_ts.date()).alias("SnapshotDate"), _second(load_ts).alias("LoadDate")]
     if stored is None:
         added = number_in_any_order(source, "FactOrder_SK", last_key).select("*", *stamps)
-        count = source.count()
+        count = count_of(source)
         return FactLoaded(_typed(added, FACT), last_key + count, count)
 
     def keyed(df, name):
@@ -188,16 +188,12 @@ def merge_fact(stored: DataFrame | None, source: DataFrame, window: Window, load
               .when(F.col("new").isNull(), "keep")
               .when(any_differs("old", "new", FACT_COMPARED.fields, collation), "update").otherwise("keep"))
     labelled = paired.select("old", "new", action.alias("_action")).where("_action != 'delete'")
-    table = materialize(labelled, "merge-fact", partition_by="_action")
-
-    def rows(label):
-        return table.where(F.col("_action") == label).drop("_action")
-
-    numbered = number_in_any_order(rows("insert").select("new"), "FactOrder_SK", last_key)
+    rows = record_split(labelled, "merge-fact", "_action", ("insert", "update", "keep"))
+    numbered = number_in_any_order(rows["insert"].select("new"), "FactOrder_SK", last_key)
     inserted = numbered.select("FactOrder_SK", "new.*", *stamps)
-    updated = rows("update").select("old.FactOrder_SK", "new.*", *stamps)
-    merged = rows("keep").select("old.*").unionByName(updated).unionByName(inserted)
-    count = rows("insert").count()
+    updated = rows["update"].select("old.FactOrder_SK", "new.*", *stamps)
+    merged = rows["keep"].select("old.*").unionByName(updated).unionByName(inserted)
+    count = count_of(rows["insert"])
     return FactLoaded(_typed(merged, FACT), last_key + count, count)
 
 
@@ -244,7 +240,7 @@ def orphan_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
     if few_orders:
         return lines.join(F.broadcast(known), "OrderID", "left_anti").select(*lines.columns)
     line_keys, _ = key_set(lines, "OrderID")
-    unknown = materialize(line_keys.join(known, "OrderID", "left_anti"), "orphans")
+    unknown = record(line_keys.join(known, "OrderID", "left_anti"), "orphans")
     lost = lookup_join(lines, unknown, "OrderID", "left_semi", ROW_ID)
     return lost.unionByName(lines.where(F.col("OrderID").isNull())).select(*lines.columns)
 
@@ -264,15 +260,15 @@ def reject_candidates(orders: DataFrame, lines: DataFrame, dims: dict[str, DataF
     windowed = orders_in_window(orders, window).select(ROW_ID, *_ORDER_COLUMNS)
     flagged = resolve(windowed, ORDER_KEYS, dims, "left", collation=collation)
     flagged = flagged.withColumn("_bad", _unresolved(ORDER_KEYS))
-    flagged = materialize(flagged, "reject-orders", partition_by="_bad")
+    orders_apart = record_split(flagged, "reject-orders", "_bad", (True, False), keys=("OrderID",))
     resolved = resolve(lines.select(ROW_ID, *_LINE_COLUMNS), LINE_KEYS, dims, "left")
     # Written once: the lines meet the products in one shuffle, whatever is asked of them afterwards.
-    resolved = materialize(resolved.withColumn("_bad", _unresolved(LINE_KEYS)), "reject-lines", partition_by="_bad")
-    bad_lines, resolved = resolved.where("_bad").drop("_bad"), resolved.drop("_bad")
-    bad, sound = flagged.where("_bad").drop("_bad"), flagged.where("NOT _bad").drop("_bad")
+    lines_apart = record_split(resolved.withColumn("_bad", _unresolved(LINE_KEYS)), "reject-lines", "_bad", (True, False), keys=("OrderID",))
+    bad, sound, bad_lines = orders_apart[True], orders_apart[False], lines_apart[True]
+    resolved = bad_lines.unionByName(lines_apart[False])
 
     pairs = order_lines(bad, resolved).unionByName(order_lines(sound, bad_lines))
-    lonely = unmatched_orders(flagged.drop("_bad"), lines).withColumnRenamed(ROW_ID, ORDERS_ROW)
+    lonely = unmatched_orders(bad.unionByName(sound), lines).withColumnRenamed(ROW_ID, ORDERS_ROW)
     orphans = orphan_lines(resolved, orders)
     orphans = _named_lines(orphans).withColumn("_orphan", F.lit(True))
     return (pairs.unionByName(lonely, allowMissingColumns=True)
@@ -327,8 +323,8 @@ def refresh_rejects(stored: DataFrame, rejected: DataFrame, window: Window, load
                     & (F.col(LINES_SOURCE) == source_key("OrderDetails")))
     outdated = (window.contains() | F.col("OrderDate").isNull()) & same_sources
     kept = stored.where(~F.coalesce(outdated, F.lit(False)))
-    written = materialize(rejected, "rejected")
+    written = record(rejected, "rejected")
     numbered = number_in_order(written, "FactOrder_Error_SK", last_key, [ORDERS_ROW, LINES_ROW])
     added = numbered.withColumn("RejectedDate", _second(load_ts))
-    count = written.count()
+    count = count_of(written)
     return FactLoaded(_typed(kept.unionByName(_typed(added, REJECT)), REJECT), last_key + count, count)

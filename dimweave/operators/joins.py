@@ -1,10 +1,13 @@
 """Equi-joins that hold when one key owns a large share of the rows.
 
-A side is broadcast only after its size has been measured. Beyond that bound both sides are
-shuffled. Keys that own more than ``HOT_SHARE`` of a side are found in a sample and salted:
+A side is broadcast only if its size is known to be bounded. Tables that the loads wrote have their rows and
+text bytes observed while they were written, so the bound of a frame over them costs no job. A frame over other
+files is too large if its files are, again without a job, and only small files are read to measure it. Beyond the bound
+both sides are shuffled (adaptive execution may still broadcast what turns out small). Keys that own more than
+``HOT_SHARE`` of a side, by the sketch kept with its table or else in a sample, are salted:
 their rows are spread over a number of shuffle keys that grows with their share, and the
 matching rows of the other side are repeated once for each. Salting never changes a result,
-so a key the sample misses costs time only. NULL keys match nothing and are spread as well.
+so a key that is missed costs time only. NULL keys match nothing and are spread as well.
 """
 
 from __future__ import annotations
@@ -15,17 +18,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimweave.sources import statistics
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.0001  # bounds the hot keys of a side to 10,000
 HOT_SAMPLE = 0.01
 HOT_SAMPLE_ROWS = 20  # a key seen less often in the sample is not taken for hot
 
-_ROW_OVERHEAD = 16
-
 
 def measured_bytes(df: DataFrame) -> int:
     """Size of ``df``: row count times fixed widths plus the measured length of its texts."""
-    fixed = _ROW_OVERHEAD
+    fixed = statistics.ROW_BYTES
     texts = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.StringType):
@@ -38,14 +41,26 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
+    """Whether ``df`` is bounded by ``BROADCAST_BYTES``. Rows are read only where the files are smaller and nothing is known of them."""
+    known = statistics.bound(df)
+    size = known and known.bytes()
+    if size is not None:
+        return size <= BROADCAST_BYTES
+    if statistics.file_bytes(df) > BROADCAST_BYTES:
+        return False
     return measured_bytes(df) <= BROADCAST_BYTES
 
 
 def hot_keys(df: DataFrame, key: str) -> dict:
     """Keys owning more than ``HOT_SHARE`` of the rows, with the number of parts to split each into.
 
-    At most ``1 / HOT_SHARE`` keys, and as many parts again, whatever the size of ``df``.
+    At most ``1 / HOT_SHARE`` keys, and as many parts again, whatever the size of ``df``. A key that comes unchanged from a
+    table with a sketch is judged by its share of that table.
     """
+    known = statistics.frequent_keys(df, key)
+    if known is not None:
+        rows, counts = known
+        return {k: max(2, math.ceil(n / (HOT_SHARE * rows))) for k, n in counts.items() if n > HOT_SHARE * rows}
     sample = df.select(key).where(F.col(key).isNotNull()).sample(HOT_SAMPLE, seed=7)
     counts = sample.rollup(key).agg(F.count(F.lit(1)).alias("n"), F.grouping(key).alias("all"))  # the total comes with the counts
     top = counts.orderBy(F.desc("all"), F.desc("n")).limit(1 + math.ceil(1 / HOT_SHARE)).collect()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from dimweave.operators.joins import fits_broadcast
 from dimweave.sources.scratch import materialize
+from dimweave.sources.statistics import record
 
 _FILE, _ROW, _BLOCK = "_key_file", "_key_row", "_key_block"
 
@@ -28,6 +29,7 @@ def _number_by_place(placed: DataFrame, column: str, last_key: int, within: tupl
     earlier = Window.orderBy(*_file_order(), *within).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (placed.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows"), F.min(_ROW).alias("_first"))
                .select(*place, (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_before")))
+    offsets = record(offsets, "offsets")
     if fits_broadcast(offsets):
         offsets = F.broadcast(offsets)
     key = (F.lit(last_key + 1) + F.col("_before") + F.col(_ROW)).cast("long")

@@ -33,16 +33,12 @@ AUDIT = T.StructType([
 ])
 
 
-def generate_execution_id() -> str:
-    return str(uuid.uuid4())
-
-
 class _Run:
     """One execution: runs steps in turn, each committed alone, and records them."""
 
     def __init__(self, warehouse: Warehouse):
         self.warehouse = warehouse
-        self.execution_id = generate_execution_id()
+        self.execution_id = str(uuid.uuid4())
         self.records: list[tuple] = []
 
     def step(self, name: str, source: str, target: str, load) -> None:
@@ -87,8 +83,9 @@ class _Run:
         except Exception as error:
             self._record(name, source, target, None, "Failed", str(error))
             raise
-        self._record(name, source, target, result.rows, "Completed", None)
-        log.info("execution %s: finished %s, %s rows", self.execution_id, name, result.rows)
+        rows = snapshot.rows(target) if result.rows is None else result.rows
+        self._record(name, source, target, rows, "Completed", None)
+        log.info("execution %s: finished %s, %s rows", self.execution_id, name, rows)
 
     def _record(self, name, source, target, rows, status, message) -> None:
         self.records.append((self.execution_id, len(self.records) + 1, name, source, target, rows, status, message))
@@ -111,7 +108,7 @@ def _ingest(given, source: str, fmt: str, spark: SparkSession):
             staged = stage_frame(given, source)
         else:
             staged = stage_sheet(spark, given, source, fmt)
-        return StepResult([Change(source, staged)], {}, staged.count())
+        return StepResult([Change(source, staged)], {})
 
     return load
 

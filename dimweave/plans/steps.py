@@ -13,7 +13,7 @@ from dimweave.operators.joins import lookup_join
 from dimweave.sources.schemas import (
     FACT_TABLE, ORDER_KEYS, LINE_KEYS, POLICIES, REJECT_TABLE, DimensionPolicy,
 )
-from dimweave.sources.scratch import materialize
+from dimweave.sources.statistics import record
 from dimweave.sources.warehouse import CLOSED, CURRENT, Change, Snapshot
 
 
@@ -21,7 +21,7 @@ from dimweave.sources.warehouse import CLOSED, CURRENT, Change, Snapshot
 class StepResult:
     changes: list[Change]
     last_keys: dict[str, int]
-    rows: int
+    rows: int | None = None  # None: all that was written
 
 
 def _months(frame) -> list[str]:
@@ -91,7 +91,7 @@ def fact_step(tables: Snapshot, window: facts.Window, load_ts: datetime.datetime
     """Merge the window into the fact; only months with rows to change are read in full and rewritten."""
     source = facts.fact_source(tables.frame("Orders"), tables.frame("OrderDetails"), fact_dimensions(tables), window,
                                collation)
-    source = materialize(source, "fact-source")
+    source = record(source, "fact-source")
     touched = _window_months(tables, FACT_TABLE, window)
     others = [m for m in tables.months(FACT_TABLE) if m not in touched]
     if others:

@@ -234,6 +234,12 @@ ORDER_KEYS = (
 )
 LINE_KEYS = (FactKey("ProductID", "DimProducts", "ProductID_TABLE_SK_FK", "ProductID_NK"),)
 
+# Columns of the staged tables that rows are joined on, where a few values may own many rows.
+KEY_COLUMNS = {
+    "Orders": ("OrderID", *(k.column for k in ORDER_KEYS)), "OrderDetails": ("OrderID", *(k.column for k in LINE_KEYS)),
+    **{p.source: tuple(r.column for r in p.references) for p in POLICIES.values() if p.references},
+}
+
 ORDERS_ROW = "Orders_staging_raw_id_nk"
 LINES_ROW = "OrderDetails_staging_raw_id_nk"
 ORDERS_SOURCE = "Orders_SOR_SK"

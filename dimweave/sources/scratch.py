@@ -27,10 +27,15 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A folder of its own for a table."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once and return a reader over the written files."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)

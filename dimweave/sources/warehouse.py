@@ -16,7 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from dimweave.operators.facts import month_of
-from dimweave.sources.schemas import FACT_TABLE, REJECT_TABLE, table_schema
+from dimweave.sources.schemas import FACT_TABLE, KEY_COLUMNS, REJECT_TABLE, table_schema
+from dimweave.sources.statistics import Observed, TableStats, remember
 
 WHOLE, CURRENT, CLOSED = "all", "current", "closed"
 MONTHLY = (FACT_TABLE, REJECT_TABLE)
@@ -47,6 +48,7 @@ class Snapshot:
     version: int = 0
     tables: dict[str, dict[str, list[str]]] = field(default_factory=dict)
     last_keys: dict[str, int] = field(default_factory=dict)
+    stats: dict[str, TableStats] = field(default_factory=dict)  # of folders, as observed while they were written
 
     def months(self, table: str) -> list[str]:
         return sorted(self.tables.get(table, {}))
@@ -54,16 +56,28 @@ class Snapshot:
     def with_table(self, table: str, written: Snapshot) -> Snapshot:
         """The next version, with one table as another snapshot has it."""
         tables = {**self.tables, table: written.tables[table]}
-        return Snapshot(self.spark, self.root, self.version + 1, tables, self.last_keys)
+        return Snapshot(self.spark, self.root, self.version + 1, tables, self.last_keys, {**self.stats, **written.stats})
+
+    def rows(self, table: str, parts: list[str] | None = None) -> int:
+        """Rows of a table, or of some parts of it, without reading it."""
+        folders = {folder_of(path) for part, paths in self.tables.get(table, {}).items() if parts is None or part in parts for path in paths}
+        return sum(self.stats[f].rows for f in folders)
 
     def frame(self, table: str, parts: list[str] | None = None, schema=None) -> DataFrame:
         """A table, or some parts or months of it; empty where nothing was written yet."""
         schema = schema or table_schema(table)
-        folders = [f"{self.root}/{path}" for part, paths in self.tables.get(table, {}).items()
-                   if parts is None or part in parts for path in paths]
+        folders = [path for part, paths in self.tables.get(table, {}).items() if parts is None or part in parts for path in paths]
         if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
+        for path in folders:
+            if path in self.stats:
+                remember(f"{self.root}/{path}", self.stats[path])
+        return self.spark.read.schema(schema).parquet(*(f"{self.root}/{path}" for path in folders))
+
+
+def folder_of(path: str) -> str:
+    """The folder that was written at once, of a path that may name one month in it."""
+    return "/".join(path.split("/")[:2])
 
 
 class Warehouse:
@@ -92,18 +106,23 @@ class Warehouse:
         stream = self._fs().open(self._path(f"_commits/{version:010d}.json"))
         state = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         stream.close()
-        return Snapshot(self.spark, self.root, version, state["tables"], state["last_keys"])
+        stats = {folder: TableStats.from_json(s) for folder, s in state["stats"].items()}
+        return Snapshot(self.spark, self.root, version, state["tables"], state["last_keys"], stats)
 
     def write(self, base: Snapshot, changes: list[Change], last_keys: dict[str, int]) -> Snapshot:
-        """Write the changed tables to new folders; the state is not visible until published."""
+        """Write the changed tables to new folders; the state is not visible until published.
+
+        The job that writes a folder also observes its numbers.
+        """
         tables = {name: dict(parts) for name, parts in base.tables.items()}
+        stats = dict(base.stats)
         for change in changes:
             folder = f"{change.table}/{uuid.uuid4().hex}"
             parts = tables.get(change.table, {})
             if change.table in MONTHLY:
                 # Rebalancing splits a month that is too large for one task and merges small ones.
-                (change.frame.withColumn(_MONTH, month_of("OrderDate")).hint("rebalance", _MONTH)
-                 .write.partitionBy(_MONTH).parquet(f"{self.root}/{folder}"))
+                observed = Observed(change.frame.withColumn(_MONTH, month_of("OrderDate")).hint("rebalance", _MONTH))
+                observed.frame.write.partitionBy(_MONTH).parquet(f"{self.root}/{folder}")
                 replaced = parts if change.months is None else change.months
                 parts = {m: p for m, p in parts.items() if m not in replaced}
                 for name in self._names(folder):
@@ -111,17 +130,20 @@ class Warehouse:
                         month = name.split("=", 1)[1]
                         parts[month] = parts.get(month, []) + [f"{folder}/{name}"]
             else:
-                change.frame.write.parquet(f"{self.root}/{folder}")
+                observed = Observed(change.frame, KEY_COLUMNS.get(change.table, ()))
+                observed.frame.write.parquet(f"{self.root}/{folder}")
                 parts = dict(parts)
                 parts[change.part] = (parts.get(change.part, []) if change.append else []) + [folder]
-            tables[change.table] = parts
-        return Snapshot(self.spark, self.root, base.version + 1, tables, {**base.last_keys, **last_keys})
+            tables[change.table], stats[folder] = parts, observed.stats
+        named = {folder_of(path) for parts in tables.values() for paths in parts.values() for path in paths}
+        return Snapshot(self.spark, self.root, base.version + 1, tables, {**base.last_keys, **last_keys}, {f: s for f, s in stats.items() if f in named})
 
     def publish(self, snapshot: Snapshot) -> None:
         """Make a written snapshot the current state; fails if its version was published meanwhile."""
         fs = self._fs()
         target, draft = self._path(f"_commits/{snapshot.version:010d}.json"), self._path(f"_drafts/{uuid.uuid4().hex}")
-        state = json.dumps({"tables": snapshot.tables, "last_keys": snapshot.last_keys})
+        stats = {folder: s.to_json() for folder, s in snapshot.stats.items()}
+        state = json.dumps({"tables": snapshot.tables, "last_keys": snapshot.last_keys, "stats": stats})
         fs.mkdirs(target.getParent())
         stream = fs.create(draft, False)
         stream.write(bytearray(state.encode("utf-8")))
@@ -150,7 +172,7 @@ class Warehouse:
         named = set()
         for version in versions[-keep:]:
             for parts in self.snapshot(version).tables.values():
-                named |= {"/".join(path.split("/")[:2]) for paths in parts.values() for path in paths}
+                named |= {folder_of(path) for paths in parts.values() for path in paths}
         before = (time.time() - older_than_hours * 3600) * 1000
         fs, deleted = self._fs(), []
         for table in self._names(""):

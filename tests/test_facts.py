@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dimweave.functions import reasons
 from dimweave.operators import facts
 from dimweave.operators.facts import Window
-from dimweave.plans.job import generate_execution_id, main, read_audit, run_load
+from dimweave.plans.job import _Run, main, read_audit, run_load
 from dimweave.sources.schemas import FACT_TABLE, POLICIES, REJECT_TABLE, SOURCES, STAGING, table_schema
 from dimweave.sources.scratch import materialize
 from dimweave.sources.warehouse import Change, Warehouse
@@ -297,7 +297,7 @@ def test_upkeep_keeps_what_readers_use(spark, table, tmp_path):
 
 
 def test_execution_ids_are_unique_uuids():
-    ids = {generate_execution_id() for _ in range(100)}
+    ids = {_Run(None).execution_id for _ in range(100)}
     assert len(ids) == 100 and all(len(i) == 36 for i in ids)
 
 
