@@ -55,7 +55,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the lines that are kept."""
-    kept = line_dedup.remove_later_runs(read(spark, sf_dir, "documents"), short_lines=True)
+    kept = line_dedup.remove_later_runs(read(spark, sf_dir, "documents"), short_times=line_dedup.SHORT_TIMES)
     return kept.select("row.doc_id", "n_lines", "n_removed", "text")
 
 

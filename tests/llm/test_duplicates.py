@@ -136,45 +136,82 @@ def test_repeated_bytes_of_rows_with_one_doc_id(documents, repeating):
     assert repeats.remove_repeats(documents(rows).where("false")).count() == 0
 
 
-def plain_line_dedup(rows, limit):
+def signed_hash(text):
+    return (xxhash.xxh64_intdigest(text.encode(), seed=42) + 2**63) % 2**64 - 2**63
+
+
+def plain_line_dedup(rows, limit, short_times=None):
     """Lists of removed lines of (doc_id, text) documents, by the rules that the operator states."""
-    docs = sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
-    lines = {d: [(n, x, len(x.strip(" "))) for n, x in enumerate(d[1].split("\n")) if x.strip(" ")] for d in docs}
-    firsts, windows = {}, []
-    for d in docs:
-        own = lines[d]
-        for i in range(len(own)):
-            for j in range(i, len(own)):
-                if sum(x[2] for x in own[i: j + 1]) >= limit:
-                    key = tuple(x[1] for x in own[i: j + 1])
-                    firsts.setdefault(key, (d, i))
-                    windows.append((d, i, j, key))
-                    break
+    docs = sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0, signed_hash(r[1])))
+    lines, selected = [], []
+    for d, (_, text) in enumerate(docs):
+        own, begin = [], 0
+        for at, line in enumerate(text.split("\n")):
+            if line.strip(" "):
+                own.append((at, line, len(line.strip(" ")), begin))
+                begin += own[-1][2]
+        lines.append(own)
+        chosen = set()
+        for i, (_, _, _, start) in enumerate(own):
+            if begin - start >= limit:
+                window = [j for j in range(i, len(own)) if own[j][3] < start + limit]
+                chosen.add(min(window, key=lambda j: (signed_hash(own[j][1]), -j)))
+        selected += [(d, i) for i in sorted(chosen)]
+
+    def before(d, i):
+        return [j for j in range(i - 1, -1, -1) if lines[d][j][3] >= lines[d][i][3] - limit]
+
+    def after(d, i):
+        end = lines[d][i][3] + lines[d][i][2]
+        return [j for j in range(i + 1, len(lines[d])) if lines[d][j][3] + lines[d][j][2] <= end + limit]
+
+    def keys(d, i):
+        found = [(lines[d][i][1],)]
+        if lines[d][i][2] < limit:
+            found += [(lines[d][i][1], lines[d][j][1], side) for side, near in (("before", before(d, i)), ("after", after(d, i))) for j in near[:1]]
+        return found
+
+    firsts = {}
+    for place in selected:
+        for key in keys(*place):
+            firsts.setdefault(key, place)
     gone = {d: set() for d in docs}
-    for d, i, j, key in windows:
-        r, k = firsts[key]
-        if (r, k) == (d, i):
-            continue
-        a, b, total = i, j, 0
-        while a and k - (i - a) > 0 and lines[d][a - 1][1] == lines[r][k - (i - a) - 1][1] and total + lines[d][a - 1][2] < limit:
-            total += lines[d][a - 1][2]
-            a -= 1
-        total, end = 0, k + j - i
-        while b + 1 < len(lines[d]) and end + 1 < len(lines[r]) and lines[d][b + 1][1] == lines[r][end + 1][1] and total + lines[d][b + 1][2] < limit:
-            total += lines[d][b + 1][2]
-            b, end = b + 1, end + 1
-        gone[d] |= set(range(lines[d][a][0], lines[d][b][0] + 1))
+    for d, i in selected:
+        for key in keys(d, i):
+            e, k = firsts[key]
+            if (e, k) == (d, i):
+                continue
+            reach, total = [i, i], lines[d][i][2]
+            for side, near, theirs in ((0, before(d, i), before(e, k)), (1, after(d, i), after(e, k))):
+                for a, b in zip(near, theirs, strict=False):
+                    if lines[d][a][1] != lines[e][b][1]:
+                        break
+                    reach[side] = a
+                    total += lines[d][a][2]
+            if total >= limit:
+                gone[docs[d]] |= set(range(lines[d][reach[0]][0], lines[d][reach[1]][0] + 1))
+    if short_times:
+        places = {}
+        for d, own in enumerate(lines):
+            for at, line, chars, _ in own:
+                if chars < limit:
+                    places.setdefault(line, []).append((d, at))
+        for found in places.values():
+            for d, at in found[1:] if len(found) >= short_times else []:
+                gone[docs[d]].add(at)
     return gone
 
 
-def test_line_dedup_matches_brute_force(documents):
+@pytest.mark.parametrize("times", [None, 3])
+def test_line_dedup_matches_brute_force(documents, times):
     rng = random.Random(11)
-    pool = [prose(rng, rng.choice([1, 1, 2, 3, 9, 12])) for _ in range(30)] + ["", " "]
-    rows = [(i, "\n".join(rng.choice(pool) if rng.random() < 0.7 else prose(rng, 8) for _ in range(rng.randrange(0, 14)))) for i in range(60)]
-    rows += [(None, rows[4][1]), (70, None), (71, rows[5][1]), (72, "\n\n"), (71, rows[5][1])]
-    want = plain_line_dedup(rows, line_dedup.MIN_CHARS)
-    given = documents(rows).withColumn("gone", F.lit(1)).withColumn("lines", F.lit("x")).withColumn("row", F.lit(2))
-    got = line_dedup.remove_later_runs(given).collect()
+    pool = [prose(rng, rng.choice([1, 1, 1, 2, 2, 3, 9, 12])) for _ in range(30)] + ["", " ", "}", "\t"]
+    passages = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(2, 12))) for _ in range(8)]
+    rows = [(i, "\n".join(rng.choice([rng.choice(pool), prose(rng, 8), prose(rng, 2), rng.choice(passages)]) for _ in range(rng.randrange(0, 14)))) for i in range(60)]
+    rows += [(None, rows[4][1]), (70, None), (71, rows[5][1]), (72, "\n\n"), (71, rows[5][1]), (71, rows[6][1])]
+    want = plain_line_dedup(rows, line_dedup.MIN_CHARS, times)
+    given = documents(rows).withColumn("gone", F.lit(1)).withColumn("lines", F.lit("x")).withColumn("row", F.lit(2)).withColumn("at", F.lit(3))
+    got = line_dedup.remove_later_runs(given, short_times=times).collect()
     assert len(got) == len(rows)
     for r in got:
         text = r["row"]["text"]
@@ -183,6 +220,20 @@ def test_line_dedup_matches_brute_force(documents):
         assert (r["text"] or "") == kept
         assert r["n_removed"] == len(gone)
     assert sum(len(g) for g in want.values()) > 50
+    lines_alone = {}
+    for i, text in sorted({(i, t) for i, t in rows if i is not None and t}):
+        for line in text.split("\n"):
+            lines_alone.setdefault(line, []).append(i)
+    if times is None:  # short lines that are repeated alone stay
+        kept = "\n".join(r["text"] or "" for r in got).split("\n")
+        assert any(len(x) < 10 and x.strip() and kept.count(x) > 1 for x in lines_alone)
+
+
+def test_runs_of_short_lines_are_found_and_single_ones_stay(documents):
+    run = "\n".join(f"verse {i} of it" for i in range(8))
+    rows = [(1, f"alone\n{run}\nend"), (2, f"other\n{run}\nlast"), (3, "alone\nnot here\nverse 3 of it\nend"), (4, "verse 7 of it\nlast")]
+    got = {r["row"]["doc_id"]: r["text"] for r in line_dedup.remove_later_runs(documents(rows)).collect()}
+    assert got == {1: rows[0][1], 2: "other\nlast", 3: rows[2][1], 4: rows[3][1]}
 
 
 def test_line_dedup_keeps_first_runs_and_takes_an_empty_table(documents):
@@ -190,35 +241,19 @@ def test_line_dedup_keeps_first_runs_and_takes_an_empty_table(documents):
     rows = [(1, f"alone\n{passage}\nend"), (2, f"other\n{passage}\nlast"), (3, "unlike the rest of them, a line by itself")]
     got = {r["row"]["doc_id"]: r["text"] for r in line_dedup.remove_later_runs(documents(rows)).collect()}
     assert got == {1: rows[0][1], 2: "other\nlast", 3: rows[2][1]}
-    assert line_dedup.remove_later_runs(documents(rows).where("false")).count() == 0
+    assert line_dedup.remove_later_runs(documents(rows).where("false"), short_times=3).count() == 0
 
 
-def test_repeated_short_lines_go_wherever_they_stand(documents, spark, tmp_path):
-    from dimweave.llm.queries import QUERIES
+def test_boilerplate_goes_wherever_it_stands(documents):
+    rows = [(i, f"own {i} text\nAll rights reserved.\n" + ("twice only" if i < 2 else "tail")) for i in range(9)]
+    got = {r["row"]["doc_id"]: r["text"] for r in line_dedup.remove_later_runs(documents(rows), short_times=3).collect()}
+    assert got[0] == rows[0][1]
+    assert got[1] == "own 1 text\ntwice only"
+    assert got[2] == "own 2 text\ntail"
+    assert all(got[i] == f"own {i} text" for i in range(3, 9))
 
-    rng = random.Random(12)
-    pool = ["All rights reserved.", "x", " x", "é", "the on", prose(rng, 12)]
-    rows = [(i, "\n".join(rng.choice(pool) if rng.random() < 0.5 else f"own {i} {n} " + prose(rng, 4 + n) for n in range(rng.randrange(1, 9)))) for i in range(40)]
-    rows += [(50, "All rights reserved."), (51, None), (52, "\n\n")]
-    seen, want = set(), {}
-    for i, text in rows:
-        kept = []
-        for line in (text or "").split("\n"):
-            if line.strip(" ") and line in seen:
-                continue
-            seen.add(line)
-            kept.append(line)
-        want[i] = "\n".join(kept)
-    documents(rows).write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r["doc_id"]: r for r in QUERIES["op7_line_dedup"](spark, str(tmp_path)).collect()}
-    assert {i: r["text"] or "" for i, r in got.items()} == want
-    assert got[50]["n_removed"] == 1
-
-
-def test_short_lines_behind_a_run_go_where_its_first_place_differs(documents):
-    hot = "a hot line of more than forty characters in all of these"
-    rows = [(1, f"{hot}\nfirst tail"), (2, f"{hot}\nother tail"), (3, f"{hot}\nother tail")]
-    plain = {r["row"]["doc_id"]: r["text"] for r in line_dedup.remove_later_runs(documents(rows)).collect()}
-    assert plain == {1: rows[0][1], 2: "other tail", 3: "other tail"}  # runs alone meet the first place only
-    got = {r["row"]["doc_id"]: r["text"] for r in line_dedup.remove_later_runs(documents(rows), short_lines=True).collect()}
-    assert got == {1: rows[0][1], 2: "other tail", 3: ""}
+
+def test_a_document_of_very_many_lines(documents):
+    text = "\n".join(f"line {i % 30000} of this document, long enough for a window" for i in range(60000))
+    got = line_dedup.remove_later_runs(documents([(1, text), (2, "short\n" * 20000)]), short_times=3).collect()
+    assert {r["row"]["doc_id"]: r["n_removed"] for r in got} == {1: 30000, 2: 19999}
