@@ -21,8 +21,8 @@ def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that occurred before, short ones too; ``n_chars`` follows the text."""
-    kept = line_dedup.remove_later_runs(docs, short_lines=True)
+    """All documents, without runs of lines that occurred before and repeated short lines; ``n_chars`` follows the text."""
+    kept = line_dedup.remove_later_runs(docs, short_times=line_dedup.SHORT_TIMES)
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return kept.select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))
 
