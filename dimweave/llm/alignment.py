@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +31,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimweave.llm.common import materialize, slices
-from dimweave.llm.tokens import Lists, PartMemory, WordIds, byte_letters, cut
+from dimweave.llm.tokens import Lists, PartMemory, WordIds, byte_letters, cut, ragged
 
 BLOCK_BYTES = 8 * 1024 * 1024
 MAX_PARTS = 200_000  # remembered parts of a Python worker
 A_SHIFT = 32  # a pair is the A id times 2^32 plus the B id
+WIDE = 64  # links of a group from which its pairs are counted before they are listed
 
 _NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
 _ROWS = "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, slots array<int>, times array<long>, pairs array<long>, holders array<long>"
@@ -44,28 +45,18 @@ STATISTICS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_be
 _aligners: dict[tuple, "Aligner"] = {}
 
 
-def groups(sizes_a: list[int], sizes_b: list[int]) -> list[tuple[int, int, int, int]]:
-    """Slices (begin and end in A, begin and end in B) between the bytes where both sides end a token."""
-    ends_a = {end: i for i, end in enumerate(accumulate(sizes_a), 1)}
-    ends_b = {end: i for i, end in enumerate(accumulate(sizes_b), 1)}
-    found, a, b = [], 0, 0
-    for end in sorted(ends_a.keys() & ends_b.keys()):
-        found.append((a, a := ends_a[end], b, b := ends_b[end]))
-    return found
+def groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens of A and of B lie before the end of each group: the bytes where both sides end a token, in order."""
+    index_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1), strict=True))
+    index_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1), strict=True))
+    common = sorted(index_a.keys() & index_b.keys())
+    return tuple(np.fromiter(map(index.__getitem__, common), np.int64, len(common)) for index in (index_a, index_b))
 
 
-def links(ids_a: list[int], ids_b: list[int]) -> list[tuple[int, int]]:
+def links(ids_a: list[int], ids_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """The id pairs of one group, each once, with their number of links."""
-    if len(ids_a) == 1 or len(ids_b) == 1:
-        pairs = [a << A_SHIFT | b for a in ids_a for b in ids_b]
-        if len(set(pairs)) == len(pairs):
-            return [(p, 1) for p in pairs]
-    of_a, of_b = ({i: own.count(i) for i in set(own)} if len(own) < 20 else _counted(own) for own in (ids_a, ids_b))
-    return [(a << A_SHIFT | b, n * m) for a, n in of_a.items() for b, m in of_b.items()]
-
-
-def _counted(ids: list[int]) -> dict[int, int]:
-    return dict(zip(*(x.tolist() for x in np.unique(ids, return_counts=True)), strict=True))
+    (a, n), (b, m) = (np.unique(np.array(ids, np.int64), return_counts=True) for ids in (ids_a, ids_b))
+    return (a[:, None] << A_SHIFT | b).ravel(), (n[:, None] * m).ravel()
 
 
 class PieceIds:
@@ -96,48 +87,88 @@ class Aligner(PartMemory):
         self.a_bytes = [b""] * (max(entries.values()) + 1)
         for entry, i in entries.items():
             self.a_bytes[i] = bytes(map(back.__getitem__, entry)) if all(c in back for c in entry) else b""
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, own)), np.int64) for own in (self.a_bytes, self.b.bytes))
+        # Ids as text with what follows them: a comma, the bar behind a group's A ids, a semicolon, the line's end behind a part.
+        self.shown = [f"{i}{mark}" for own, marks in ((self.a_bytes, ",|"), (self.b.bytes, ",;\n")) for mark in marks for i in range(len(own))]
         self.written: list[str] = []
         self.sizes = np.zeros((0, 4), np.int64)  # n_a, n_b, n_groups, n_links; n_a is -1 where bytes differ
         self.pairs, self.times = Lists(np.int64), Lists(np.int64)
 
-    def align(self, keys: list[str]) -> tuple[list[str], np.ndarray, list[list[tuple[int, int]]]]:
-        """The groups of each key as text, its four numbers and its linked pairs."""
-        flat, lengths = self.a.encode([f" {k}" for k in keys])
-        ends = np.cumsum(lengths)
-        all_a = flat.tolist()
-        written, sizes, linked = [], [], []
-        a_bytes, b_bytes = self.a_bytes, self.b.bytes
-        for key, begin, end, ids_b in zip(keys, (ends - lengths).tolist(), ends.tolist(), self.b.encode(keys), strict=True):
-            ids_a = all_a[begin: end]
-            spelled_a, spelled_b = [a_bytes[i] for i in ids_a], [b_bytes[i] for i in ids_b]
-            if not b"".join(spelled_a) == b"".join(spelled_b) == f" {key}".encode():
-                written.append("")
-                sizes.append((-1, 0, 0, 0))
-                linked.append([])
-                continue
-            text, pairs, n_links = [], [], 0
-            found = groups(list(map(len, spelled_a)), list(map(len, spelled_b)))
-            for a, a_end, b, b_end in found:
-                own_a, own_b = ids_a[a: a_end], ids_b[b: b_end]
-                text.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-                pairs += links(own_a, own_b)
-                n_links += len(own_a) * len(own_b)
-            written.append(";".join(text))
-            sizes.append((len(ids_a), len(ids_b), len(found), n_links))
-            linked.append(pairs)
-        return written, np.array(sizes, np.int64).reshape(-1, 4), linked
+    def align(self, keys: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The groups of each key as text and its four numbers; the linked pairs of all in a row, their links, and how many pairs a key has."""
+        spaced = [f" {k}".encode() for k in keys]
+        a, n_a = self.a.encode([f" {k}" for k in keys])
+        ids = self.b.encode(keys)
+        n_b = np.fromiter(map(len, ids), np.int64, len(ids))
+        b = np.fromiter(chain.from_iterable(ids), np.int64, int(n_b.sum()))
+        a = a.astype(np.int64)
+        good = self._spelled(spaced, a, n_a, b, n_b)
+        a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+        sizes = np.zeros((len(keys), 4), np.int64)
+        sizes[~good, 0] = -1
+        counts = np.zeros(len(keys), np.int64)
+        written = [""] * len(keys)
+        if good.any():
+            text, sizes[good], pairs, times, counts[good] = self._grouped(a, n_a[good], b, n_b[good])
+            for i, own in zip(np.flatnonzero(good).tolist(), text, strict=True):
+                written[i] = own
+            return written, sizes, pairs, times, counts
+        return written, sizes, a, a, counts
+
+    def _spelled(self, spaced: list[bytes], a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+        """Whether the tokens of both sides spell each of the texts."""
+        length = np.fromiter(map(len, spaced), np.int64, len(spaced))
+        whole_a, whole_b = (b"".join(map(own.__getitem__, ids.tolist())) for own, ids in ((self.a_bytes, a), (self.b.bytes, b)))
+        sums = [np.diff(np.concatenate(([0], np.cumsum(own[ids])))[np.concatenate(([0], np.cumsum(n)))]) for own, ids, n in ((self.a_sizes, a, n_a), (self.b_sizes, b, n_b))]
+        good = (sums[0] == length) & (sums[1] == length)
+        if good.all() and whole_a == whole_b == b"".join(spaced):
+            return good
+        ends = [np.cumsum(own).tolist() for own in sums]
+        starts = [[0, *own[:-1]] for own in ends]
+        return np.array([ok and whole_a[a0: a1] == whole_b[b0: b1] == text for ok, a0, a1, b0, b1, text in
+                         zip(good.tolist(), starts[0], ends[0], starts[1], ends[1], spaced, strict=True)], bool)
+
+    def _grouped(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray):
+        """``align`` of texts that both sides spell, laid one behind the other."""
+        ends = groups(np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b]))
+        starts = [np.concatenate(([0], e[:-1])) for e in ends]
+        wide_a, wide_b = ends[0] - starts[0], ends[1] - starts[1]
+        part = np.searchsorted(np.cumsum(n_a), starts[0], "right")
+        n_links = wide_a * wide_b
+        # Groups as text: the ids of both sides in the order of the groups, each with the mark behind it.
+        mark_a, mark_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        mark_a[ends[0] - 1] = len(self.a_bytes)
+        mark_b[ends[1] - 1] = len(self.b.bytes)
+        mark_b[np.cumsum(n_b) - 1] = 2 * len(self.b.bytes)
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.repeat(starts[1], wide_a)] = a + mark_a
+        order[np.arange(len(b)) + np.repeat(ends[0], wide_b)] = b + mark_b + 2 * len(self.a_bytes)
+        written = "".join(map(self.shown.__getitem__, order.tolist())).split("\n")[:-1]
+        # Links: all pairs of tokens of a group, or where they are many the distinct id pairs with their number.
+        wide = np.flatnonzero(n_links > WIDE)
+        counted = [links(a[starts[0][g]: ends[0][g]].tolist(), b[starts[1][g]: ends[1][g]].tolist()) for g in wide.tolist()]
+        entries = n_links.copy()
+        entries[wide] = [len(p) for p, _ in counted]
+        at = np.cumsum(entries) - entries
+        pairs, times = np.zeros(int(entries.sum()), np.int64), np.ones(int(entries.sum()), np.int64)
+        usual = np.flatnonzero(n_links <= WIDE)
+        within = ragged(np.zeros(len(usual), np.int64), n_links[usual])
+        group = np.repeat(usual, n_links[usual])
+        pairs[ragged(at[usual], n_links[usual])] = a[starts[0][group] + within // wide_b[group]] << A_SHIFT | b[starts[1][group] + within % wide_b[group]]
+        for g, (own, n) in zip(wide.tolist(), counted, strict=True):
+            pairs[at[g]: at[g] + len(own)], times[at[g]: at[g] + len(own)] = own, n
+        texts = len(n_a)
+        whole = [np.bincount(part, minlength=texts), np.zeros(texts, np.int64), np.zeros(texts, np.int64)]
+        np.add.at(whole[1], part, n_links)
+        np.add.at(whole[2], part, entries)
+        return written, np.stack((n_a, n_b, whole[0], whole[1]), axis=1), pairs, times, whole[2]
 
     def learn(self, new: list) -> None:
-        written, sizes, linked = self.align(new)
+        written, sizes, pairs, times, lengths = self.align(new)
         self.written += written
         self.sizes = np.concatenate((self.sizes, sizes))
-        self._store(self.pairs, self.times, linked)
-
-    def _store(self, pairs: Lists, times: Lists, linked: list[list[tuple[int, int]]]) -> None:
-        lengths = np.fromiter(map(len, linked), np.int64, len(linked))
-        flat = np.fromiter(chain.from_iterable(chain.from_iterable(linked)), np.int64, 2 * int(lengths.sum())).reshape(-1, 2)
-        pairs.add(flat[:, 0], lengths)
-        times.add(flat[:, 1], lengths)
+        self.pairs.add(pairs, lengths)
+        self.times.add(times, lengths)
 
     def keep(self, at: np.ndarray) -> None:
         self.written = [self.written[i] for i in at.tolist()]
@@ -166,14 +197,21 @@ class Aligner(PartMemory):
         good = ~bad[row]
         pairs, times, row = pairs[good], times[good], row[good]
         for i in np.flatnonzero(bad).tolist():  # a text can spell itself where a part does not
-            text, own, linked = self.align([texts[i]])
+            text, own, more, more_times, _ = self.align([texts[i]])
             if own[0, 0] >= 0:
                 written[i], numbers[i] = text[0], own[0]
-                more = np.array(linked[0], np.int64).reshape(-1, 2)
-                pairs, times, row = np.concatenate((pairs, more[:, 0])), np.concatenate((times, more[:, 1])), np.concatenate((row, np.full(len(more), i)))
-        order = np.lexsort((pairs, row))
-        pairs, times, row = pairs[order], times[order], row[order]
-        first = np.flatnonzero(np.concatenate(([True], (np.diff(pairs) != 0) | (np.diff(row) != 0)))) if len(pairs) else np.zeros(0, np.int64)
+                pairs, times, row = np.concatenate((pairs, more)), np.concatenate((times, more_times)), np.concatenate((row, np.full(len(more), i)))
+        bits = max(1, (len(self.a_bytes) - 1).bit_length()) + A_SHIFT
+        if len(texts).bit_length() + bits < 64:
+            key = row << bits | pairs
+            order = np.argsort(key)
+            key, times = key[order], times[order]
+            first = np.flatnonzero(np.concatenate(([True], np.diff(key) != 0))) if len(key) else order
+            pairs, row = key & ((1 << bits) - 1), key >> bits
+        else:
+            order = np.lexsort((pairs, row))
+            pairs, times, row = pairs[order], times[order], row[order]
+            first = np.flatnonzero(np.concatenate(([True], (np.diff(pairs) != 0) | (np.diff(row) != 0)))) if len(pairs) else order
         return written, numbers, pairs[first], np.add.reduceat(times, first) if len(first) else times[:0], np.bincount(row[first], minlength=len(texts))
 
 
