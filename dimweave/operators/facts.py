@@ -21,6 +21,7 @@ from dimweave.operators.joins import (
     fits_broadcast, hot_frame, hot_keys, key_set, lookup_join, newest_per_key, pair_join,
 )
 from dimweave.operators.keys import number_in_any_order, number_in_order
+from dimweave.sources.colocated import Apart, both, whole
 from dimweave.sources.schemas import (
     FACT, FACT_COMPARED, FACT_GRAIN, FACT_SOURCE, LINE_KEYS, LINES_ROW, LINES_SOURCE, MONEY, ORDER_KEYS,
     ORDERS_ROW, ORDERS_SOURCE, POLICIES, RATE, REJECT, REJECT_SOURCE, ROW_ID, STAGING, FactKey, source_key,
@@ -59,8 +60,8 @@ class FactLoaded:
     inserted: int
 
 
-def orders_in_window(orders: DataFrame, window: Window) -> DataFrame:
-    return orders.where(window.contains())
+def orders_in_window(orders: DataFrame | Apart, window: Window) -> DataFrame | Apart:
+    return both(orders, lambda rows: rows.where(window.contains()))
 
 
 def dimension_keys(dims: dict[str, DataFrame], key: FactKey) -> DataFrame:
@@ -88,8 +89,8 @@ def resolve(rows: DataFrame, keys: tuple[FactKey, ...], dims: dict[str, DataFram
     return rows
 
 
-def newest_orders(orders: DataFrame) -> DataFrame:
-    return newest_per_key(orders.where(F.col("OrderID").isNotNull()), ["OrderID"], [F.col(ROW_ID).desc()])
+def newest_orders(orders: DataFrame | Apart) -> DataFrame | Apart:
+    return both(orders, lambda rows: newest_per_key(rows.where(F.col("OrderID").isNotNull()), ["OrderID"], [F.col(ROW_ID).desc()]))
 
 
 def sales_amount() -> Column:
@@ -98,25 +99,39 @@ def sales_amount() -> Column:
     return (zero_if_null("UnitPrice", MONEY) * quantity * (1 - zero_if_null("Discount", RATE))).cast(MONEY)
 
 
-def _named_lines(lines: DataFrame) -> DataFrame:
-    return lines.withColumnRenamed(ROW_ID, LINES_ROW)
+def _named_lines(lines: DataFrame | Apart) -> DataFrame | Apart:
+    return both(lines, lambda rows: rows.withColumnRenamed(ROW_ID, LINES_ROW))
 
 
-def order_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+def _named_orders(orders: DataFrame | Apart) -> DataFrame | Apart:
+    return both(orders, lambda rows: rows.withColumnRenamed(ROW_ID, ORDERS_ROW))
+
+
+def order_lines(orders: DataFrame | Apart, lines: DataFrame | Apart) -> DataFrame:
     """Orders with their lines; both sides may repeat an order."""
-    return pair_join(_named_lines(lines), orders.withColumnRenamed(ROW_ID, ORDERS_ROW), "OrderID",
-                     LINES_ROW, ORDERS_ROW)
+    return pair_join(_named_lines(lines), _named_orders(orders), "OrderID", LINES_ROW, ORDERS_ROW)
 
 
-def newest_order_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+def newest_order_lines(orders: DataFrame | Apart, lines: DataFrame | Apart) -> DataFrame:
     """The newest row of every (order, product), by order row then line row.
 
+    Usual rows that are laid out by order are joined and deduplicated as they lie. Otherwise:
+
     ``orders`` has one row per OrderID, so the newest line of a pair decides. A small side of
     orders is broadcast and only the remaining lines are shuffled. Otherwise orders and lines
     are shuffled once by order, which also serves the deduplication; orders that own a large
     share of the lines are few, so they are broadcast and their lines spread over products.
     """
-    orders = orders.withColumnRenamed(ROW_ID, ORDERS_ROW)
+    if isinstance(orders, Apart) and isinstance(lines, Apart):
+        usual = _newest_laid_out(orders.usual, lines.usual)
+        if orders.has_no_hot_rows() and lines.has_no_hot_rows():
+            return usual
+        # An order that is hot in one of the tables is none of the rows above: all its rows meet here.
+        hot = sorted({*orders.hot_keys(), *lines.hot_keys()})
+        met = [table.usual.where(F.col("OrderID").isin(hot)).unionByName(table.hot) for table in (orders, lines)]
+        return usual.unionByName(newest_order_lines(*met))
+    orders, lines = whole(orders), whole(lines)
+    orders = _named_orders(orders)
     keyed = _named_lines(lines.where(F.col("OrderID").isNotNull() & F.col("ProductID").isNotNull()))
 
     def newest(joined):
@@ -133,14 +148,22 @@ def newest_order_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return newest(usual_lines.join(orders, "OrderID")).unionByName(newest(keyed.join(heavy_orders, "OrderID")))
 
 
+def _newest_laid_out(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    keyed = _named_lines(lines.where(F.col("OrderID").isNotNull() & F.col("ProductID").isNotNull()))
+    joined = keyed.join(_named_orders(orders), "OrderID")
+    return newest_per_key(joined, ["OrderID", "ProductID"], [F.col(LINES_ROW).desc()])
+
+
 def fact_source(orders: DataFrame, lines: DataFrame, dims: dict[str, DataFrame], window: Window,
                 collation: str | None = None) -> DataFrame:
     """Valid, deduplicated fact rows of the window."""
     windowed = orders_in_window(orders, window)
-    valid_orders = resolve(newest_orders(windowed), ORDER_KEYS, dims, "inner", sample_from=windowed,
-                           collation=collation)
-    joined = newest_order_lines(record(valid_orders, "fact-orders"), lines)
-    joined = resolve(joined, LINE_KEYS, dims, "inner", LINES_ROW, sample_from=lines)
+    valid_orders = both(newest_orders(windowed), lambda rows: resolve(
+        rows, ORDER_KEYS, dims, "inner", sample_from=whole(windowed), collation=collation))
+    if not isinstance(valid_orders, Apart):
+        valid_orders = record(valid_orders, "fact-orders")
+    joined = newest_order_lines(valid_orders, lines)
+    joined = resolve(joined, LINE_KEYS, dims, "inner", LINES_ROW, sample_from=whole(lines))
     values = {
         "OrderID_NK": F.col("OrderID"), "ProductID_NK": F.col("ProductID"), "SalesAmount": sales_amount(),
         ORDERS_SOURCE: F.lit(source_key("Orders")), LINES_SOURCE: F.lit(source_key("OrderDetails")),
@@ -218,8 +241,26 @@ _ORDER_COLUMNS = ["OrderID", *[k.column for k in ORDER_KEYS], "OrderDate", "Requ
 _LINE_COLUMNS = ["OrderID", "ProductID", "UnitPrice", "Quantity", "Discount"]
 
 
-def unmatched_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
+def _without_match(rows: Apart, others: Apart) -> DataFrame:
+    """Rows of one table whose order is in no row of the other. Few keys are hot, so those are looked up by name."""
+    found = rows.usual.join(others.usual.select("OrderID").distinct(), "OrderID", "left_anti")
+    elsewhere = others.hot_keys()
+    if elsewhere:
+        found = found.where(~F.col("OrderID").isin(elsewhere))
+    if rows.has_no_hot_rows():
+        return found
+    hot = rows.hot_keys()
+    met = others.usual.where(F.col("OrderID").isin(hot)).select("OrderID").distinct().collect() if hot else []
+    present = sorted({r[0] for r in met} | set(elsewhere))
+    lost = rows.hot.where(F.col("OrderID").isNull() | ~F.col("OrderID").isin(present)) if present else rows.hot
+    return found.unionByName(lost)
+
+
+def unmatched_orders(orders: DataFrame | Apart, lines: DataFrame | Apart) -> DataFrame:
     """Orders without a line, those with a NULL order id included."""
+    if isinstance(orders, Apart) and isinstance(lines, Apart):
+        return _without_match(orders, lines).select(*orders.usual.columns)
+    orders, lines = whole(orders), whole(lines)
     wanted, few_orders = key_set(orders, "OrderID")
     present, few_lines = key_set(lines, "OrderID")
     if few_orders:
@@ -227,15 +268,18 @@ def unmatched_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return lookup_join(orders, present, "OrderID", "left_anti", ROW_ID, small=few_orders or few_lines)
 
 
-def orders_left_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+def orders_left_lines(orders: DataFrame | Apart, lines: DataFrame | Apart) -> DataFrame:
     """Orders with their lines, orders without a line kept; the two are joined apart so that a
     heavily repeated order id on either side can be spread."""
     lonely = unmatched_orders(orders, lines).withColumnRenamed(ROW_ID, ORDERS_ROW)
     return order_lines(orders, lines).unionByName(lonely, allowMissingColumns=True)
 
 
-def orphan_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
+def orphan_lines(lines: DataFrame | Apart, orders: DataFrame | Apart) -> DataFrame:
     """Lines whose order id is NULL or in no order of any date."""
+    if isinstance(orders, Apart) and isinstance(lines, Apart):
+        return _without_match(lines, orders).select(*lines.usual.columns)
+    orders, lines = whole(orders), whole(lines)
     known, few_orders = key_set(orders, "OrderID")
     if few_orders:
         return lines.join(F.broadcast(known), "OrderID", "left_anti").select(*lines.columns)
@@ -257,7 +301,10 @@ def reject_candidates(orders: DataFrame, lines: DataFrame, dims: dict[str, DataF
     unsound orders with their lines, sound orders with unsound lines, orders without a line,
     and lines without an order.
     """
-    windowed = orders_in_window(orders, window).select(ROW_ID, *_ORDER_COLUMNS)
+    windowed = both(orders_in_window(orders, window), lambda rows: rows.select(ROW_ID, *_ORDER_COLUMNS))
+    if isinstance(windowed, Apart) and isinstance(lines, Apart):
+        return _candidates_laid_out(windowed, orders, lines, dims, collation)
+    windowed, lines = whole(windowed), whole(lines)
     flagged = resolve(windowed, ORDER_KEYS, dims, "left", collation=collation)
     flagged = flagged.withColumn("_bad", _unresolved(ORDER_KEYS))
     orders_apart = record_split(flagged, "reject-orders", "_bad", (True, False), keys=("OrderID",))
@@ -275,6 +322,25 @@ def reject_candidates(orders: DataFrame, lines: DataFrame, dims: dict[str, DataF
             .unionByName(orphans, allowMissingColumns=True))
 
 
+def _candidates_laid_out(windowed: Apart, orders: Apart, lines: Apart, dims: dict[str, DataFrame], collation: str | None) -> DataFrame:
+    """``reject_candidates`` of tables that are laid out by order: only unsound lines are written once more.
+
+    Keys are resolved for the rows that are found, which are few, and lines meet orders where they lie.
+    """
+    lines = lines.map(lambda rows: rows.select(ROW_ID, *_LINE_COLUMNS))
+    flagged = resolve(windowed.whole(), ORDER_KEYS, dims, "left", collation=collation)
+    apart = record_split(flagged.withColumn("_bad", _unresolved(ORDER_KEYS)), "reject-orders", "_bad", (True, False), keys=("OrderID",))
+    resolved = resolve(lines.whole(), LINE_KEYS, dims, "left")
+    bad_lines = record(resolved.where(_unresolved(LINE_KEYS)), "reject-lines", keys=("OrderID",))
+    pairs = resolve(order_lines(apart[True], lines), LINE_KEYS, dims, "left", LINES_ROW)
+    pairs = pairs.unionByName(order_lines(apart[False], bad_lines))
+    lonely = resolve(unmatched_orders(windowed, lines), ORDER_KEYS, dims, "left", collation=collation)
+    orphans = resolve(orphan_lines(lines, orders), LINE_KEYS, dims, "left")
+    orphans = _named_lines(orphans).withColumn("_orphan", F.lit(True))
+    return (pairs.unionByName(_named_orders(lonely), allowMissingColumns=True)
+            .unionByName(orphans, allowMissingColumns=True))
+
+
 def _natural_names() -> dict[str, str]:
     return {"OrderID_NK": "OrderID", **{k.nk: k.column for k in (*ORDER_KEYS, *LINE_KEYS)}}
 

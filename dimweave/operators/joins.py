@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimweave.sources import statistics
+from dimweave.sources.colocated import Apart
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.0001  # bounds the hot keys of a side to 10,000
@@ -60,7 +61,8 @@ def hot_keys(df: DataFrame, key: str) -> dict:
     known = statistics.frequent_keys(df, key)
     if known is not None:
         rows, counts = known
-        return {k: max(2, math.ceil(n / (HOT_SHARE * rows))) for k, n in counts.items() if n > HOT_SHARE * rows}
+        least = max(HOT_SHARE * rows, HOT_SAMPLE_ROWS / HOT_SAMPLE)
+        return {k: max(2, math.ceil(n / (HOT_SHARE * rows))) for k, n in counts.items() if n > least}
     sample = df.select(key).where(F.col(key).isNotNull()).sample(HOT_SAMPLE, seed=7)
     counts = sample.rollup(key).agg(F.count(F.lit(1)).alias("n"), F.grouping(key).alias("all"))  # the total comes with the counts
     top = counts.orderBy(F.desc("all"), F.desc("n")).limit(1 + math.ceil(1 / HOT_SHARE)).collect()
@@ -118,8 +120,28 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str, spread_b
     return spread.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
-def pair_join(left: DataFrame, right: DataFrame, key: str, spread_left: str, spread_right: str) -> DataFrame:
+def _parts_join(left: Apart, right: Apart, join) -> DataFrame:
+    """Inner join of two tables laid out by the same key: usual rows as they lie, hot rows with what they meet.
+
+    A hot key is hot in one table or in both; only rows of such keys are looked up in the other's usual rows.
+    """
+    found = join(left.usual, right.usual)
+    if not left.has_no_hot_rows():
+        met = right.usual.where(F.col(right.key).isin(left.hot_keys()))
+        found = found.unionByName(join(left.hot, met))
+    if not right.has_no_hot_rows():
+        met = left.usual.where(F.col(left.key).isin(right.hot_keys()))
+        found = found.unionByName(join(met, right.hot))
+    if not left.has_no_hot_rows() and not right.has_no_hot_rows():
+        found = found.unionByName(join(left.hot, right.hot))
+    return found
+
+
+def pair_join(left: DataFrame | Apart, right: DataFrame | Apart, key: str, spread_left: str, spread_right: str) -> DataFrame:
     """Inner join of two sides that may both repeat keys."""
+    if isinstance(left, Apart) or isinstance(right, Apart):
+        left, right = (t if isinstance(t, Apart) else Apart(key, t, t.where("false")) for t in (left, right))
+        return _parts_join(left, right, lambda a, b: pair_join(a, b, key, spread_left, spread_right))
     left, right = left.where(F.col(key).isNotNull()), right.where(F.col(key).isNotNull())
     if fits_broadcast(right):
         return left.join(F.broadcast(right), key)
@@ -147,7 +169,8 @@ def key_set(df: DataFrame, key: str) -> tuple[DataFrame, bool]:
 def newest_per_key(df: DataFrame, keys: list[str], newest: list[Column]) -> DataFrame:
     """One row per key, the first in the ``newest`` order.
 
-    Planned with a group limit before the shuffle, so at most one row per key leaves a task.
+    Planned with a group limit before the shuffle, so at most one row per key leaves a task; rows laid out by one of
+    the keys are not shuffled.
     """
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")

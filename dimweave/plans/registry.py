@@ -132,13 +132,18 @@ def _windowed(s: SampleLoads) -> DataFrame:
     return facts.orders_in_window(s.staged(1, "Orders"), WINDOWS[1])
 
 
+def _laid_out(s: SampleLoads):
+    """Orders of the window and all lines, as they are laid out by order."""
+    return facts.orders_in_window(s.apart(1, "Orders"), WINDOWS[1]), s.apart(1, "OrderDetails")
+
+
 def _order_lines(s: SampleLoads) -> DataFrame:
-    joined = facts.order_lines(_windowed(s), s.staged(1, "OrderDetails"))
+    joined = facts.order_lines(*_laid_out(s))
     return joined.select("OrderID", "ProductID", ORDERS_ROW, LINES_ROW, "OrderDate", "Quantity")
 
 
 def _orders_left_lines(s: SampleLoads) -> DataFrame:
-    joined = facts.orders_left_lines(_windowed(s), s.staged(1, "OrderDetails"))
+    joined = facts.orders_left_lines(*_laid_out(s))
     return joined.select("OrderID", "ProductID", ORDERS_ROW, LINES_ROW, "OrderDate", "Quantity")
 
 
@@ -151,7 +156,8 @@ def _fact_key_lookup(s: SampleLoads) -> DataFrame:
 
 
 def _dedupe(s: SampleLoads) -> DataFrame:
-    newest = facts.newest_order_lines(facts.newest_orders(_windowed(s)), s.staged(1, "OrderDetails"))
+    orders, lines = _laid_out(s)
+    newest = facts.newest_order_lines(facts.newest_orders(orders), lines)
     return newest.select("OrderID", "ProductID", ORDERS_ROW, LINES_ROW, "Quantity")
 
 
@@ -160,15 +166,15 @@ def _sales_amount(s: SampleLoads) -> DataFrame:
 
 
 def _fact_valid(s: SampleLoads) -> DataFrame:
-    return facts.fact_source(s.staged(1, "Orders"), s.staged(1, "OrderDetails"), _dims(s, 1), WINDOWS[1])
+    return facts.fact_source(s.apart(1, "Orders"), s.apart(1, "OrderDetails"), _dims(s, 1), WINDOWS[1])
 
 
 def _fact_rejects(s: SampleLoads) -> DataFrame:
-    return facts.reject_source(s.staged(2, "Orders"), s.staged(2, "OrderDetails"), _dims(s, 2), WINDOWS[2])
+    return facts.reject_source(s.apart(2, "Orders"), s.apart(2, "OrderDetails"), _dims(s, 2), WINDOWS[2])
 
 
 def _error_reason(s: SampleLoads) -> DataFrame:
-    rows = facts.reject_source(s.staged(1, "Orders"), s.staged(1, "OrderDetails"), _dims(s, 1), WINDOWS[1])
+    rows = facts.reject_source(s.apart(1, "Orders"), s.apart(1, "OrderDetails"), _dims(s, 1), WINDOWS[1])
     return rows.select(ORDERS_ROW, LINES_ROW, "ErrorReason")
 
 
@@ -384,7 +390,7 @@ QUERIES: dict[str, Callable[[SampleLoads], DataFrame]] = {
         ["ProductID_NK", "SupplierID_NK", "SupplierID_SK_FK", "CategoryID_NK", "CategoryID_SK_FK"]),
     "vanished_keys": _vanished,
     "orphan_order_lines": lambda s: facts.orphan_lines(
-        s.staged(1, "OrderDetails"), s.staged(1, "Orders")).select(ROW_ID, *LIVE["OrderDetails"]),
+        s.apart(1, "OrderDetails"), s.apart(1, "Orders")).select(ROW_ID, *LIVE["OrderDetails"]),
     "new_keys": _new_keys,
     "latest_version_per_key": _latest_versions,
     "dedupe_order_lines": _dedupe,

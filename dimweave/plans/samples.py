@@ -187,6 +187,10 @@ class SampleLoads:
     def staged(self, batch: int, source: str) -> DataFrame:
         return self._stage(batch, source)[0].frame(source)
 
+    def apart(self, batch: int, source: str):
+        """A staged table as it is laid out."""
+        return self._stage(batch, source)[0].apart(source)
+
     def frame(self, batch: int, table: str, step: str | None = None) -> DataFrame:
         """A table after its step of a batch, or after an earlier step that also changed it."""
         return self.after(batch, step or table).frame(table)

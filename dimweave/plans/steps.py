@@ -89,7 +89,7 @@ def _window_months(tables: Snapshot, table: str, window: facts.Window) -> list[s
 def fact_step(tables: Snapshot, window: facts.Window, load_ts: datetime.datetime,
               collation: str | None = None) -> StepResult:
     """Merge the window into the fact; only months with rows to change are read in full and rewritten."""
-    source = facts.fact_source(tables.frame("Orders"), tables.frame("OrderDetails"), fact_dimensions(tables), window,
+    source = facts.fact_source(tables.apart("Orders"), tables.apart("OrderDetails"), fact_dimensions(tables), window,
                                collation)
     source = record(source, "fact-source")
     touched = _window_months(tables, FACT_TABLE, window)
@@ -106,7 +106,7 @@ def fact_step(tables: Snapshot, window: facts.Window, load_ts: datetime.datetime
 def reject_step(tables: Snapshot, window: facts.Window, load_ts: datetime.datetime,
                 collation: str | None = None) -> StepResult:
     """Refresh the rejects of the window and those without an order date."""
-    rejected = facts.reject_source(tables.frame("Orders"), tables.frame("OrderDetails"), fact_dimensions(tables),
+    rejected = facts.reject_source(tables.apart("Orders"), tables.apart("OrderDetails"), fact_dimensions(tables),
                                    window, collation)
     touched = _window_months(tables, REJECT_TABLE, window) + ["none"]
     last_key = tables.last_keys.get("FactOrder_Error_SK", 0)

@@ -234,6 +234,9 @@ ORDER_KEYS = (
 )
 LINE_KEYS = (FactKey("ProductID", "DimProducts", "ProductID_TABLE_SK_FK", "ProductID_NK"),)
 
+# Staged tables that meet by one key, and are laid out by it.
+COLOCATED = {"Orders": "OrderID", "OrderDetails": "OrderID"}
+
 # Columns of the staged tables that rows are joined on, where a few values may own many rows.
 KEY_COLUMNS = {
     "Orders": ("OrderID", *(k.column for k in ORDER_KEYS)), "OrderDetails": ("OrderID", *(k.column for k in LINE_KEYS)),

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from dimweave.sources import scratch
 
 FREQUENT_SHARE = 0.00005  # of the rows; a key below it is never worth a salt
+FREQUENT_ROWS = 1000  # nor is one with fewer rows
 TRACKED = 50_000  # items of a sketch, which bounds its error to less than that share
 
 ROW_BYTES = 16  # of a row beside its columns
@@ -35,13 +36,14 @@ class TableStats:
     texts: dict[str, int] = field(default_factory=dict)
     frequent: dict[str, list[list]] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
+    buckets: int | None = None  # where rows are laid out by a key
 
     def to_json(self) -> dict:
-        return {"rows": self.rows, "texts": self.texts, "frequent": self.frequent}
+        return {"rows": self.rows, "texts": self.texts, "frequent": self.frequent, "buckets": self.buckets}
 
     @classmethod
     def from_json(cls, state: dict) -> TableStats:
-        return cls(state["rows"], state["texts"], state["frequent"])
+        return cls(state["rows"], state["texts"], state["frequent"], buckets=state["buckets"])
 
     def plus(self, other: TableStats) -> TableStats:
         """Both folders as one table; what only one of them knows of a column is not known of both."""
@@ -95,7 +97,7 @@ class Observed:
 
 def _frequent(key: str, rows: str) -> Column:
     """Frequent values of a key with their counts, by a sketch that tasks fill and the driver merges."""
-    return F.expr(f"filter(approx_top_k({key}, {TRACKED // 5}, {TRACKED}), x -> x.item is not null and x.count >= {rows} * {FREQUENT_SHARE} and x.count > 1)")
+    return F.expr(f"filter(approx_top_k({key}, {TRACKED // 5}, {TRACKED}), x -> x.item is not null and x.count >= greatest({rows} * {FREQUENT_SHARE}, {FREQUENT_ROWS}))")
 
 
 _known: dict[str, TableStats] = {}

@@ -11,15 +11,17 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from dimweave.operators.facts import month_of
-from dimweave.sources.schemas import FACT_TABLE, KEY_COLUMNS, REJECT_TABLE, table_schema
+from dimweave.sources.colocated import Apart, hot_values, is_apart, read_bucketed, write_bucketed
+from dimweave.sources.schemas import COLOCATED, FACT_TABLE, KEY_COLUMNS, REJECT_TABLE, table_schema
 from dimweave.sources.statistics import Observed, TableStats, remember
 
 WHOLE, CURRENT, CLOSED = "all", "current", "closed"
+USUAL, HOT = "usual", "hot"  # parts of a table that is laid out by a key
 MONTHLY = (FACT_TABLE, REJECT_TABLE)
 _MONTH = "order_month"
 
@@ -74,6 +76,17 @@ class Snapshot:
                 remember(f"{self.root}/{path}", self.stats[path])
         return self.spark.read.schema(schema).parquet(*(f"{self.root}/{path}" for path in folders))
 
+    def apart(self, table: str) -> Apart | DataFrame:
+        """A table that is laid out by a key, its usual rows as they lie; any other table as a frame."""
+        folders = self.tables.get(table, {}).get(USUAL, [])
+        if len(folders) != 1 or folders[0] not in self.stats or not self.stats[folders[0]].buckets:
+            return self.frame(table)
+        stats, path, key = self.stats[folders[0]], f"{self.root}/{folders[0]}", COLOCATED[table]
+        remember(path, stats)
+        usual = read_bucketed(self.spark, path, table_schema(table), key, stats.buckets)
+        hot = self.frame(table, [HOT]) if self.tables[table].get(HOT) else usual.where("false")
+        return Apart(key, usual, hot)
+
 
 def folder_of(path: str) -> str:
     """The folder that was written at once, of a path that may name one month in it."""
@@ -129,6 +142,11 @@ class Warehouse:
                     if name.startswith(f"{_MONTH}="):
                         month = name.split("=", 1)[1]
                         parts[month] = parts.get(month, []) + [f"{folder}/{name}"]
+            elif change.table in COLOCATED and not change.append and change.part == WHOLE:
+                parts, written = self._write_apart(change, folder)
+                tables[change.table] = parts
+                stats |= written
+                continue
             else:
                 observed = Observed(change.frame, KEY_COLUMNS.get(change.table, ()))
                 observed.frame.write.parquet(f"{self.root}/{folder}")
@@ -138,6 +156,20 @@ class Warehouse:
         named = {folder_of(path) for parts in tables.values() for paths in parts.values() for path in paths}
         return Snapshot(self.spark, self.root, base.version + 1, tables, {**base.last_keys, **last_keys}, {f: s for f, s in stats.items() if f in named})
 
+    def _write_apart(self, change: Change, folder: str) -> tuple[dict, dict]:
+        """Write a table by its key: as many buckets as a shuffle has partitions, hot and NULL keys apart."""
+        key, columns = COLOCATED[change.table], KEY_COLUMNS[change.table]
+        hot, special = hot_values(change.frame, key)
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = change.frame.where(~is_apart(key, hot)) if special else change.frame
+        stats = {f"{folder}-usual": replace(write_bucketed(rows, f"{self.root}/{folder}-usual", key, buckets, columns), buckets=buckets)}
+        parts = {USUAL: [f"{folder}-usual"]}
+        if special:
+            observed = Observed(change.frame.where(is_apart(key, hot)), columns)
+            observed.frame.write.parquet(f"{self.root}/{folder}-hot")
+            stats[f"{folder}-hot"], parts[HOT] = observed.stats, [f"{folder}-hot"]
+        return parts, stats
+
     def publish(self, snapshot: Snapshot) -> None:
         """Make a written snapshot the current state; fails if its version was published meanwhile."""
         fs = self._fs()

@@ -8,8 +8,11 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tests"))
 
+from dimweave.sources import statistics  # noqa: E402
 from dimweave.sources.schemas import table_schema  # noqa: E402
 
+statistics.FREQUENT_ROWS = 2  # sketches of small tables name their keys, as those of large ones do
+
 
 @pytest.fixture(scope="session")
 def spark():
