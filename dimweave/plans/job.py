@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from dimweave.operators.facts import Window
+from dimweave.plans.gate import IntegrityError, problems
 from dimweave.plans.steps import StepResult, dimension_step, fact_step, reject_step
 from dimweave.sources.ingest import stage_frame, stage_sheet
 from dimweave.sources.schemas import FACT_TABLE, POLICIES, REJECT_TABLE, SOR, SOR_TABLE, SOURCES, sor_rows
@@ -42,11 +43,15 @@ class _Run:
         self.records: list[tuple] = []
 
     def step(self, name: str, source: str, target: str, load) -> None:
-        """Load and write the changes of a step on the latest state, then publish them."""
+        """Load and write the changes of a step on the latest state, then publish them if they keep its integrity."""
         def written():
             base = self.warehouse.snapshot()
             result: StepResult = load(base)
-            return self.warehouse.write(base, result.changes, result.last_keys), result
+            draft = self.warehouse.write(base, result.changes, result.last_keys)
+            wrong = problems(draft, base, [c.table for c in result.changes])
+            if wrong:
+                raise IntegrityError("; ".join(wrong))
+            return draft, result, base
 
         self._publish(name, source, target, written)
 
@@ -62,8 +67,9 @@ class _Run:
             running = {source: pool.submit(staged, load) for source, load in loads.items()}
         for source, future in running.items():
             def written(source=source, future=future):
-                snapshot, result = future.result()
-                return self.warehouse.snapshot().with_table(source, snapshot), result
+                draft, result = future.result()
+                base = self.warehouse.snapshot()
+                return base.with_table(source, draft), result, base
 
             self._publish(f"ingest_{source}", source, source, written)
 
@@ -78,8 +84,8 @@ class _Run:
     def _publish(self, name: str, source: str, target: str, written) -> None:
         log.info("execution %s: starting %s", self.execution_id, name)
         try:
-            snapshot, result = written()
-            self.warehouse.publish(snapshot)
+            draft, result, base = written()
+            snapshot = self.warehouse.publish(draft, base)
         except Exception as error:
             self._record(name, source, target, None, "Failed", str(error))
             raise
@@ -94,7 +100,7 @@ class _Run:
         spark = self.warehouse.spark
         rows = spark.createDataFrame(self.records, AUDIT).coalesce(1)
         base = self.warehouse.snapshot()
-        self.warehouse.publish(self.warehouse.write(base, [Change(AUDIT_TABLE, rows, append=True)], {}))
+        self.warehouse.publish(self.warehouse.write(base, [Change(AUDIT_TABLE, rows, append=True)], {}), base)
 
 
 def read_audit(spark: SparkSession, warehouse: str) -> DataFrame:

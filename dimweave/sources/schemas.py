@@ -277,6 +277,20 @@ FACT_TABLE = "FactOrders"
 REJECT_TABLE = "FactOrders_Error"
 
 
+# Columns that may not be NULL and keys that may occur once only: in a table, or among the current rows of one with versions.
+REQUIRED = {
+    **{p.target: [p.surrogate, p.nk, LINEAGE_SOURCE, LINEAGE_ROW, *(["ValidFrom", "IsCurrent"] if p.method == "versions" else [])] for p in POLICIES.values()},
+    **{p.history: [p.history_key, p.nk] for p in POLICIES.values() if p.history},
+    FACT_TABLE: ["FactOrder_SK", *FACT_GRAIN, *[k.fk for k in (*ORDER_KEYS, *LINE_KEYS)], "SnapshotDate", "LoadDate"],
+    REJECT_TABLE: ["FactOrder_Error_SK", "RejectedDate"],
+}
+UNIQUE = {
+    **{p.target: [(p.surrogate,), (p.nk,)] for p in POLICIES.values()},
+    FACT_TABLE: [tuple(FACT_GRAIN)],
+    REJECT_TABLE: [("FactOrder_Error_SK",)],
+}
+
+
 def table_schema(name: str) -> T.StructType:
     """Schema of a warehouse table: staged source, dimension, history, fact, rejects or sources."""
     if name in STAGING:

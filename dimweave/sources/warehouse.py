@@ -14,14 +14,16 @@ import uuid
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dimweave.operators.facts import month_of
 from dimweave.sources.colocated import Apart, hot_values, is_apart, read_bucketed, write_bucketed
-from dimweave.sources.schemas import COLOCATED, FACT_TABLE, KEY_COLUMNS, REJECT_TABLE, table_schema
+from dimweave.sources.schemas import COLOCATED, FACT_TABLE, KEY_COLUMNS, REJECT_TABLE, REQUIRED, table_schema
 from dimweave.sources.statistics import Observed, TableStats, remember
 
 WHOLE, CURRENT, CLOSED = "all", "current", "closed"
 USUAL, HOT = "usual", "hot"  # parts of a table that is laid out by a key
+CLAIM_SECONDS = 30  # for another run to publish the version that it claimed
 MONTHLY = (FACT_TABLE, REJECT_TABLE)
 _MONTH = "order_month"
 
@@ -76,6 +78,19 @@ class Snapshot:
                 remember(f"{self.root}/{path}", self.stats[path])
         return self.spark.read.schema(schema).parquet(*(f"{self.root}/{path}" for path in folders))
 
+    def written_since(self, base: Snapshot, table: str) -> dict[str, list[str]]:
+        """The paths that this state has and ``base`` has not, by part or month of a table."""
+        before = base.tables.get(table, {})
+        return {part: [p for p in paths if p not in before.get(part, [])] for part, paths in self.tables.get(table, {}).items()}
+
+    def changed_since(self, base: Snapshot) -> set[str]:
+        """Tables that differ from ``base``."""
+        return {t for t in self.tables.keys() | base.tables.keys() if self.tables.get(t) != base.tables.get(t)}
+
+    def read(self, table: str, paths: list[str]) -> DataFrame:
+        """Some written paths of a table."""
+        return self.spark.read.schema(table_schema(table)).parquet(*(f"{self.root}/{p}" for p in paths))
+
     def apart(self, table: str) -> Apart | DataFrame:
         """A table that is laid out by a key, its usual rows as they lie; any other table as a frame."""
         folders = self.tables.get(table, {}).get(USUAL, [])
@@ -88,6 +103,27 @@ class Snapshot:
         return Apart(key, usual, hot)
 
 
+def _null_counts(table: str) -> dict:
+    """Conditions of rows that a table must not have, counted while it is written."""
+    return {f"null {c}": F.col(c).isNull() for c in REQUIRED.get(table, [])}
+
+
+def _folders(tables: dict[str, dict[str, list[str]]]) -> set[str]:
+    """All folders that a state names."""
+    return {folder_of(path) for parts in tables.values() for paths in parts.values() for path in paths}
+
+
+def _appended(before: dict[str, list[str]], after: dict[str, list[str]]) -> dict[str, list[str]] | None:
+    """What was added to each part of a table; None if anything was replaced or dropped."""
+    if any(after.get(p, [])[: len(paths)] != paths for p, paths in before.items()):
+        return None
+    return {p: paths[len(before.get(p, [])):] for p, paths in after.items()}
+
+
+class ConflictError(RuntimeError):
+    """Another run published the same table, or the same version, meanwhile."""
+
+
 def folder_of(path: str) -> str:
     """The folder that was written at once, of a path that may name one month in it."""
     return "/".join(path.split("/")[:2])
@@ -134,7 +170,8 @@ class Warehouse:
             parts = tables.get(change.table, {})
             if change.table in MONTHLY:
                 # Rebalancing splits a month that is too large for one task and merges small ones.
-                observed = Observed(change.frame.withColumn(_MONTH, month_of("OrderDate")).hint("rebalance", _MONTH))
+                monthly = change.frame.withColumn(_MONTH, month_of("OrderDate")).hint("rebalance", _MONTH)
+                observed = Observed(monthly, counting=_null_counts(change.table))
                 observed.frame.write.partitionBy(_MONTH).parquet(f"{self.root}/{folder}")
                 replaced = parts if change.months is None else change.months
                 parts = {m: p for m, p in parts.items() if m not in replaced}
@@ -148,13 +185,13 @@ class Warehouse:
                 stats |= written
                 continue
             else:
-                observed = Observed(change.frame, KEY_COLUMNS.get(change.table, ()))
+                observed = Observed(change.frame, KEY_COLUMNS.get(change.table, ()), _null_counts(change.table))
                 observed.frame.write.parquet(f"{self.root}/{folder}")
                 parts = dict(parts)
                 parts[change.part] = (parts.get(change.part, []) if change.append else []) + [folder]
             tables[change.table], stats[folder] = parts, observed.stats
-        named = {folder_of(path) for parts in tables.values() for paths in parts.values() for path in paths}
-        return Snapshot(self.spark, self.root, base.version + 1, tables, {**base.last_keys, **last_keys}, {f: s for f, s in stats.items() if f in named})
+        stats = {f: s for f, s in stats.items() if f in _folders(tables)}
+        return Snapshot(self.spark, self.root, base.version + 1, tables, {**base.last_keys, **last_keys}, stats)
 
     def _write_apart(self, change: Change, folder: str) -> tuple[dict, dict]:
         """Write a table by its key: as many buckets as a shuffle has partitions, hot and NULL keys apart."""
@@ -170,10 +207,54 @@ class Warehouse:
             stats[f"{folder}-hot"], parts[HOT] = observed.stats, [f"{folder}-hot"]
         return parts, stats
 
-    def publish(self, snapshot: Snapshot) -> None:
-        """Make a written snapshot the current state; fails if its version was published meanwhile."""
+    def publish(self, snapshot: Snapshot, base: Snapshot | None = None) -> Snapshot:
+        """Make a written snapshot the current state and return it as published.
+
+        If another run has published meanwhile, a draft is refused, or with its ``base`` given laid upon the newer state: that is
+        safe where the other run changed none of the tables that this one did, or both only appended to it.
+        """
+        while True:
+            try:
+                self._commit(snapshot)
+                return snapshot
+            except ConflictError:
+                latest = self.snapshot()
+                if base is None or latest.version < snapshot.version:
+                    raise
+                tables = dict(latest.tables)
+                theirs = latest.changed_since(base)
+                for table in snapshot.changed_since(base):
+                    parts = snapshot.tables[table]
+                    if table in theirs:
+                        added = [_appended(base.tables.get(table, {}), s.tables.get(table, {})) for s in (latest, snapshot)]
+                        if None in added:
+                            raise ConflictError(f"{table} of {self.root} changed since version {base.version}") from None
+                        parts = {p: [*latest.tables[table].get(p, []), *added[1].get(p, [])] for p in latest.tables[table].keys() | added[1].keys()}
+                    tables[table] = parts
+                last_keys = {**latest.last_keys, **{k: v for k, v in snapshot.last_keys.items() if v != base.last_keys.get(k)}}
+                stats = {f: s for f, s in {**latest.stats, **snapshot.stats}.items() if f in _folders(tables)}
+                snapshot, base = Snapshot(self.spark, self.root, latest.version + 1, tables, last_keys, stats), latest
+
+    def _commit(self, snapshot: Snapshot) -> None:
+        """Write the commit file of a version, once: who creates the version's claim owns it.
+
+        Creating a file that must not exist is atomic on every file system Spark writes to; renaming is not. A claim without
+        a commit is of a run that died between the two; it must be removed by hand once that run is known to be dead.
+        """
         fs = self._fs()
         target, draft = self._path(f"_commits/{snapshot.version:010d}.json"), self._path(f"_drafts/{uuid.uuid4().hex}")
+        claim = self._path(f"_claims/{snapshot.version:010d}")
+        fs.mkdirs(claim.getParent())
+        try:
+            fs.create(claim, False).close()
+        except Exception as error:  # the file system's own kinds of "exists already"
+            if not fs.exists(claim):
+                raise
+            for _ in range(CLAIM_SECONDS):
+                if fs.exists(target):
+                    raise ConflictError(f"version {snapshot.version} of {self.root} already exists") from None
+                time.sleep(1)
+            raise RuntimeError(f"{claim} is claimed but not published") from error
         stats = {folder: s.to_json() for folder, s in snapshot.stats.items()}
         state = json.dumps({"tables": snapshot.tables, "last_keys": snapshot.last_keys, "stats": stats})
         fs.mkdirs(target.getParent())
@@ -181,7 +262,7 @@ class Warehouse:
         stream.write(bytearray(state.encode("utf-8")))
         stream.close()
         if fs.exists(target) or not fs.rename(draft, target):
-            raise RuntimeError(f"version {snapshot.version} of {self.root} already exists")
+            raise ConflictError(f"version {snapshot.version} of {self.root} already exists")
 
     def compact(self, table: str, part: str = WHOLE, folders: int = 8) -> bool:
         """Rewrite a part that appends have spread over more than ``folders`` folders; publishes one version."""
