@@ -30,6 +30,8 @@ from dimweave.sources.statistics import count_of, record, record_split
 
 _FKS = [k.fk for k in (*ORDER_KEYS, *LINE_KEYS)]
 
+PLACE = ["_file", "_row"]  # of a stored row: its file below the warehouse's folder of the table, and its index there
+
 
 @dataclass(frozen=True)
 class Window:
@@ -55,9 +57,12 @@ class Window:
 
 @dataclass
 class FactLoaded:
+    """New rows of a fact table, and the places of stored rows that go (None: the rows replace all stored ones)."""
+
     rows: DataFrame
     last_key: int
     inserted: int
+    gone: DataFrame | None = None
 
 
 def orders_in_window(orders: DataFrame | Apart, window: Window) -> DataFrame | Apart:
@@ -202,6 +207,18 @@ def merge_fact(stored: DataFrame | None, source: DataFrame, window: Window, load
         count = count_of(source)
         return FactLoaded(_typed(added, FACT), last_key + count, count)
 
+    labelled = _labelled(stored, source, window, collation).where("_action != 'delete'")
+    rows = record_split(labelled, "merge-fact", "_action", ("insert", "update", "keep"))
+    numbered = number_in_any_order(rows["insert"].select("new"), "FactOrder_SK", last_key)
+    inserted = numbered.select("FactOrder_SK", "new.*", *stamps)
+    updated = rows["update"].select("old.FactOrder_SK", "new.*", *stamps)
+    merged = rows["keep"].select("old.*").unionByName(updated).unionByName(inserted)
+    count = count_of(rows["insert"])
+    return FactLoaded(_typed(merged, FACT), last_key + count, count)
+
+
+def _labelled(stored: DataFrame, source: DataFrame, window: Window, collation: str | None) -> DataFrame:
+    """Stored and new rows of each fact key side by side, with what happens to them."""
     def keyed(df, name):
         return df.select(*FACT_GRAIN, F.struct("*").alias(name))
 
@@ -210,14 +227,31 @@ def merge_fact(stored: DataFrame | None, source: DataFrame, window: Window, load
               .when(F.col("new").isNull() & window.contains("old.OrderDate"), "delete")
               .when(F.col("new").isNull(), "keep")
               .when(any_differs("old", "new", FACT_COMPARED.fields, collation), "update").otherwise("keep"))
-    labelled = paired.select("old", "new", action.alias("_action")).where("_action != 'delete'")
-    rows = record_split(labelled, "merge-fact", "_action", ("insert", "update", "keep"))
+    return paired.select("old", "new", action.alias("_action"))
+
+
+def fact_changes(placed: DataFrame, source: DataFrame, window: Window, load_ts: datetime.datetime, last_key: int,
+                 collation: str | None = None) -> FactLoaded:
+    """``merge_fact`` by its changes: new and updated rows, and the places of the stored rows that they replace or that are deleted.
+
+    ``placed`` has the stored rows with ``PLACE`` columns. Rows that stay as they are are read and compared, never written.
+    """
+    labelled = _labelled(placed, source, window, collation).where("_action != 'keep'")
+    slim = F.struct("old.FactOrder_SK", "old.OrderDate", *[f"old.{c}" for c in PLACE])
+    rows = record_split(labelled.select(F.when(F.col("old").isNotNull(), slim).alias("old"), "new", "_action"), "merge-fact", "_action",
+                        ("insert", "update", "delete"))
+    stamps = [F.lit(load_ts.date()).alias("SnapshotDate"), _second(load_ts).alias("LoadDate")]
     numbered = number_in_any_order(rows["insert"].select("new"), "FactOrder_SK", last_key)
-    inserted = numbered.select("FactOrder_SK", "new.*", *stamps)
-    updated = rows["update"].select("old.FactOrder_SK", "new.*", *stamps)
-    merged = rows["keep"].select("old.*").unionByName(updated).unionByName(inserted)
+    added = numbered.select("FactOrder_SK", "new.*", *stamps).unionByName(rows["update"].select("old.FactOrder_SK", "new.*", *stamps))
+    gone = rows["update"].select("old.OrderDate", *[f"old.{c}" for c in PLACE]).unionByName(rows["delete"].select("old.OrderDate", *[f"old.{c}" for c in PLACE]))
     count = count_of(rows["insert"])
-    return FactLoaded(_typed(merged, FACT), last_key + count, count)
+    return FactLoaded(_typed(added, FACT), last_key + count, count, gone)
+
+
+def employees_gone(placed: DataFrame, removed_keys: DataFrame) -> DataFrame:
+    """Places of the fact rows of removed employees, whatever their date."""
+    gone = removed_keys.toDF("EmployeeID_SK_FK")
+    return lookup_join(placed, gone, "EmployeeID_SK_FK", "left_semi", "FactOrder_SK").select("OrderDate", *PLACE)
 
 
 def _second(ts: datetime.datetime) -> Column:
@@ -229,12 +263,6 @@ def _typed(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def drop_employees(stored: DataFrame, removed_keys: DataFrame) -> DataFrame:
-    """Fact rows left after those of removed employees are deleted, whatever their date."""
-    gone = removed_keys.toDF("EmployeeID_SK_FK")
-    return lookup_join(stored, gone, "EmployeeID_SK_FK", "left_anti", "FactOrder_SK").select(*stored.columns)
-
-
 # Rejects
 
 _ORDER_COLUMNS = ["OrderID", *[k.column for k in ORDER_KEYS], "OrderDate", "RequiredDate", "ShippedDate", "Freight"]

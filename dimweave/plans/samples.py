@@ -208,15 +208,16 @@ class SampleLoads:
     def _merge(self, parts):
         """Union of snapshots, the later load of each table winning."""
         base, when = self._empty()
-        tables, keys, stats = {}, {}, {}
+        tables, keys, stats, gone = {}, {}, {}, {}
         for snap, stamps in parts:
             stats |= snap.stats
             for name, stamp in stamps.items():
                 if stamp > when.get(name, (0, -1)):
                     tables[name], when[name] = snap.tables[name], stamp
+                    gone[name] = snap.gone.get(name, {})
             for column, last in snap.last_keys.items():
                 keys[column] = max(last, keys.get(column, 0))
-        return Snapshot(self.spark, base.root, 0, tables, keys, stats), when
+        return Snapshot(self.spark, base.root, 0, tables, keys, stats, {t: m for t, m in gone.items() if m}), when
 
     def _once(self, name: tuple, run):
         """Run a step at most once; steps that do not depend on each other may run at the same time."""

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from dimweave.operators import facts
 from dimweave.operators.dimensions import LOADERS, clear_reference, load_versions, prepare_source
-from dimweave.operators.joins import lookup_join
 from dimweave.sources.schemas import (
     FACT_TABLE, ORDER_KEYS, LINE_KEYS, POLICIES, REJECT_TABLE, DimensionPolicy,
 )
-from dimweave.sources.statistics import record
+from dimweave.sources.statistics import count_of, record
 from dimweave.sources.warehouse import CLOSED, CURRENT, Change, Snapshot
 
 
@@ -24,12 +23,6 @@ class StepResult:
     rows: int | None = None  # None: all that was written
 
 
-def _months(frame) -> list[str]:
-    """Order months in a frame, at most one row per month."""
-    found = frame.select(facts.month_of("OrderDate").alias("m")).distinct().collect()
-    return sorted(r["m"] for r in found)
-
-
 def dimension_step(tables: Snapshot, policy: DimensionPolicy, as_of: datetime.date,
                    collation: str | None = None) -> StepResult:
     """Load one dimension and, for removed rows, clear or delete what refers to them."""
@@ -64,13 +57,9 @@ def _follow_removal(tables: Snapshot, policy: DimensionPolicy, gone) -> list[Cha
                 cleared = clear_reference(tables.frame(other.target, [part]), other, ref.fk, gone)
                 changes.append(Change(other.target, cleared, part=part))
     if policy.target == "DimEmployees" and tables.months(FACT_TABLE):
-        keys = gone.toDF("EmployeeID_SK_FK")
-        hit = lookup_join(tables.frame(FACT_TABLE).select("EmployeeID_SK_FK", "OrderDate", "FactOrder_SK"),
-                          keys, "EmployeeID_SK_FK", "left_semi", "FactOrder_SK")
-        months = _months(hit)
-        if months:
-            kept = facts.drop_employees(tables.frame(FACT_TABLE, months), gone)
-            changes.append(Change(FACT_TABLE, kept, months=months))
+        places = record(facts.employees_gone(tables.placed(FACT_TABLE).select("EmployeeID_SK_FK", "OrderDate", "FactOrder_SK", *facts.PLACE), gone), "employees-gone")
+        if count_of(places):
+            changes.append(Change(FACT_TABLE, tables.frame(FACT_TABLE, []), append=True, gone=places))
     return changes
 
 
@@ -88,7 +77,7 @@ def _window_months(tables: Snapshot, table: str, window: facts.Window) -> list[s
 
 def fact_step(tables: Snapshot, window: facts.Window, load_ts: datetime.datetime,
               collation: str | None = None) -> StepResult:
-    """Merge the window into the fact; only months with rows to change are read in full and rewritten."""
+    """Merge the window into the fact; only months with rows to change are read in full, and only changed rows are written."""
     source = facts.fact_source(tables.apart("Orders"), tables.apart("OrderDetails"), fact_dimensions(tables), window,
                                collation)
     source = record(source, "fact-source")
@@ -97,9 +86,11 @@ def fact_step(tables: Snapshot, window: facts.Window, load_ts: datetime.datetime
     if others:
         touched += facts.months_to_merge(tables.frame(FACT_TABLE, others), source, window)
     last_key = tables.last_keys.get("FactOrder_SK", 0)
-    stored = tables.frame(FACT_TABLE, touched) if touched else None
-    merged = facts.merge_fact(stored, source, window, load_ts, last_key, collation)
-    return StepResult([Change(FACT_TABLE, merged.rows, months=touched)], {"FactOrder_SK": merged.last_key},
+    if touched:
+        merged = facts.fact_changes(tables.placed(FACT_TABLE, touched), source, window, load_ts, last_key, collation)
+    else:
+        merged = facts.merge_fact(None, source, window, load_ts, last_key, collation)
+    return StepResult([Change(FACT_TABLE, merged.rows, append=True, gone=merged.gone)], {"FactOrder_SK": merged.last_key},
                       merged.inserted)
 
 

@@ -2,8 +2,9 @@
 
 A step writes new folders and then publishes one small commit file naming the folders of every
 table. A step that fails publishes nothing, so readers keep the old state; all tables a step
-changes switch together. Fact and reject tables are kept by order month, and a step rewrites
-only the months it touches.
+changes switch together. Fact and reject tables are kept by order month. A merge of the fact appends the new rows of a
+month and lists the places (file and row) of those that have gone, which readers leave out; ``fold`` rewrites
+months where that has become much. Rejects are few, so their months are rewritten.
 """
 
 from __future__ import annotations
@@ -15,19 +16,34 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from dimweave.operators.facts import month_of
+from dimweave.operators.facts import PLACE, month_of
+from dimweave.operators.joins import fits_broadcast
 from dimweave.sources.colocated import Apart, hot_values, is_apart, read_bucketed, write_bucketed
 from dimweave.sources.schemas import COLOCATED, FACT_TABLE, KEY_COLUMNS, REJECT_TABLE, REQUIRED, table_schema
 from dimweave.sources.statistics import Observed, TableStats, remember
 
 WHOLE, CURRENT, CLOSED = "all", "current", "closed"
 USUAL, HOT = "usual", "hot"  # parts of a table that is laid out by a key
+FOLDERS = 8  # of a month, beyond which it is rewritten
 CLAIM_SECONDS = 30  # for another run to publish the version that it claimed
 MONTHLY = (FACT_TABLE, REJECT_TABLE)
 _MONTH = "order_month"
 
 
+_PLACES = "_file string, _row long"
+
+
+def _place_columns() -> list:
+    """Folder, month and name of a row's file, and the row's index in it."""
+    return [F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+/[^/]+)$", 1).alias("_file"), F.col("_metadata.row_index").alias("_row")]
+
+
+def _with_places(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType())])
+
+
 @dataclass
 class Change:
     """New content of a table: a part of it, rows to append to a part, or the content of some months.
@@ -41,6 +57,7 @@ class Change:
     append: bool = False
     months: list[str] | None = None
     part: str = WHOLE
+    gone: DataFrame | None = None  # places of stored rows that go, with the order date; of a monthly table that is appended to
 
 
 @dataclass(frozen=True)
@@ -53,6 +70,7 @@ class Snapshot:
     tables: dict[str, dict[str, list[str]]] = field(default_factory=dict)
     last_keys: dict[str, int] = field(default_factory=dict)
     stats: dict[str, TableStats] = field(default_factory=dict)  # of folders, as observed while they were written
+    gone: dict[str, dict[str, list[str]]] = field(default_factory=dict)  # folders with the places of rows that have gone, by month
 
     def months(self, table: str) -> list[str]:
         return sorted(self.tables.get(table, {}))
@@ -60,16 +78,19 @@ class Snapshot:
     def with_table(self, table: str, written: Snapshot) -> Snapshot:
         """The next version, with one table as another snapshot has it."""
         tables = {**self.tables, table: written.tables[table]}
-        return Snapshot(self.spark, self.root, self.version + 1, tables, self.last_keys, {**self.stats, **written.stats})
+        return Snapshot(self.spark, self.root, self.version + 1, tables, self.last_keys, {**self.stats, **written.stats}, self.gone)
 
     def rows(self, table: str, parts: list[str] | None = None) -> int:
         """Rows of a table, or of some parts of it, without reading it."""
         folders = {folder_of(path) for part, paths in self.tables.get(table, {}).items() if parts is None or part in parts for path in paths}
-        return sum(self.stats[f].rows for f in folders)
+        gone = {folder_of(path) for month, paths in self.gone.get(table, {}).items() if parts is None or month in parts for path in paths}
+        return sum(self.stats[f].rows for f in folders) - sum(self.stats[f].rows for f in gone)
 
     def frame(self, table: str, parts: list[str] | None = None, schema=None) -> DataFrame:
         """A table, or some parts or months of it; empty where nothing was written yet."""
         schema = schema or table_schema(table)
+        if any(month in self.gone.get(table, {}) for month in (self.tables.get(table, {}) if parts is None else parts)):
+            return self.placed(table, parts).select(*schema.names)
         folders = [path for part, paths in self.tables.get(table, {}).items() if parts is None or part in parts for path in paths]
         if not folders:
             return self.spark.createDataFrame([], schema)
@@ -78,6 +99,27 @@ class Snapshot:
                 remember(f"{self.root}/{path}", self.stats[path])
         return self.spark.read.schema(schema).parquet(*(f"{self.root}/{path}" for path in folders))
 
+    def placed(self, table: str, months: list[str] | None = None) -> DataFrame:
+        """Rows of a monthly table with their places, without those that have gone."""
+        schema, chosen = table_schema(table), [m for m in self.months(table) if months is None or m in months]
+        touched = [m for m in chosen if m in self.gone.get(table, {})]
+        found = None
+        for part in ([m for m in chosen if m not in touched], touched):
+            paths = [f"{self.root}/{p}" for m in part for p in self.tables[table][m]]
+            if not paths:
+                continue
+            rows = self.spark.read.schema(schema).parquet(*paths).select("*", *_place_columns())
+            if part is touched:
+                lists = [p for m in touched for p in self.gone[table][m]]
+                for path in lists:
+                    remember(f"{self.root}/{path}", self.stats[folder_of(path)])  # of all its months, a bound for one
+                gone = self.spark.read.schema(_PLACES).parquet(*(f"{self.root}/{p}" for p in lists))
+                rows = rows.join(F.broadcast(gone) if fits_broadcast(gone) else gone, PLACE, "left_anti").select(*rows.columns)
+            found = rows if found is None else found.unionByName(rows)
+        if found is None:
+            return self.spark.createDataFrame([], _with_places(schema))
+        return found
+
     def written_since(self, base: Snapshot, table: str) -> dict[str, list[str]]:
         """The paths that this state has and ``base`` has not, by part or month of a table."""
         before = base.tables.get(table, {})
@@ -85,7 +127,7 @@ class Snapshot:
 
     def changed_since(self, base: Snapshot) -> set[str]:
         """Tables that differ from ``base``."""
-        return {t for t in self.tables.keys() | base.tables.keys() if self.tables.get(t) != base.tables.get(t)}
+        return {t for t in self.tables.keys() | base.tables.keys() if self.tables.get(t) != base.tables.get(t) or self.gone.get(t) != base.gone.get(t)}
 
     def read(self, table: str, paths: list[str]) -> DataFrame:
         """Some written paths of a table."""
@@ -156,7 +198,7 @@ class Warehouse:
         state = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         stream.close()
         stats = {folder: TableStats.from_json(s) for folder, s in state["stats"].items()}
-        return Snapshot(self.spark, self.root, version, state["tables"], state["last_keys"], stats)
+        return Snapshot(self.spark, self.root, version, state["tables"], state["last_keys"], stats, state["gone"])
 
     def write(self, base: Snapshot, changes: list[Change], last_keys: dict[str, int]) -> Snapshot:
         """Write the changed tables to new folders; the state is not visible until published.
@@ -164,21 +206,27 @@ class Warehouse:
         The job that writes a folder also observes its numbers.
         """
         tables = {name: dict(parts) for name, parts in base.tables.items()}
-        stats = dict(base.stats)
+        stats, gone = dict(base.stats), {name: dict(months) for name, months in base.gone.items()}
         for change in changes:
             folder = f"{change.table}/{uuid.uuid4().hex}"
             parts = tables.get(change.table, {})
+            if change.gone is not None:
+                places = Observed(change.gone.select(*PLACE, month_of("OrderDate").alias(_MONTH)).hint("rebalance", _MONTH))
+                places.frame.write.partitionBy(_MONTH).parquet(f"{self.root}/{folder}-gone")
+                stats[f"{folder}-gone"] = places.stats
+                months = gone.setdefault(change.table, {})
+                for month in self._months_in(f"{folder}-gone"):
+                    months[month] = months.get(month, []) + [f"{folder}-gone/{_MONTH}={month}"]
             if change.table in MONTHLY:
                 # Rebalancing splits a month that is too large for one task and merges small ones.
                 monthly = change.frame.withColumn(_MONTH, month_of("OrderDate")).hint("rebalance", _MONTH)
                 observed = Observed(monthly, counting=_null_counts(change.table))
                 observed.frame.write.partitionBy(_MONTH).parquet(f"{self.root}/{folder}")
-                replaced = parts if change.months is None else change.months
+                replaced = [] if change.append else list(parts) if change.months is None else change.months
                 parts = {m: p for m, p in parts.items() if m not in replaced}
-                for name in self._names(folder):
-                    if name.startswith(f"{_MONTH}="):
-                        month = name.split("=", 1)[1]
-                        parts[month] = parts.get(month, []) + [f"{folder}/{name}"]
+                gone[change.table] = {m: p for m, p in gone.get(change.table, {}).items() if m not in replaced}
+                for month in self._months_in(folder):
+                    parts[month] = parts.get(month, []) + [f"{folder}/{_MONTH}={month}"]
             elif change.table in COLOCATED and not change.append and change.part == WHOLE:
                 parts, written = self._write_apart(change, folder)
                 tables[change.table] = parts
@@ -190,8 +238,12 @@ class Warehouse:
                 parts = dict(parts)
                 parts[change.part] = (parts.get(change.part, []) if change.append else []) + [folder]
             tables[change.table], stats[folder] = parts, observed.stats
-        stats = {f: s for f, s in stats.items() if f in _folders(tables)}
-        return Snapshot(self.spark, self.root, base.version + 1, tables, {**base.last_keys, **last_keys}, stats)
+        gone = {t: months for t, months in gone.items() if months}
+        stats = {f: s for f, s in stats.items() if f in _folders(tables) | _folders(gone)}
+        return Snapshot(self.spark, self.root, base.version + 1, tables, {**base.last_keys, **last_keys}, stats, gone)
+
+    def _months_in(self, folder: str) -> list[str]:
+        return [name.split("=", 1)[1] for name in self._names(folder) if name.startswith(f"{_MONTH}=")]
 
     def _write_apart(self, change: Change, folder: str) -> tuple[dict, dict]:
         """Write a table by its key: as many buckets as a shuffle has partitions, hot and NULL keys apart."""
@@ -221,10 +273,14 @@ class Warehouse:
                 latest = self.snapshot()
                 if base is None or latest.version < snapshot.version:
                     raise
-                tables = dict(latest.tables)
+                tables, gone = dict(latest.tables), dict(latest.gone)
                 theirs = latest.changed_since(base)
                 for table in snapshot.changed_since(base):
                     parts = snapshot.tables[table]
+                    if table in theirs and snapshot.gone.get(table) != base.gone.get(table):
+                        raise ConflictError(f"{table} of {self.root} changed since version {base.version}") from None
+                    if table in snapshot.gone and table not in theirs:
+                        gone[table] = snapshot.gone[table]
                     if table in theirs:
                         added = [_appended(base.tables.get(table, {}), s.tables.get(table, {})) for s in (latest, snapshot)]
                         if None in added:
@@ -232,8 +288,8 @@ class Warehouse:
                         parts = {p: [*latest.tables[table].get(p, []), *added[1].get(p, [])] for p in latest.tables[table].keys() | added[1].keys()}
                     tables[table] = parts
                 last_keys = {**latest.last_keys, **{k: v for k, v in snapshot.last_keys.items() if v != base.last_keys.get(k)}}
-                stats = {f: s for f, s in {**latest.stats, **snapshot.stats}.items() if f in _folders(tables)}
-                snapshot, base = Snapshot(self.spark, self.root, latest.version + 1, tables, last_keys, stats), latest
+                stats = {f: s for f, s in {**latest.stats, **snapshot.stats}.items() if f in _folders(tables) | _folders(gone)}
+                snapshot, base = Snapshot(self.spark, self.root, latest.version + 1, tables, last_keys, stats, gone), latest
 
     def _commit(self, snapshot: Snapshot) -> None:
         """Write the commit file of a version, once: who creates the version's claim owns it.
@@ -256,7 +312,7 @@ class Warehouse:
                 time.sleep(1)
             raise RuntimeError(f"{claim} is claimed but not published") from error
         stats = {folder: s.to_json() for folder, s in snapshot.stats.items()}
-        state = json.dumps({"tables": snapshot.tables, "last_keys": snapshot.last_keys, "stats": stats})
+        state = json.dumps({"tables": snapshot.tables, "last_keys": snapshot.last_keys, "stats": stats, "gone": snapshot.gone})
         fs.mkdirs(target.getParent())
         stream = fs.create(draft, False)
         stream.write(bytearray(state.encode("utf-8")))
@@ -264,6 +320,20 @@ class Warehouse:
         if fs.exists(target) or not fs.rename(draft, target):
             raise ConflictError(f"version {snapshot.version} of {self.root} already exists")
 
+    def fold(self, table: str, share: float = 0.1) -> list[str]:
+        """Rewrite the months of a monthly table of whose rows more than ``share`` have gone or that lie in many folders; publishes one version."""
+        base = self.snapshot()
+        months = []
+        for month, paths in base.tables.get(table, {}).items():
+            lists = base.gone.get(table, {}).get(month, [])
+            rows = base.read(table, paths).count() if lists else 0
+            left = base.frame(table, [month]).count() if lists else 0
+            if rows - left > share * rows or len(paths) > FOLDERS:
+                months.append(month)
+        if months:
+            self.publish(self.write(base, [Change(table, base.frame(table, months), months=months)], {}), base)
+        return sorted(months)
+
     def compact(self, table: str, part: str = WHOLE, folders: int = 8) -> bool:
         """Rewrite a part that appends have spread over more than ``folders`` folders; publishes one version."""
         base = self.snapshot()
@@ -284,7 +354,8 @@ class Warehouse:
         versions = sorted(int(n[:-5]) for n in self._names("_commits") if n.endswith(".json"))
         named = set()
         for version in versions[-keep:]:
-            for parts in self.snapshot(version).tables.values():
+            state = self.snapshot(version)
+            for parts in (*state.tables.values(), *state.gone.values()):
                 named |= {folder_of(path) for paths in parts.values() for path in paths}
         before = (time.time() - older_than_hours * 3600) * 1000
         fs, deleted = self._fs(), []
