@@ -6,7 +6,7 @@ for something else (menus, adverts, forms, comments and so on, by tag, role or t
 id), on a page with an article at all. The innermost such element counts. A decision tree that Spark
 ML trains on ``LABELLED`` decides which blocks stay; its leaves are compiled to tests on the features.
 
-Pages are handled where they lie; nothing is shuffled. A null html is empty and gives an empty text;
+A page is read once from start to end, however deep its elements nest. Pages are handled where they lie; nothing is shuffled. A null html is empty and gives an empty text;
 null page_ids and urls are kept; repeated rows each get their row. An empty table gives no rows.
 """
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -77,6 +78,7 @@ class Block:
     pieces: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
     role: str | None = None
+    blank: bool = True
 
 
 def purpose(tag: str, attributes: str, within_article: bool) -> str | None:
@@ -101,17 +103,18 @@ def blocks(page: str) -> list[tuple[str, float, bool, bool]]:
     """Text, link density, in an article, in something else, of every block with text."""
     found: list[Block] = []
     block = Block()
-    open_: list[tuple[str, str | None]] = []
-    links = 0
+    open_: list[tuple[str, str | None, str | None, str]] = []  # tag, purpose, and the innermost purpose with the tag that has it
+    opened: Counter = Counter()
+    links = articles = 0
 
     def text(piece: str) -> None:
         if not piece:
             return
-        role, holder = next(((p, t) for t, p in reversed(open_) if p), (None, ""))
+        *_, role, holder = open_[-1] if open_ else (None, "")
         if role == "other" and holder not in BLOCK_TAGS:
             return  # a note within a line
-        if not block.pieces or not "".join(block.pieces).strip():
-            block.role = role
+        if block.blank:
+            block.role, block.blank = role, not piece.strip()
         block.pieces.append(piece)
         if links:
             block.linked.append(piece)
@@ -149,13 +152,19 @@ def blocks(page: str) -> list[tuple[str, float, bool, bool]]:
         if tag in BLOCK_TAGS:
             flush()
         if closing:
-            if any(t == tag for t, _ in open_):
-                while open_.pop()[0] != tag:
-                    pass
-                links = sum(t == "a" for t, _ in open_)
+            while opened[tag]:
+                name, own, *_ = open_.pop()
+                opened[name] -= 1
+                links -= name == "a"
+                articles -= own == "article"
+                if name == tag:
+                    break
         elif tag not in VOID_TAGS:
-            open_.append((tag, purpose(tag, attributes, any(p == "article" for _, p in open_))))
+            own = purpose(tag, attributes, articles > 0)
+            open_.append((tag, own, own, tag) if own else (tag, None, *(open_[-1][2:] if open_ else (None, ""))))
+            opened[tag] += 1
             links += tag == "a"
+            articles += own == "article"
     flush()
     out, article = [], "article" if any(b.role == "article" for b in found) else "main"
     for b in found:

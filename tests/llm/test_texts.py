@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import duckdb
 import pytest
@@ -99,7 +100,7 @@ def test_controls_cannot_arise_at_seams():
 @pytest.fixture(scope="module")
 def con(sf_dir):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     return con
 
@@ -109,3 +110,17 @@ def test_queries_match_sql(spark, sf_dir, con, name):
     from compare import difference
 
     assert difference(queries.QUERIES[name](spark, sf_dir), con, queries.ORACLE_SQL[name]) is None
+
+
+@pytest.mark.parametrize("page", ["<div>" + "<span class=x>word " * 50_000, "<p>a <b" * 150_000, "<div class=menu><ul>" * 40_000 + "text", "<article><p>x</i></b>" * 40_000,
+                                  "<p>" + "<i>a</i>" * 100_000])
+def test_a_megabyte_of_tags_is_read_once(page):
+    began = time.process_time()
+    html_text.blocks(page)
+    assert time.process_time() - began < 8  # a second or two; walking the open elements for each piece took minutes
+
+
+def test_purposes_follow_the_open_elements():
+    page = "<article><header>in</header><div class=ad>ad<p>more</p></div><p>text <span class=ad>note</span> on</p></article><p>out</p></article><div class=menu>menu</nav><p>still</div><p>free"
+    assert [(t, art, other) for t, _, art, other in html_text.blocks(page)] == [
+        ("in", True, False), ("ad", False, True), ("more", False, True), ("text on", True, False), ("out", False, False), ("menu", False, True), ("still", False, True), ("free", False, False)]
