@@ -5,9 +5,9 @@ matches of ``MIN_MATCH`` or more tokens that overlap neither in the document nor
 longest first, in any order of the passages. Tokens are runs of word characters, lower-cased.
 
 Seeds are all runs of ``MIN_MATCH`` tokens of the items. Documents are joined with them where they lie,
-task by task: the items of one block (about ``BLOCK_TOKENS`` tokens, so its size is bounded) go to
-every task, and a benchmark of several blocks takes a pass over the documents for each. Only an item whose
-seeds in a document could reach the coverage is tiled. Nothing is shuffled.
+task by task: the items are written to the shared folder in blocks of about ``BLOCK_CHARS`` characters, which tasks load one
+after the other, so that one pass over the documents meets all blocks. Only an item whose
+seeds in a document could reach the coverage is tiled. No document is shuffled.
 
 Nulls and ties: a null or empty text leaks nothing, nor does a null or empty item. An item of fewer than
 ``MIN_MATCH`` tokens has no seeds and is never matched. Null item_ids and doc_ids stay null, repeated
@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -26,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import slices
+from dimweave.llm.common import read_block, slices, write_blocks
 
 MIN_MATCH, COVERAGE = 5, 0.5
-BLOCK_TOKENS = 1_000_000
+BLOCK_CHARS = 4_000_000
+GROUP_SLICES = 32  # of texts that meet one block after the other, where there are several
 FIRST_LENGTH = 20  # of the search for tiles
 
 _WORD = re.compile(r"\w+")
@@ -162,56 +164,73 @@ class Items:
         return found
 
 
-def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
-    """The items in blocks of bounded size."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // (4 * BLOCK_TOKENS)))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    for k in range(blocks):
-        yield [tuple(r) for r in items.where(block == k).collect()]
+@lru_cache(maxsize=2)
+def load_items(folder: str, block: int, min_match: int, coverage: float) -> Items:
+    rows = read_block(folder, block)
+    given = [] if rows is None else zip(rows.column("item_id").to_pylist(), rows.column("text").to_pylist(), strict=True)
+    return Items(sorted(given, key=lambda r: (r[0] is None, r[0] or 0, r[1])), min_match, coverage)
+
+
+def _blocks(benchmark: DataFrame) -> tuple[str, int]:
+    return write_blocks(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text"), "items", BLOCK_CHARS)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE) -> DataFrame:
     """A row for each document and item that it leaks, with the tiles."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = None
-    for items in item_blocks(benchmark):
-        part = texts.mapInArrow(_reporter(items, min_match, coverage), LEAKS)
-        found = part if found is None else found.union(part)
-    return found
+    return texts.mapInArrow(_reporter(*_blocks(benchmark), min_match, coverage), LEAKS)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE) -> DataFrame:
     """The rows of ``docs`` that leak no item, with all their columns."""
-    for items in item_blocks(benchmark):
-        docs = docs.mapInArrow(_filter(items, min_match, coverage), docs.schema)
-    return docs
+    return docs.mapInArrow(_filter(*_blocks(benchmark), min_match, coverage), docs.schema)
+
 
+def _groups(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[list[pa.RecordBatch]]:
+    """Slices of texts, as many together as shall meet a block before the next one is loaded."""
+    group: list[pa.RecordBatch] = []
+    for batch in (s for b in batches for s in slices(b, "text")):
+        group.append(batch)
+        if blocks == 1 or len(group) == GROUP_SLICES:
+            yield group
+            group = []
+    if group:
+        yield group
 
-def _reporter(items: list[tuple], min_match: int, coverage: float) -> Callable:
+
+def _reporter(folder: str, blocks: int, min_match: int, coverage: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = Items(items, min_match, coverage)
-        kind = pa.list_(pa.struct([("doc_start", pa.int64()), ("item_start", pa.int64()), ("length", pa.int64())]))
-        for batch in (s for b in batches for s in slices(b, "text")):
-            columns: list[list] = [[], [], [], [], [], []]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                for k, tiles, matched in block.leaks(text):
-                    item_id, item = block.items[k]
-                    named = [{"doc_start": d, "item_start": i, "length": n} for d, i, n in tiles]
-                    for column, value in zip(columns, (doc_id, item_id, matched / len(item), matched, len(item), named), strict=True):
-                        column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), kind]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                             ["doc_id", "item_id", "coverage", "matched", "item_tokens", "tiles"])
+        for group in _groups(batches, blocks):
+            for block in range(blocks):
+                items = load_items(folder, block, min_match, coverage)
+                yield from (_reported(batch, items) for batch in group)
 
     return run
 
 
-def _filter(items: list[tuple], min_match: int, coverage: float) -> Callable:
+def _reported(batch: pa.RecordBatch, items: Items) -> pa.RecordBatch:
+    kind = pa.list_(pa.struct([("doc_start", pa.int64()), ("item_start", pa.int64()), ("length", pa.int64())]))
+    columns: list[list] = [[], [], [], [], [], []]
+    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        for k, tiles, matched in items.leaks(text):
+            item_id, item = items.items[k]
+            named = [{"doc_start": d, "item_start": i, "length": n} for d, i, n in tiles]
+            for column, value in zip(columns, (doc_id, item_id, matched / len(item), matched, len(item), named), strict=True):
+                column.append(value)
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), kind]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                      ["doc_id", "item_id", "coverage", "matched", "item_tokens", "tiles"])
+
+
+def _filter(folder: str, blocks: int, min_match: int, coverage: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = Items(items, min_match, coverage)
-        for batch in (s for b in batches for s in slices(b, "text")):
-            yield batch.filter(pa.array([not block.leaks(t) for t in batch.column("text").to_pylist()], pa.bool_()))
+        for group in _groups(batches, blocks):
+            clean = [np.ones(batch.num_rows, bool) for batch in group]
+            for block in range(blocks):
+                items = load_items(folder, block, min_match, coverage)
+                for batch, own in zip(group, clean, strict=True):
+                    for i, text in enumerate(batch.column("text").to_pylist()):
+                        own[i] = own[i] and not items.leaks(text)
+            yield from (batch.filter(pa.array(own)) for batch, own in zip(group, clean, strict=True))
 
     return run

@@ -79,13 +79,14 @@ def test_leaks_are_found_in_any_order(spark, documents):
 
 
 def test_benchmark_of_several_blocks(spark, documents, monkeypatch):
-    monkeypatch.setattr(tiling, "BLOCK_TOKENS", 50)
+    monkeypatch.setattr(tiling, "BLOCK_CHARS", 200)
     rng = random.Random(3)
     items = [(i, " ".join(words(rng, 20))) for i in range(10)]
     docs = documents(items + [(100, "clean")])
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    assert len(list(tiling.item_blocks(benchmark))) > 3
+    assert tiling._blocks(benchmark)[1] > 3
     assert {(r["doc_id"], r["item_id"]) for r in tiling.leaks(docs, benchmark).collect()} == {(i, i) for i in range(10)}
+    assert tiling.without_leaks(docs, benchmark).count() == docs.count() - 10
     assert [r["doc_id"] for r in tiling.without_leaks(docs, benchmark).collect()] == [100]
 
 
