@@ -40,6 +40,7 @@ from dimweave.llm.common import materialize, open_store, slices, spread
 from dimweave.llm.tokens import encoder
 
 KEYS_PER_BUCKET = 100_000
+READERS = 32  # tasks that read the documents of a bucket
 LEVELS = 64  # keys left after the last one are told as an error; each level keeps under half of them
 _MANIFEST = "doc_id long, shard int, place long, number long, n_tokens long"
 _ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long, shard int"
@@ -80,7 +81,8 @@ def read_store(keys: DataFrame, folder: str, n_buckets: int) -> DataFrame:
     Each key gives all its documents; a key that the store does not have gives none.
     """
     wanted = keys.select(F.col("doc_id").cast("long")).where("doc_id is not null").distinct()
-    return (wanted.withColumn("bucket", bucket_of("doc_id", n_buckets)).repartition("bucket", F.pmod(F.col("doc_id"), F.lit(8)))
+    # A stated number: keys are small, but a task reads the ids of its documents.
+    return (wanted.withColumn("bucket", bucket_of("doc_id", n_buckets)).repartition(spread(keys), "bucket", F.pmod(F.xxhash64("doc_id"), F.lit(READERS)))
             .sortWithinPartitions("bucket", "doc_id").mapInArrow(_key_reader(folder), _ROWS))
 
 
