@@ -1,4 +1,8 @@
-"""Removal of every byte that lies in a repeated string of ``LENGTH`` bytes, by prefix doubling.
+"""Removal of every byte that lies in a repeated string of ``LENGTH`` bytes, by ranks of anchored strings.
+
+Sorting (rank, rank at offset) pairs of all positions at doubling offsets, as prefix doubling does, shuffles every byte
+of the text as a row in each round (README has the figures). Here few positions are ranked, by hashing, and only the
+last round derives a rank from a pair of ranks.
 
 Texts are UTF-8 bytes and a match never crosses documents. Ranks are names of strings: equal strings,
 and no others, have equal ranks (64-bit hashes; two of them must agree before a byte goes).
