@@ -148,7 +148,7 @@ def test_neighbours_of_a_small_table_are_exact(spark):
     bad = [(200, None), (201, [0.0] * 8), (202, [1.0] * 7 + [None]), (203, [1.0] * 7 + [float("nan")]), (204, [1.0] * 7 + [float("inf")]), (None, [1.0] * 8), (205, [1.0] * 3)]
     table = [(i, [float(x) for x in v]) for i, v in rows] + bad
     vectors = spark.createDataFrame(table, "vec_id long, embedding array<double>").withColumn("rank", F.lit(1)).withColumn("score", F.lit(1))
-    got = neighbours.search(vectors, F.lit(True), k=5, share=1.0).collect()
+    got = neighbours.search(vectors, F.lit(True), k=5).collect()
     found = {}
     for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
         found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
@@ -159,12 +159,50 @@ def test_neighbours_of_a_small_table_are_exact(spark):
         assert [s for _, s in found[q]] == pytest.approx([s for _, s in own], abs=1e-9)
 
 
-def test_neighbours_recall_and_few_or_no_rows(spark):
-    rng = np.random.default_rng(2)
-    centres = rng.standard_normal((20, 32))
-    rows = [(i, (centres[i % 20] + 0.5 * rng.standard_normal(32)).tolist()) for i in range(3000)]
-    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+def test_neighbours_meet_in_split_leaves(spark, monkeypatch):
+    """Many leaves in parts of rows and of queries; every leaf is asked for, so the result is exact. One vector is hot."""
+    monkeypatch.setattr(neighbours, "LEAF_ROWS", 20)
+    monkeypatch.setattr(neighbours, "PART_ROWS", 7)
+    monkeypatch.setattr(neighbours, "_budget", lambda *a: 10_000)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(6)) for i in range(300)]
+    rows += [(1000 + i, rows[0][1]) for i in range(150)] + [(2000 + i, rows[1][1] * 2.0**i) for i in range(9)]
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in rows] + [(5, rows[5][1].tolist())], "vec_id long, embedding array<double>")
+    found = {}
+    for r in sorted(neighbours.search(vectors, F.lit(True)).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append((r["vec_id"], r["rank"]))
+    want = plain_nearest(rows, 5)
+    assert found == {q: [(i, n) for n, (i, _) in enumerate(own, 1)] for q, own in want.items()}
+
+
+def test_neighbours_of_one_vec_id(spark):
+    rng = np.random.default_rng(4)
+    many = [(7, rng.standard_normal(4).tolist()) for _ in range(2000)]
+    vectors = spark.createDataFrame([*many, (8, many[0][1]), (9, many[0][1])], "vec_id long, embedding array<double>")
+    got = neighbours.search(vectors, F.col("vec_id") < 9).collect()
+    assert {(r["rank"], r["vec_id"]) for r in got if r["query_id"] == 7} == {(1, 8), (2, 9)}
+    own = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == 8)
+    assert own[:2] == [(1, 7), (2, 9)]
+    assert [r for r, _ in own] == [1, 2, 3, 4, 5]
+
+
+def test_a_forest_asks_for_few_leaves_where_vectors_have_structure(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LEAF_ROWS", 100)
+    asked = []
+    plain = neighbours._budget
+    monkeypatch.setattr(neighbours, "_budget", lambda forest, *a: asked.append((plain(forest, *a), forest.leaves)) or asked[-1][0])
+    rng = np.random.default_rng(5)
+    centres = 4 * rng.standard_normal((40, 24))
+    rows = [(i, (centres[i % 40] + rng.standard_normal(24)).tolist()) for i in range(6000)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
     got = neighbours.search(vectors, F.col("vec_id") % 50 == 0).groupBy("query_id").agg(F.collect_set("vec_id")).collect()
+    assert recall(rows, got) >= 0.9
+    (budget, leaves), = asked
+    assert leaves == 3 * 64
+    assert budget / leaves < 0.1  # the share of the rows that a query is compared with is at most three times that
+
+
+def recall(rows, got):
     table = np.array([v for _, v in rows], np.float32).astype(float)
     table /= np.linalg.norm(table, axis=1, keepdims=True)
     hits = 0
@@ -172,8 +210,17 @@ def test_neighbours_recall_and_few_or_no_rows(spark):
         near = table @ table[q]
         near[q] = -2
         hits += len(set(np.argsort(-near)[:5].tolist()) & set(found))
+    return hits / (5 * len(got))
+
+
+def test_neighbours_recall_and_few_or_no_rows(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((20, 32))
+    rows = [(i, (centres[i % 20] + 0.5 * rng.standard_normal(32)).tolist()) for i in range(3000)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = neighbours.search(vectors, F.col("vec_id") % 50 == 0).groupBy("query_id").agg(F.collect_set("vec_id")).collect()
     assert len(got) == 60
-    assert hits >= 0.9 * 300
+    assert recall(rows, got) >= 0.9
     few = spark.createDataFrame(rows[:3], "vec_id long, embedding array<float>")
     assert sorted((r["query_id"], r["rank"]) for r in neighbours.search(few, F.col("vec_id") == 0).collect()) == [(0, 1), (0, 2)]
     assert neighbours.search(few.where("false"), F.lit(True)).count() == 0
