@@ -15,30 +15,30 @@ from dimweave.operators.joins import fits_broadcast
 from dimweave.sources.scratch import materialize
 from dimweave.sources.statistics import record
 
-_FILE, _ROW, _BLOCK = "_key_file", "_key_row", "_key_block"
+FILE, ROW, BLOCK = "_key_file", "_key_row", "_key_block"
 
 
-def _file_order() -> list[Column]:
+def file_order() -> list[Column]:
     """Files by folder, then by the number of a writer's part, then by name."""
-    number = F.regexp_extract(_FILE, r"/part-(\d+)[^/]*$", 1)
-    return [F.regexp_extract(_FILE, r"^(.*)/", 1), F.when(number != "", number.cast("long")), F.col(_FILE)]
+    number = F.regexp_extract(FILE, r"/part-(\d+)[^/]*$", 1)
+    return [F.regexp_extract(FILE, r"^(.*)/", 1), F.when(number != "", number.cast("long")), F.col(FILE)]
 
 
 def _number_by_place(placed: DataFrame, column: str, last_key: int, within: tuple[str, ...] = ()) -> DataFrame:
-    place = [_FILE, *within]
-    earlier = Window.orderBy(*_file_order(), *within).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (placed.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows"), F.min(_ROW).alias("_first"))
+    place = [FILE, *within]
+    earlier = Window.orderBy(*file_order(), *within).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows"), F.min(ROW).alias("_first"))
                .select(*place, (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_before")))
     offsets = record(offsets, "offsets")
     if fits_broadcast(offsets):
         offsets = F.broadcast(offsets)
-    key = (F.lit(last_key + 1) + F.col("_before") + F.col(_ROW)).cast("long")
-    return placed.join(offsets, place).select(key.alias(column), *[c for c in placed.columns if c not in (*place, _ROW)])
+    key = (F.lit(last_key + 1) + F.col("_before") + F.col(ROW)).cast("long")
+    return placed.join(offsets, place).select(key.alias(column), *[c for c in placed.columns if c not in (*place, ROW)])
 
 
 def place_columns() -> list[Column]:
     """File and row index of each row; only for frames read straight from Parquet files."""
-    return [F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_ROW)]
+    return [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW)]
 
 
 def number_by_position(placed: DataFrame, column: str, last_key: int = 0) -> DataFrame:
@@ -52,13 +52,13 @@ def block_columns() -> list[Column]:
     A task reads a block from start to end, so the running numbers of a block ascend without gaps. They differ
     from run to run, hence the frame must be written before its rows are numbered.
     """
-    return [F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.file_block_start").alias(_BLOCK),
-            F.monotonically_increasing_id().alias(_ROW)]
+    return [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK),
+            F.monotonically_increasing_id().alias(ROW)]
 
 
 def number_by_block(written: DataFrame, column: str, last_key: int = 0) -> DataFrame:
     """Keys ``last_key + 1 ..`` in file, block and row order for a written frame with ``block_columns()``."""
-    return _number_by_place(written, column, last_key, (_BLOCK,))
+    return _number_by_place(written, column, last_key, (BLOCK,))
 
 
 def number_in_any_order(written: DataFrame, column: str, last_key: int = 0) -> DataFrame:
@@ -76,7 +76,7 @@ def number_in_order(written: DataFrame, column: str, last_key: int, order_by: li
     if rows == 0:
         return written.select(F.lit(None).cast("long").alias(column), "*")
     in_place = written.select("*", *place_columns())
-    ranged = in_place.orderBy(*[F.col(c).asc_nulls_first() for c in order_by], _FILE, _ROW)
-    table = materialize(ranged.drop(_FILE, _ROW), f"ordered-{column}")
+    ranged = in_place.orderBy(*[F.col(c).asc_nulls_first() for c in order_by], FILE, ROW)
+    table = materialize(ranged.drop(FILE, ROW), f"ordered-{column}")
     # Writer task n writes part-n in range order; several files of one task end in a running number.
     return _number_by_place(table.select("*", *place_columns()), column, last_key)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from dimweave.operators import keys
 from dimweave.sources.schemas import ROW_ID, STAGING, staged_schema
 from dimweave.sources.scratch import materialize
+from dimweave.sources.sheets import CSV_OPTIONS, has_broken_cells, read_broken_sheet
 
 
 def clean_name(name) -> str | None:
@@ -100,7 +101,7 @@ def read_sheet(spark: SparkSession, path: str, fmt: str) -> DataFrame:
         return spark.read.parquet(path)
     if fmt != "csv":
         raise ValueError(f"unsupported source format {fmt!r}")
-    df = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    df = spark.read.option("header", True).options(**CSV_OPTIONS).csv(path)
     return df.drop(*[c for c in df.columns if c.startswith("_c") and c[2:].isdigit()])
 
 
@@ -109,8 +110,13 @@ def stage_sheet(spark: SparkSession, path: str, source: str, fmt: str = "parquet
     """Stage a sheet from files.
 
     Rows keep their place: the row id is the position in the sheet (files by name and number), without
-    a sort. Parquet files tell it; CSV rows are written once with the block they were read from.
+    a sort. Parquet files tell it; CSV rows are written once with the block they were read from. A CSV sheet with line breaks
+    in quoted cells is read by records, which costs a shuffle by block.
     """
+    if fmt == "csv" and has_broken_cells(spark, path):
+        raw, place = read_broken_sheet(spark, path)
+        columns = typed_columns(raw.drop(*place), source, bad_values)
+        return keys.number_by_block(materialize(raw.select(*columns, *place), f"raw-{source}"), ROW_ID)
     raw = read_sheet(spark, path, fmt)
     columns = typed_columns(raw, source, bad_values)
     if fmt == "parquet":

