@@ -24,7 +24,7 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_store.write_store(docs, folder, tokenizer_path(), end_id=0)
     keys = docs.select("doc_id")
     rows = token_store.read_store(keys, folder, token_store.bucket_count(keys.count()))
-    return rows.unionByName(token_store.read_unkeyed(spark, keys, folder))
+    return rows.unionByName(token_store.read_unkeyed(spark, folder))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,8 +14,13 @@ shard, the place of the first id in it, the ids of all documents before, the num
 with this key and the number of the first of them in the shard. Access by key is constant in time: one hash for a
 level, one comparison of fingerprints, one ranged read.
 
-Files are written under a name of the task's attempt and then renamed, so a repeated task leaves the
-same file. Nulls: a null text is empty and gives only the end id; documents with a null doc_id come
+Table ``slices`` lists runs of at most ``SLICE`` documents that are reached without a slot: those without a doc_id, and those of a
+doc_id that has more than one run. Each run is read by itself, so a doc_id that many documents share is
+written and read by many tasks; its slot says 0 documents. Only full copies (one doc_id, one text to its first ``PREFIX`` characters)
+are written by one task.
+
+Files are written under a name of the task's attempt and then renamed; a repeated task that finds its file leaves it.
+Nulls: a null text is empty and gives only the end id; documents with a null doc_id come
 first, are kept in the shards and have no key. Rows with one doc_id lie side by side, ordered by
 text. An empty table gives a store without shards.
 """
@@ -41,15 +46,18 @@ from dimweave.llm.tokens import encoder
 
 KEYS_PER_BUCKET = 100_000
 READERS = 32  # tasks that read the documents of a bucket
+SLICE = 1000  # documents of one doc_id, or of none, that a task reads at a time
+PREFIX = 256  # characters of the text that deal the documents of one doc_id out to shards
 LEVELS = 64  # keys left after the last one are told as an error; each level keeps under half of them
-_MANIFEST = "doc_id long, shard int, place long, number long, n_tokens long"
+_MANIFEST = "doc_id long, shard int, place long, number long, copies long, n_tokens long"
+_SLICES = "doc_id long, shard int, place long, number long, copies long, start long"
 _ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long, shard int"
 
 
 def write_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0) -> None:
     """Encode ``docs`` (doc_id, text) and write shards and index under ``folder``."""
     ordered = (docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-               .repartitionByRange(spread(docs), "doc_id").sortWithinPartitions("doc_id", "text"))
+               .repartitionByRange(spread(docs), "doc_id", F.substring("text", 1, PREFIX)).sortWithinPartitions("doc_id", "text"))
     manifest = materialize(ordered.mapInArrow(_shard_writer(folder, tokenizer, end_id), _MANIFEST), "manifest")
     bases = manifest.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").collect()  # a row per shard
     base, before = [], 0
@@ -58,10 +66,14 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0) -
         before += row["n"]
     spark = docs.sparkSession
     shard_base = F.broadcast(spark.createDataFrame(base, "shard int, base long"))
-    keys = (manifest.where("doc_id is not null").join(shard_base, "shard")
-            .groupBy("doc_id").agg(F.min("shard").alias("shard"), F.min("place").alias("place"), F.min("number").alias("number"),
-                                   F.min(F.col("base") + F.col("place")).alias("start"), F.count(F.lit(1)).alias("copies")))
-    n_buckets = bucket_count(manifest.count())
+    runs = manifest.join(shard_base, "shard").withColumn("start", F.col("base") + F.col("place"))
+    keys = (runs.where("doc_id is not null").groupBy("doc_id")
+            .agg(F.min(F.struct("start", "shard", "place", "number")).alias("first"), F.count(F.lit(1)).alias("runs"), F.sum("copies").alias("copies")))
+    several = keys.where("runs > 1").select("doc_id")
+    slices_of = runs.where("doc_id is null").unionByName(runs.join(several, "doc_id", "left_semi").select(*runs.columns))
+    slices_of.select(*[c.split()[0] for c in _SLICES.split(", ")]).write.parquet(f"{folder}/slices")
+    keys = keys.select("doc_id", "first.*", F.when(F.col("runs") == 1, F.col("copies")).otherwise(0).alias("copies"))
+    n_buckets = bucket_count(manifest.agg(F.sum("copies")).first()[0] or 0)
     (keys.withColumn("bucket", bucket_of("doc_id", n_buckets)).repartition(n_buckets, "bucket")
      .groupBy("bucket").applyInPandas(_index_writer(folder), "bucket int, keys long")
      .write.format("noop").mode("overwrite").save())
@@ -82,14 +94,23 @@ def read_store(keys: DataFrame, folder: str, n_buckets: int) -> DataFrame:
     """
     wanted = keys.select(F.col("doc_id").cast("long")).where("doc_id is not null").distinct()
     # A stated number: keys are small, but a task reads the ids of its documents.
-    return (wanted.withColumn("bucket", bucket_of("doc_id", n_buckets)).repartition(spread(keys), "bucket", F.pmod(F.xxhash64("doc_id"), F.lit(READERS)))
-            .sortWithinPartitions("bucket", "doc_id").mapInArrow(_key_reader(folder), _ROWS))
+    indexed = (wanted.withColumn("bucket", bucket_of("doc_id", n_buckets)).repartition(spread(keys), "bucket", F.pmod(F.xxhash64("doc_id"), F.lit(READERS)))
+               .sortWithinPartitions("bucket", "doc_id").mapInArrow(_key_reader(folder), _ROWS))
+    return indexed.unionByName(_read_slices(_slices(keys.sparkSession, folder).join(wanted, "doc_id", "left_semi"), folder))
+
+
+def read_unkeyed(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents without a doc_id."""
+    return _read_slices(_slices(spark, folder).where("doc_id is null"), folder)
 
 
-def read_unkeyed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The documents without a doc_id: they open the first shards, since nulls sort first."""
-    n = docs.where("doc_id is null").count()
-    return spark.range(1 if n else 0).mapInArrow(_null_reader(folder, n), _ROWS)
+def _slices(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(_SLICES).parquet(f"{folder}/slices")
+
+
+def _read_slices(found: DataFrame, folder: str) -> DataFrame:
+    names = [c.split()[0] for c in _SLICES.split(", ")]
+    return found.select(*names).repartition(spread(found), "shard", "number").mapInArrow(_slice_reader(folder), _ROWS)
 
 
 def _save(path: str, parts: Iterator[bytes]) -> None:
@@ -100,7 +121,22 @@ def _save(path: str, parts: Iterator[bytes]) -> None:
     with fs.open_output_stream(own) as out:
         for part in parts:
             out.write(part)
-    fs.move(own, inner)
+    publish(fs, own, inner)
+
+
+def publish(fs: pyarrow.fs.FileSystem, own: str, target: str) -> None:
+    """Give a whole file its name, unless an earlier attempt at the same task has done so."""
+    def there() -> bool:
+        return fs.get_file_info(target).type != pyarrow.fs.FileType.NotFound
+
+    if not there():
+        try:
+            fs.move(own, target)
+            return
+        except OSError:
+            if not there():
+                raise
+    fs.delete_file(own)
 
 
 def _shard_writer(folder: str, tokenizer: str, end_id: int):
@@ -125,16 +161,26 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int):
         if first is None:
             return
         _save(f"{folder}/shards/shard-{shard:05d}.ids", parts())
-        before = number = 0
-        for n, key in zip(counts, keys, strict=True):
-            place = before + np.cumsum(n) - n
-            yield pa.RecordBatch.from_arrays([key, pa.array(np.full(len(n), shard), pa.int32()), pa.array(place), pa.array(number + np.arange(len(n))), pa.array(n)],
-                                             ["doc_id", "shard", "place", "number", "n_tokens"])
-            before, number = before + int(n.sum()), number + len(n)
+        n, key = np.concatenate(counts).astype(np.int64), pa.chunked_array(keys)
+        place, first = np.cumsum(n) - n, _first_of_runs(key)
+        fields = [place[first], first, np.diff(first, append=len(n)), np.add.reduceat(n, first)]
+        for at in range(0, len(first), 100_000):
+            part = slice(at, at + 100_000)
+            own = key.take(pa.array(first[part])).combine_chunks()
+            yield pa.RecordBatch.from_arrays([own, pa.array(np.full(len(own), shard), pa.int32()), *(pa.array(f[part]) for f in fields)],
+                                             ["doc_id", "shard", "place", "number", "copies", "n_tokens"])
 
     return write
 
 
+def _first_of_runs(key: pa.ChunkedArray) -> np.ndarray:
+    """Where runs of at most ``SLICE`` equal keys begin; equal keys lie side by side."""
+    empty, values = key.is_null().to_numpy(), key.fill_null(0).to_numpy()
+    new = np.concatenate(([True], (values[1:] != values[:-1]) | (empty[1:] != empty[:-1])))
+    at = np.arange(len(values))
+    return np.flatnonzero(new | ((at - np.maximum.accumulate(np.where(new, at, 0))) % SLICE == 0))
+
+
 def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
     """A 64-bit mix of integer keys (the finaliser of splitmix64) that depends on ``seed``."""
     with np.errstate(over="ignore"):
@@ -278,20 +324,13 @@ def _key_reader(folder: str):
     return read
 
 
-def _null_reader(folder: str, n: int):
+def _slice_reader(folder: str):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, inner = open_store(folder)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            fs, inner = open_store(folder)
-            left, before = n, 0
-            for info in sorted(fs.get_file_info(pyarrow.fs.FileSelector(f"{inner}/shards")), key=lambda i: i.path):
-                if left and info.path.endswith(".ids"):
-                    shard = Shard(fs, info.path)
-                    own = min(left, shard.head["documents"])
-                    number = int(info.base_name[6:-4])
-                    for place, count, crc in _documents(shard, 0, own, 0):
-                        yield _batch([(None, before + place, count, crc, number)])
-                    left, before = left - own, before + shard.head["tokens"]
+            for run in batch.to_pylist():
+                shard = Shard(fs, f"{inner}/shards/shard-{run['shard']:05d}.ids")
+                base = run["start"] - run["place"]
+                yield _batch([(run["doc_id"], base + place, n, crc, run["shard"]) for place, n, crc in _documents(shard, run["number"], run["copies"], run["place"])])
 
     return read

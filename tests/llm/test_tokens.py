@@ -70,7 +70,7 @@ def test_store_round_trip_with_nulls_and_repeated_keys(spark, documents, tokeniz
     docs = documents(rows)
     folder = stored(docs, tokenizer_file)
     buckets = token_store.bucket_count(len(rows))
-    got = token_store.read_store(docs, folder, buckets).unionByName(token_store.read_unkeyed(spark, docs, folder)).collect()
+    got = token_store.read_store(docs, folder, buckets).unionByName(token_store.read_unkeyed(spark, folder)).collect()
     want, start = [], 0
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
         ids = np.array(plain(text) + [0], "<u4")
@@ -80,6 +80,46 @@ def test_store_round_trip_with_nulls_and_repeated_keys(spark, documents, tokeniz
     assert sorted((tuple(r)[:4] for r in got), key=key) == sorted(want, key=key)
 
 
+def test_documents_of_one_doc_id_or_none_span_shards(spark, documents, tokenizer_file, plain):
+    rows = [(5 if i % 2 else None, f"{i * 7919 % 10007} words") for i in range(20_000)] + [(4, "before"), (6, "after"), (5, "0 words"), (5, "0 words")]
+    docs = documents(rows)
+    folder = stored(docs, tokenizer_file)
+    found = token_store.read_store(docs, folder, token_store.bucket_count(len(rows)))
+    got = found.unionByName(token_store.read_unkeyed(spark, folder)).toPandas()
+    assert len(got) == len(rows)
+    assert got.groupby("doc_id", dropna=False)["shard"].nunique().max() > 1
+    assert (spark.read.parquet(f"{folder}/slices").toPandas()["copies"] <= token_store.SLICE).all()
+    got = got.sort_values("start").reset_index()
+    assert (got["n_tokens"].cumsum() - got["n_tokens"] == got["start"]).all()
+    want = sorted(((i is not None, i or 0, t) for i, t in rows))
+    assert got["doc_id"].fillna(0).astype(int).tolist() == [i for _, i, _ in want]
+    assert got["ids_crc32"].tolist() == [zlib.crc32(np.array(plain(t) + [0], "<u4").tobytes()) for *_, t in want]
+
+
+def test_a_repeated_task_finds_its_file(tmp_path):
+    class Strict:
+        """A file system that does not rename onto a file."""
+
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def move(self, a, b):
+            if (tmp_path / "x").exists():
+                raise OSError("exists")
+            self.fs.move(a, b)
+
+    fs, path = open_store(str(tmp_path / "x"))
+    for attempt in range(2):
+        (tmp_path / f"own{attempt}").write_text("same")
+        token_store.publish(Strict(fs), str(tmp_path / f"own{attempt}"), path)
+        assert [f.name for f in tmp_path.iterdir()] == ["x"]
+    with pytest.raises(OSError):
+        token_store.publish(fs, str(tmp_path / "none"), str(tmp_path / "y"))
+
+
 def test_store_tells_foreign_keys_apart_and_takes_an_empty_table(spark, documents, tokenizer_file):
     folder = stored(documents([(i, f"text {i}") for i in range(500)]), tokenizer_file)
     asked = spark.range(490, 2000).withColumnRenamed("id", "doc_id")
@@ -89,7 +129,7 @@ def test_store_tells_foreign_keys_apart_and_takes_an_empty_table(spark, document
     none = documents([(1, "x")]).where("false")
     empty = stored(none, tokenizer_file)
     assert token_store.read_store(none, empty, 1).count() == 0
-    assert token_store.read_unkeyed(spark, none, empty).count() == 0
+    assert token_store.read_unkeyed(spark, empty).count() == 0
 
 
 def cheapest(states, costs, window):
