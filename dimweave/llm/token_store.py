@@ -144,7 +144,7 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int):
         shard, counts, keys = TaskContext.get().partitionId(), [], []
 
         def parts() -> Iterator[bytes]:
-            enc = encoder(tokenizer)
+            enc = encoder(tokenizer, sentences=False)
             kind = np.dtype("<u2" if enc.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
             for batch in chain([first], rest):
                 flat, n, *_ = enc.encode(batch.column("text").to_pylist())

@@ -38,11 +38,11 @@ MAX_PARTS = 400_000  # remembered parts of a Python worker
 _encoders: dict[tuple, "PartEncoder"] = {}
 
 
-def encoder(path: str, added_tokens: bool = True) -> "PartEncoder":
-    """One encoder for each Python worker, tokenizer file and treatment of added tokens."""
-    key = path, added_tokens
+def encoder(path: str, added_tokens: bool = True, sentences: bool = True) -> "PartEncoder":
+    """One encoder for each Python worker, tokenizer file, treatment of added tokens and question whether sentences are marked."""
+    key = path, added_tokens, sentences
     if key not in _encoders:
-        _encoders[key] = PartEncoder(path, added_tokens=added_tokens)
+        _encoders[key] = PartEncoder(path, added_tokens=added_tokens, sentences=sentences)
     return _encoders[key]
 
 
@@ -202,8 +202,9 @@ class WordIds:
 
 
 class PartEncoder(PartMemory):
-    def __init__(self, path: str, max_parts: int = MAX_PARTS, added_tokens: bool = True):
+    def __init__(self, path: str, max_parts: int = MAX_PARTS, added_tokens: bool = True, sentences: bool = True):
         super().__init__(max_parts)
+        self.sentences = sentences
         self.words = WordIds(path, added_tokens)
         self.tokenizer = self.words.tokenizer
         self.ids, self.ends = Lists(np.uint32), np.zeros(1 << 16, bool)
@@ -211,7 +212,8 @@ class PartEncoder(PartMemory):
     def learn(self, new: list) -> None:
         self.ids.add(*self.words.encode([p.decode() if isinstance(p, bytes) else f" {p}" for p in new]))
         self.ends = _room(self.ends, self.known + len(new))
-        self.ends[self.known: self.known + len(new)] = [ends_sentence(p) for p in new]
+        if self.sentences:
+            self.ends[self.known: self.known + len(new)] = [ends_sentence(p) for p in new]
 
     def keep(self, at: np.ndarray) -> None:
         self.ids, self.ends = self.ids.kept(at), _room(self.ends[at], 1 << 16)
@@ -227,7 +229,7 @@ class PartEncoder(PartMemory):
         return found
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts in a row; ids per text; where parts begin in them; parts that end a sentence."""
+        """Ids of all texts in a row; ids per text; where parts begin in them; parts that end a sentence (none without ``sentences``)."""
         self.tidy()
         parts: list = []
         parts_of = np.zeros(len(texts), np.int64)
