@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.functions.changes import any_differs, differs, with_collation
-from dimweave.operators.joins import lookup_join, newest_per_key
+from dimweave.operators.joins import fits_broadcast, lookup_join
 from dimweave.operators.keys import number_in_order
 from dimweave.sources.schemas import (
     LINEAGE_ROW, LINEAGE_SOURCE, POLICIES, ROW_ID, DimensionPolicy, source_key,
@@ -182,10 +182,7 @@ def load_versions(dim: DataFrame, closed_rows: DataFrame, src: DataFrame, policy
 
     # Keys without a current row: either never seen, or back with their latest closed version.
     candidates = rows(RETURN).select(with_collation(F.col(f"new.{nk}"), kind, collation).alias("_key"), "new")
-    seen = closed_rows.withColumn("_key", with_collation(F.col(nk), kind, collation))
-    seen = lookup_join(seen, candidates.select("_key"), "_key", "left_semi", policy.surrogate)
-    latest = newest_per_key(seen, ["_key"], [F.col(policy.surrogate).desc()])
-    known = candidates.join(latest.select("_key", F.struct(*dim.columns).alias("old")), "_key", "left")
+    known = candidates.join(_latest_closed(closed_rows, candidates.select("_key"), policy, dim.columns, collation), "_key", "left")
     if policy.new_version_needs_difference:
         known = known.where(F.col("old").isNull() | changed)
     renewed = rows(RENEW).select("old", "new").unionByName(known.select("old", "new"))
@@ -208,6 +205,21 @@ def load_versions(dim: DataFrame, closed_rows: DataFrame, src: DataFrame, policy
     return Loaded(current, keys, closed=closing, inserted=count)
 
 
+def _latest_closed(closed_rows: DataFrame, wanted: DataFrame, policy: DimensionPolicy, columns: list[str], collation: str | None) -> DataFrame:
+    """The latest closed version, ``old``, of each key of ``wanted`` that has one.
+
+    Two columns of the closed rows tell which versions these are. The rows themselves are read for keys that return, and not at
+    all where every key is new.
+    """
+    key = with_collation(F.col(policy.nk), closed_rows.schema[policy.nk].dataType, collation).alias("_key")
+    seen = lookup_join(closed_rows.select(key, policy.surrogate), wanted, "_key", "left_semi", policy.surrogate)
+    latest = seen.groupBy("_key").agg(F.max(policy.surrogate).alias(policy.surrogate)).select(policy.surrogate)
+    latest = record(latest, f"returning-{policy.target}")
+    rows = closed_rows.where("false") if count_of(latest) == 0 else closed_rows
+    returning = F.broadcast(latest) if fits_broadcast(latest) else latest
+    return rows.join(returning, policy.surrogate).select(key, F.struct(*columns).alias("old"))
+
+
 # Loads of tables with one row per natural key; versions are loaded by load_versions.
 LOADERS = {
     "overwrite": load_overwrite,
