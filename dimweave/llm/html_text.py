@@ -4,7 +4,8 @@ A page is cut into blocks at block-level tags. Each block has its word count and
 the blocks before and after it, and where it stands: within an article or main element, within an element
 for something else (menus, adverts, forms, comments and so on, by tag, role or the words of class and
 id), on a page with an article at all. The innermost such element counts. A decision tree that Spark
-ML trains on ``LABELLED`` decides which blocks stay; its leaves are compiled to tests on the features.
+ML trains on ``LABELLED`` decides which blocks stay, one for pages with an article and one for the others, where the
+neighbours tell a heading from a stray line; the trees' leaves are compiled to tests on the features.
 
 A page is read once from start to end, however deep its elements nest. Pages are handled where they lie; nothing is shuffled. A null html is empty and gives an empty text;
 null page_ids and urls are kept; repeated rows each get their row. An empty table gives no rows.
@@ -44,12 +45,19 @@ LABELLED = [
     (80, 0.0, 6, 0.0, 75, 0.0, 0, 0, 0, 1), (40, 0.1, 60, 0.0, 55, 0.0, 0, 0, 0, 1), (22, 0.0, 40, 0.0, 3, 1.0, 0, 0, 0, 1), (150, 0.05, 3, 1.0, 8, 0.0, 0, 0, 0, 1),
     (30, 0.2, 4, 0.0, 90, 0.0, 0, 0, 0, 1), (18, 0.0, 50, 0.0, 60, 0.0, 0, 0, 0, 1), (12, 0.0, 70, 0.0, 80, 0.0, 0, 0, 0, 1), (95, 0.0, 80, 0.0, 85, 0.0, 0, 0, 0, 1),
     (17, 0.1, 30, 0.0, 2, 0.0, 0, 0, 0, 1), (60, 0.25, 20, 0.0, 20, 0.0, 0, 0, 0, 1), (12, 0.0, 20, 0.1, 40, 0.0, 0, 0, 0, 1), (14, 0.0, 9, 0.0, 25, 0.0, 0, 0, 0, 1),
+    (60, 0.0, 1, 1.0, 50, 0.0, 0, 0, 0, 1), (40, 0.0, 2, 1.0, 70, 0.0, 0, 0, 0, 1), (90, 0.0, 3, 1.0, 60, 0.0, 0, 0, 0, 1), (30, 0.0, 1, 1.0, 45, 0.0, 0, 0, 0, 1),
+    # ... headings and short lines within it
+    (4, 0.0, 60, 0.0, 90, 0.0, 0, 0, 0, 1), (6, 0.0, 75, 0.0, 110, 0.0, 0, 0, 0, 1), (2, 0.0, 90, 0.0, 70, 0.0, 0, 0, 0, 1), (1, 0.0, 45, 0.0, 60, 0.0, 0, 0, 0, 1),
+    (8, 0.0, 30, 0.0, 40, 0.0, 0, 0, 0, 1), (5, 0.0, 40, 0.1, 35, 0.0, 0, 0, 0, 1), (7, 0.0, 120, 0.0, 150, 0.1, 0, 0, 0, 1), (3, 0.0, 25, 0.0, 50, 0.0, 0, 0, 0, 1),
     # ... menus, link lists and stray lines
+    (1, 0.0, 1, 1.0, 60, 0.0, 0, 0, 0, 0), (3, 0.0, 2, 1.0, 80, 0.0, 0, 0, 0, 0), (2, 0.0, 1, 1.0, 45, 0.0, 0, 0, 0, 0), (4, 0.0, 3, 1.0, 100, 0.0, 0, 0, 0, 0),
+    (4, 0.0, 80, 0.0, 1, 1.0, 0, 0, 0, 0), (7, 0.0, 60, 0.0, 0, 0.0, 0, 0, 0, 0), (5, 0.0, 90, 0.0, 4, 0.0, 0, 0, 0, 0), (3, 0.0, 2, 1.0, 6, 0.0, 0, 0, 0, 0),
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0), (3, 1.0, 2, 1.0, 4, 1.0, 0, 0, 0, 0), (14, 0.9, 10, 1.0, 12, 0.8, 0, 0, 0, 0), (25, 0.7, 2, 1.0, 40, 0.0, 0, 0, 0, 0),
     (5, 0.0, 3, 1.0, 4, 1.0, 0, 0, 0, 0), (4, 0.5, 80, 0.0, 6, 0.3, 0, 0, 0, 0), (2, 0.0, 5, 1.0, 1, 0.0, 0, 0, 0, 0), (40, 0.6, 8, 1.0, 9, 1.0, 0, 0, 0, 0),
     (6, 0.0, 6, 0.5, 5, 0.0, 0, 0, 0, 0), (8, 0.4, 4, 0.0, 3, 0.0, 0, 0, 0, 0),
     # ... and elements for something else
     (35, 0.0, 70, 0.0, 60, 0.0, 0, 1, 0, 0), (90, 0.0, 80, 0.0, 0, 0.0, 0, 1, 0, 0), (12, 0.1, 40, 0.0, 50, 0.0, 0, 1, 0, 0), (60, 0.0, 60, 0.0, 60, 0.0, 0, 1, 0, 0),
+    (60, 0.0, 1, 1.0, 4, 0.0, 0, 1, 0, 0), (80, 0.0, 2, 1.0, 70, 0.0, 0, 1, 0, 0), (110, 0.0, 3, 1.0, 2, 1.0, 0, 1, 0, 0),
     (150, 0.05, 90, 0.0, 75, 0.0, 0, 1, 0, 0), (20, 0.0, 30, 0.0, 55, 0.0, 0, 1, 0, 0),
 ]
 
@@ -190,13 +198,17 @@ def features(page: list[tuple[str, float, bool, bool]]) -> np.ndarray:
 
 
 def train(spark: SparkSession) -> list[list[tuple[int, str, float]]]:
-    """Train the tree on the labelled table; the paths of comparisons that lead to main text."""
+    """Train a tree on the labelled blocks of pages with an article and one on the others; the paths of comparisons that lead to main text."""
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.functions import array_to_vector
 
-    rows = spark.createDataFrame([([float(v) for v in r[:-1]], float(r[-1])) for r in LABELLED], "features array<double>, label double").coalesce(1)
-    tree = DecisionTreeClassifier(maxDepth=6, maxBins=64, minInstancesPerNode=1, seed=1).fit(rows.select("label", array_to_vector("features").alias("features")))
-    return main_text_paths(tree.toDebugString)
+    kind, paths = FEATURES.index("page_has_article"), []
+    for has_article, sign in ((0, "<="), (1, ">")):
+        own = [([float(v) for v in r[:-1]], float(r[-1])) for r in LABELLED if r[kind] == has_article]
+        rows = spark.createDataFrame(own, "features array<double>, label double").coalesce(1)
+        tree = DecisionTreeClassifier(maxDepth=6, maxBins=64, minInstancesPerNode=1, seed=1).fit(rows.select("label", array_to_vector("features").alias("features")))
+        paths += [[(kind, sign, 0.5), *path] for path in main_text_paths(tree.toDebugString)]
+    return paths
 
 
 def main_text_paths(description: str) -> list[list[tuple[int, str, float]]]:

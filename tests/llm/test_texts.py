@@ -46,6 +46,16 @@ def test_every_labelled_block_is_learned(paths):
     assert (html_text.is_main(rows[:, :-1], paths) == (rows[:, -1] == 1)).all()
 
 
+def test_pages_of_plain_divs_are_decided_by_neighbours(paths):
+    """No element says what it is for: a short line is text between paragraphs, and is none beside links or at the end."""
+    used = {html_text.FEATURES[column] for path in paths for column, *_ in path}
+    assert used & {"words_before", "words_after", "links_before", "links_after"}
+    long = ["one " * 60, "two " * 45, "three " * 30]
+    page = ("<div><div class=x1><a href=a>Home</a></div><div><a href=b>News</a></div><div>Thursday</div><div class=x2><div>" + long[0] + "</div><div>A short heading</div><div>"
+            + long[1] + "</div><div>Another</div><div>" + long[2] + "</div></div><div>Five words at the end</div><div><a href=c>More like this</a></div></div>")
+    assert html_text.main_text(page, paths).split("\n\n") == [long[0].strip(), "A short heading", long[1].strip(), "Another", long[2].strip()]
+
+
 def test_pages_with_nulls(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, "v", ""), (3, "w", "<article><p>" + "word " * 60_000 + "</article>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
