@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dimweave.operators import facts, joins
 from dimweave.plans import registry
 from dimweave.plans.samples import WINDOWS
-from dimweave.sources import statistics
+from dimweave.sources import colocated, statistics
 from dimweave.sources.statistics import TableStats, bound, count_of, frequent_keys, record, record_split
 from dimweave.sources.warehouse import Change, Warehouse
 
@@ -121,3 +121,21 @@ def test_rejects_of_staged_tables_start_no_job_to_measure(spark, sf_dir, monkeyp
     assert not measured
     assert n < 26  # 52 with measuring and sampling; a write runs a job for each shuffle under adaptive execution
     assert source.count() > 0
+
+
+def test_sketches_of_keys_do_not_pass_the_driver(spark, tmp_path):
+    """Each task's sketch has its 50,000 items; what the driver gets is only what is frequent."""
+    conf = spark.sparkContext._jsc.sc().conf()
+    rows = spark.range(0, 400_000, 1, 8).select(F.when(F.col("id") % 4 == 0, 7).otherwise(F.col("id")).alias("OrderID"), "id")
+    conf.set("spark.driver.maxResultSize", "2m")
+    try:
+        written = record(rows, "sketched", keys=("OrderID", "id"))
+        apart = record_split(rows.withColumn("_odd", F.col("id") % 2 == 1), "sketched-apart", "_odd", (True, False), keys=("OrderID",))
+        hot, special = colocated.hot_values(rows, "OrderID")
+    finally:
+        conf.set("spark.driver.maxResultSize", "1g")
+    assert frequent_keys(written, "OrderID")[1][7] == pytest.approx(100_000, rel=0.01)
+    assert frequent_keys(apart[False], "OrderID")[1][7] == pytest.approx(100_000, rel=0.01)
+    assert 7 not in frequent_keys(apart[True], "OrderID")[1]
+    assert hot == [7]
+    assert special == pytest.approx(100_000, rel=0.01)
