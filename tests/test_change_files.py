@@ -95,3 +95,17 @@ def test_nothing_to_change_writes_nothing(spark, house):
     assert not draft.gone
     assert changed.inserted == 0
     assert draft.rows(FACT_TABLE) == 3000
+
+
+def test_a_month_of_which_all_rows_have_gone_is_left_out(spark, house):
+    """The month's files stay in folders that other months use too; their rows no longer count."""
+    february = (F.col("id") % 90 >= 31) & (F.col("id") % 90 < 60)
+    base, draft, _ = merge(house, source_rows(spark, 3000, but=february))
+    left = 3000 - base.frame(FACT_TABLE, ["2024-02"]).count()
+    assert base.months(FACT_TABLE) == ["2024-01", "2024-02", "2024-03"]
+    assert draft.months(FACT_TABLE) == ["2024-01", "2024-03"]
+    assert draft.rows(FACT_TABLE) == draft.frame(FACT_TABLE).count() == left
+    house.publish(draft, base)
+    again = house.write(house.snapshot(), [Change(FACT_TABLE, house.snapshot().frame(FACT_TABLE, []), append=True, gone=house.snapshot().placed(FACT_TABLE))], {})
+    assert again.months(FACT_TABLE) == []
+    assert again.rows(FACT_TABLE) == again.frame(FACT_TABLE).count() == 0
