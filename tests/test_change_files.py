@@ -109,3 +109,14 @@ def test_a_month_of_which_all_rows_have_gone_is_left_out(spark, house):
     again = house.write(house.snapshot(), [Change(FACT_TABLE, house.snapshot().frame(FACT_TABLE, []), append=True, gone=house.snapshot().placed(FACT_TABLE))], {})
     assert again.months(FACT_TABLE) == []
     assert again.rows(FACT_TABLE) == again.frame(FACT_TABLE).count() == 0
+
+
+def test_places_are_cut_from_the_path_without_a_search(house):
+    files = house.snapshot().placed(FACT_TABLE).select("_file")
+    # A pattern that is only anchored at its end is tried from every character of a path, for every row.
+    assert "regexp" not in files._jdf.queryExecution().optimizedPlan().toString().lower()
+    found = {r["_file"] for r in files.distinct().collect()}
+    (folder,) = {path.split("/order_month=")[0] for paths in house.snapshot().tables[FACT_TABLE].values() for path in paths}
+    assert {tuple(f.split("/")[:2]) for f in found} == {
+        (folder.split("/")[-1], f"order_month={m}") for m in house.snapshot().months(FACT_TABLE)}
+    assert all(f.count("/") == 2 and f.endswith(".parquet") for f in found)
