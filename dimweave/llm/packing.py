@@ -19,7 +19,6 @@ like others, in the order of the rows. An empty table gives no pieces.
 from __future__ import annotations
 
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,24 +45,25 @@ def plan_cuts(states: np.ndarray, costs: np.ndarray, window: int) -> list[int]:
     what a cut there costs; infinite means that the cut is not allowed. No gap may exceed a window.
     """
     points, price = states.tolist(), costs.tolist()
-    exact = _at_powers(states, window)
+    first, earlier = _at_powers(states, window)
     best, back = [0.0] * len(points), [0] * len(points)
-    queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # (cost plus position, state), both ascending
+    keys, queued, head = [0.0], [0], 0  # the queue from ``head`` on: cost plus position and state, both ascending
     for j in range(1, len(points)):
         at = points[j]
-        while points[queue[0][1]] < at - window:
-            queue.popleft()
-        key, i = queue[0]
-        cost = key + window - at
-        for k in exact.get(j, ()):
+        while points[queued[head]] < at - window:
+            head += 1
+        cost, i = keys[head] + window - at, queued[head]
+        for k in earlier[first[j]: first[j + 1]]:
             if best[k] + SHORT_COST < cost:
                 cost, i = best[k] + SHORT_COST, k
         cost += price[j]
         best[j], back[j] = cost, i
         cost += at
-        while queue and queue[-1][0] >= cost:
-            queue.pop()
-        queue.append((cost, j))
+        while len(keys) > head and keys[-1] >= cost:
+            keys.pop()
+            queued.pop()
+        keys.append(cost)
+        queued.append(j)
     cuts, j = [], len(points) - 1
     while j:
         cuts.append(points[j])
@@ -71,14 +71,16 @@ def plan_cuts(states: np.ndarray, costs: np.ndarray, window: int) -> list[int]:
     return cuts[::-1]
 
 
-def _at_powers(states: np.ndarray, window: int) -> dict[int, list[int]]:
-    """For each state the earlier ones at a distance of a power of two below a window."""
-    found: dict[int, list[int]] = {}
+def _at_powers(states: np.ndarray, window: int) -> tuple[list[int], list[int]]:
+    """The earlier states at a distance of a power of two below a window, state by state, and where those of each begin, with the end."""
+    later, earlier = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for p in (1 << k for k in range((window - 1).bit_length())):
         at = np.searchsorted(states, states - p)
-        for j in np.flatnonzero(states[at] == states - p).tolist():
-            found.setdefault(j, []).append(int(at[j]))
-    return found
+        later.append(np.flatnonzero(states[at] == states - p))
+        earlier.append(at[later[-1]])
+    found = np.concatenate(later)
+    order = np.argsort(found, kind="stable")
+    return np.searchsorted(found[order], np.arange(len(states) + 1)).tolist(), np.concatenate(earlier)[order].tolist()
 
 
 def free_cuts(doc_ends: np.ndarray, window: int) -> np.ndarray:
@@ -132,8 +134,8 @@ def _pieces(block: list[tuple], window: int, end_id: int, sequence: int) -> tupl
     doc_ends = ends + np.arange(1, len(n) + 1)
     states = np.unique(np.concatenate(([0], sentences, doc_ends, free_cuts(doc_ends, window))))
     costs = np.full(len(states), FREE_COST)
-    costs[np.isin(states, sentences)] = SENTENCE_COST
-    costs[np.isin(states, doc_ends)] = 0.0
+    costs[np.searchsorted(states, sentences)] = SENTENCE_COST
+    costs[np.searchsorted(states, doc_ends)] = 0.0
     cuts = np.array(plan_cuts(states, costs, window))
     bounds = np.union1d(cuts, doc_ends)
     starts = np.concatenate(([0], bounds[:-1]))

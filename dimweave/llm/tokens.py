@@ -19,6 +19,8 @@ from collections import defaultdict
 from itertools import chain, count, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: What may not stand before a cut (white space by any Unicode version).
 _SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -30,6 +32,7 @@ _STOPS, _CLOSING = (".", "!", "?", "。"), "\"')]"
 #: Letters whose class no Unicode version disputes, and the words that byte-level BPE cuts such text into.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ž"
 _EASY = re.compile(f" ?[{_LETTERS}0-9!-/:-@\\[-`{{-~\n\t]+")
+_ALL_EASY = re.compile(f"{_EASY.pattern}+(?:\0{_EASY.pattern}+)*+")
 #: Texts may follow each other behind a NUL, which is none of their own.
 _WORDS = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9\0]+|\\s+(?![^\\s\0])|\\s+")
 
@@ -120,15 +123,15 @@ class PartMemory:
         """Only parts with these numbers stay; they are numbered anew in this order."""
         raise NotImplementedError
 
-    def number(self, parts: list) -> np.ndarray:
-        """The number of each part; valid until the next call of ``tidy``."""
+    def number(self, parts: list, times: np.ndarray | int = 1) -> np.ndarray:
+        """The number of each part, which was used so many times; valid until the next call of ``tidy``."""
         found = np.fromiter(map(self.numbers.__getitem__, parts), np.int64, len(parts))
         new = list(islice(reversed(self.numbers), len(self.numbers) - self.known))[::-1]
         if new:
             self.learn(new)
             self.known += len(new)
             self.uses = _room(self.uses, self.known)
-        self.uses[: self.known] += np.bincount(found, minlength=self.known)
+        np.add.at(self.uses, found, times)
         return found
 
     def tidy(self) -> None:
@@ -178,6 +181,9 @@ class WordIds:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and their number for each text."""
         match, added = _EASY.fullmatch, self.added
+        if self.model and _ALL_EASY.fullmatch("\0".join(texts)) and added.keys().isdisjoint(texts):
+            ids, ends = self._of_words(texts)
+            return ids, np.diff(ends)
         easy = np.fromiter((match(t) is not None and t not in added for t in texts), bool, len(texts)) if self.model else np.zeros(len(texts), bool)
         plain, hard = ([t for t, e in zip(texts, easy.tolist(), strict=True) if e == kind] for kind in (True, False))
         ids, ends = self._of_words(plain)
@@ -208,6 +214,7 @@ class PartEncoder(PartMemory):
         self.words = WordIds(path, added_tokens)
         self.tokenizer = self.words.tokenizer
         self.ids, self.ends = Lists(np.uint32), np.zeros(1 << 16, bool)
+        self.uncuttable = "|".join([f"[{_SPACES}] ", *map(re.escape, self.words.added)])
 
     def learn(self, new: list) -> None:
         self.ids.add(*self.words.encode([p.decode() if isinstance(p, bytes) else f" {p}" for p in new]))
@@ -228,21 +235,31 @@ class PartEncoder(PartMemory):
             found += own
         return found
 
+    def _numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the parts of texts that are cut at each space, and how many each text has. Equal parts are looked up once."""
+        cuts = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        parts, bounds = cuts.flatten(), cuts.offsets.to_numpy()
+        first = np.zeros(len(parts), bool)
+        first[bounds[:-1]] = True
+        spaced = parts.filter(pa.array(~first)).dictionary_encode()
+        at = spaced.indices.to_numpy()
+        number = np.zeros(len(parts), np.int64)
+        number[~first] = self.number(spaced.dictionary.to_numpy(zero_copy_only=False).tolist(), np.bincount(at, minlength=len(spaced.dictionary)))[at]
+        # no space before it: another key than the same word within a text
+        number[first] = self.number([p.encode() for p in parts.filter(pa.array(first)).to_pylist()])
+        return number, np.diff(bounds)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row; ids per text; where parts begin in them; parts that end a sentence (none without ``sentences``)."""
         self.tidy()
-        parts: list = []
+        cuttable = ~pc.match_substring_regex(pa.array(texts, pa.string()), self.uncuttable).to_numpy(zero_copy_only=False).astype(bool)
+        odd = [self._parts(t) for t, c in zip(texts, cuttable.tolist(), strict=True) if not c]
+        plain, parts_of_plain = self._numbers([t for t, c in zip(texts, cuttable.tolist(), strict=True) if c])
         parts_of = np.zeros(len(texts), np.int64)
-        added = tuple(self.words.added)
-        for i, text in enumerate(texts):
-            if any(t in text for t in added):
-                own = self._parts(text)
-            else:
-                own = cut(text)
-                own[0] = own[0].encode()  # no space before it: another key than the same word within a text
-            parts += own
-            parts_of[i] = len(own)
-        number = self.number(parts)
+        parts_of[cuttable], parts_of[~cuttable] = parts_of_plain, np.fromiter(map(len, odd), np.int64, len(odd))
+        number = np.zeros(parts_of.sum(), np.int64)
+        own = np.repeat(cuttable, parts_of)
+        number[own], number[~own] = plain, self.number(list(chain.from_iterable(odd)))
         flat, lengths = self.ids.take(number)
         ends_at = np.concatenate(([0], np.cumsum(lengths)))
         bounds = np.concatenate(([0], np.cumsum(parts_of)))

@@ -177,3 +177,25 @@ def test_packing_holds_every_id_once_with_little_padding(spark, documents, token
         padding += 0 if n & (n - 1) == 0 else 2048 - n
     assert padding < 0.01 * pieces["length"].sum()
     assert packing.pack(documents([(1, "x")]).where("false"), tokenizer_file).count() == 0
+
+
+def test_equal_parts_of_texts_are_looked_up_once(tokenizer_file):
+    encoder, asked = PartEncoder(tokenizer_file), []
+    number = encoder.number
+    encoder.number = lambda parts, *times: asked.extend(parts) or number(parts, *times)
+    text = " ".join(["one", *["the", "of"] * 50])
+    flat, lengths, _, _ = encoder.encode([text, text])
+    assert sorted(map(str, asked)) == ["b'one'", "b'one'", "of", "the"]
+    assert encoder.uses[: encoder.known].tolist() == [100, 100, 2]
+    ids = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert flat.tolist() == ids * 2 and lengths.tolist() == [len(ids)] * 2
+
+
+@pytest.mark.parametrize("texts", [[""], ["", "a  b"], ["a  b", "\n c"], [" ", "a", "", " a "], ["a<|endoftext|>b c", "b c"]])
+def test_texts_that_are_cut_in_either_way(tokenizer_file, texts):
+    encoder = PartEncoder(tokenizer_file)
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    flat, lengths, starts, ends = encoder.encode(texts)
+    assert flat.tolist() == [i for ids in want for i in ids]
+    assert lengths.tolist() == list(map(len, want))
+    assert len(starts) == len(ends) and (np.diff(starts) >= 0).all()
