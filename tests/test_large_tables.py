@@ -1,10 +1,12 @@
-"""Registered queries over tables whose keys are large."""
+"""Registered queries over tables whose keys are large, and over tables of more rows than a sketch of keys has items."""
 
+import contextlib
 import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from dimweave.operators import joins
 from dimweave.plans.registry import registered
 from dimweave.plans.samples import BEYOND, NEW_KEYS
 
@@ -129,3 +131,40 @@ def _categories(rows):
 }.items())
 def test_queries_hold_where_raised_keys_are_taken(spark, large_keys, name, holds):
     holds(QUERIES[name](spark, large_keys).collect())
+
+
+@pytest.fixture(scope="module")
+def many_rows(spark, tmp_path_factory):
+    """More orders, customers and products than a sketch has items."""
+    return _tables(spark, tmp_path_factory.mktemp("many-rows"), spark.range(120_000), spark.range(1000), 100_000, 150_000)
+
+
+@contextlib.contextmanager
+def _results_of(spark, monkeypatch, limit, partitions=None):
+    """The tasks of a stage may send ``limit`` at most, and broadcasts are small."""
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 2**20)
+    given = {"spark.sql.autoBroadcastJoinThreshold": "1m"} | ({"spark.sql.shuffle.partitions": partitions} if partitions else {})
+    before = {name: spark.conf.get(name) for name in given}
+    conf = spark.sparkContext._jsc.sc().conf()
+    conf.set("spark.driver.maxResultSize", limit)
+    for name, value in given.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        conf.set("spark.driver.maxResultSize", "1g")
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("name", ["check_lengths", "load_audit", "orders_left_lines"])
+def test_queries_send_no_sketches_to_the_driver(spark, many_rows, monkeypatch, name):
+    """A sketch of a key column has up to 50,000 items, and each task had its own."""
+    with _results_of(spark, monkeypatch, "2m"):
+        QUERIES[name](spark, many_rows).write.format("noop").mode("overwrite").save()
+
+
+def test_clearing_references_sends_no_paths_of_sorted_rows(spark, many_rows, monkeypatch):
+    """The sample of a range sort grows with the partitions up to 100 rows for each; most of its bytes were the rows' paths."""
+    with _results_of(spark, monkeypatch, "3m", "64"):
+        QUERIES["clear_product_fk"](spark, many_rows).write.format("noop").mode("overwrite").save()
