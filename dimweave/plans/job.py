@@ -21,6 +21,7 @@ from dimweave.plans.gate import IntegrityError, problems
 from dimweave.plans.steps import StepResult, dimension_step, fact_step, reject_step
 from dimweave.sources.ingest import stage_frame, stage_sheet
 from dimweave.sources.schemas import FACT_TABLE, POLICIES, REJECT_TABLE, SOR, SOR_TABLE, SOURCES, sor_rows
+from dimweave.sources.scratch import released
 from dimweave.sources.warehouse import Change, Snapshot, Warehouse
 
 log = logging.getLogger("dimweave")
@@ -46,8 +47,9 @@ class _Run:
         """Load and write the changes of a step on the latest state, then publish them if they keep its integrity."""
         def written():
             base = self.warehouse.snapshot()
-            result: StepResult = load(base)
-            draft = self.warehouse.write(base, result.changes, result.last_keys)
+            with released():
+                result: StepResult = load(base)
+                draft = self.warehouse.write(base, result.changes, result.last_keys)
             wrong = problems(draft, base, [c.table for c in result.changes])
             if wrong:
                 raise IntegrityError("; ".join(wrong))
@@ -60,8 +62,9 @@ class _Run:
         base = self._with_sources(self.warehouse.snapshot())
 
         def staged(load):
-            result: StepResult = load(base)
-            return self.warehouse.write(base, result.changes, {}), result
+            with released():
+                result: StepResult = load(base)
+                return self.warehouse.write(base, result.changes, {}), result
 
         with ThreadPoolExecutor(len(loads)) as pool:
             running = {source: pool.submit(staged, load) for source, load in loads.items()}
